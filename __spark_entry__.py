@@ -17,9 +17,9 @@ from tagshelf.functions import coerce, numeric, predicates
 from tagshelf.operators import audit, clean, kpi, quality, shaping
 from tagshelf.plans import pipeline
 from tagshelf.sources import star
-from tagshelf.sources.publish import load_tables, publish
+from tagshelf.sources.publish import load_tables, publish, write_layout
 from tagshelf.sources.records import parse_records, read_games
-from tagshelf.sources.shared import new_folder, write_through
+from tagshelf.sources.shared import new_folder
 from tagshelf.tables import Tables
 
 from tagshelf_oracle import SQL
@@ -157,8 +157,6 @@ def layout_active_games(t: Tables) -> DataFrame:
     """Games written in release date order, read back by date range and activity."""
     spark = t.games.sparkSession
     folder = new_folder(spark, "by-date")
-    from tagshelf.sources.publish import write_layout
-
     write_layout(t.games, folder, ["release_date_parsed", "appid"])
     day = F.col("release_date_parsed")
     return spark.read.parquet(folder).filter(
@@ -324,6 +322,14 @@ def ingest_object(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ingested(pipeline.load_records(parse_records(records, F.col("appid"))))
 
 
+def v_playtime_by_tag_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same view over a snapshot whose wide join needs no shuffle."""
+    root = new_folder(spark, "bucketed")
+    publish(ready(spark, sf_dir), root, buckets=8)
+    t = load_tables(spark, root)
+    return kpi.playtime_by_tag(t.games, t.game_tags, t.tags, assume_unique=True)
+
+
 def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per table and sums over the keys of the current snapshot."""
     t = ready(spark, sf_dir)
@@ -361,6 +367,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "v_review_scores": on_ready(lambda t: kpi.review_scores_by_tag(t.games, t.game_tags, t.tags, **unique)),
         "v_playtime_by_tag_unchecked": on_ready(lambda t: kpi.playtime_by_tag(t.games, t.game_tags, t.tags)),
+        "v_playtime_by_tag_bucketed": v_playtime_by_tag_bucketed,
         "label_quality_by_source": label_quality_by_source,
         "audit_summary": on_loaded(lambda t: audit.audit_summary(t.games)),
         "audit_price_range": on_loaded(lambda t: audit.audit_price_range(t.games)),

@@ -11,11 +11,15 @@ _INTEGER = r"^\s*[+-]?\d+\s*$"
 
 
 def scalar_text(value: Column) -> Column:
-    """Text of a VARIANT scalar; booleans become 1 and 0, a JSON null becomes NULL."""
-    return F.when(
-        F.schema_of_variant(value) == "BOOLEAN",
-        F.try_variant_get(value, "$", "boolean").cast("int").cast("string"),
-    ).otherwise(F.try_variant_get(value, "$", "string"))
+    """Text of a VARIANT scalar; booleans become 1 and 0, a JSON null becomes NULL.
+
+    The JSON form of the value tells the kinds apart by its first character.
+    """
+    raw = F.to_json(value)
+    return (
+        F.when(raw.startswith('"'), F.try_variant_get(value, "$", "string"))
+        .when(raw == "true", "1").when(raw == "false", "0").when(raw != "null", raw)
+    )
 
 
 def coerce_double(text: Column) -> Column:
@@ -68,15 +72,13 @@ def coerce_flag(value: Column, absent: bool = True) -> Column:
 
     A key that is not there at all yields `absent`.
     """
-    kind = F.schema_of_variant(value)
-    text = F.try_variant_get(value, "$", "string")
+    raw = F.to_json(value)
     return (
         F.when(value.isNull(), F.lit(absent))
-        .when(F.is_variant_null(value), F.lit(False))
-        .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-        .when(kind == "STRING", text != "")
-        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), ~text.isin("[]", "{}"))
-        .otherwise(text.try_cast("double") != 0)
+        .when(raw.isin("true", "false"), raw == "true")
+        .when(raw.isin("null", '""', "[]", "{}"), F.lit(False))
+        .when(F.substring(raw, 1, 1).isin('"', "[", "{"), F.lit(True))
+        .otherwise(raw.try_cast("double") != 0)
     )
 
 

@@ -16,6 +16,8 @@ from tagshelf.sources.shared import write_through
 from tagshelf.sources.views import kpi_views
 from tagshelf.tables import PRIMARY_KEYS, Tables
 
+INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
+
 GAME_COLUMNS = [
     "appid", "name", "release_date", "price_usd", "dlc_count", "windows", "mac", "linux",
     "metacritic_score", "achievements", "recommendations", "developers", "publishers",
@@ -37,28 +39,40 @@ def load(
 
 
 def load_records(raw: DataFrame, absent_flag: bool = True, report: dict | None = None) -> Tables:
-    seen, typed_seen = Observation("records"), Observation("typed")
-    infinite = r"(?i)^\s*[+-]?(inf|infinity)\s*$"
-    raw = raw.observe(
-        seen,
+    typed = shaping.coerce_records(raw if report is None else _watch_raw(raw, report), absent_flag)
+    typed = typed if report is None else _watch_typed(typed, report)
+    games = write_through(shaping.shape_games(shaping.drop_junk(typed)), "games")
+    bridge = write_through(shaping.build_bridge(games), "bridge")
+    shaping.require_non_empty(bridge, games.select("tags"))
+    tags = write_through(shaping.build_tags(bridge), "tags")
+    if report is not None:
+        for watch in (report.pop("_raw"), report.pop("_typed")):
+            report.update(watch.get)
+    return Tables(games.select(*GAME_COLUMNS), tags, shaping.lookup_tag_ids(bridge, tags))
+
+
+def _watch_raw(raw: DataFrame, report: dict) -> DataFrame:
+    """Count records, absent flags and infinite counts while the records pass by."""
+    report["_raw"] = Observation()
+    infinite = [F.count_if(scalar_text(F.col(c)).rlike(INFINITE)) for c in COUNTS]
+    return raw.observe(
+        report["_raw"],
         F.count("*").alias("records"),
         *[F.count_if(F.col(c).isNull()).alias(f"absent_{c}") for c in FLAGS],
-        sum(F.count_if(scalar_text(F.col(c)).rlike(infinite)) for c in COUNTS).alias("infinite_counts"),
+        sum(infinite[1:], infinite[0]).alias("infinite_counts"),
     )
-    typed = shaping.coerce_records(raw, absent_flag).observe(
-        typed_seen,
+
+
+def _watch_typed(typed: DataFrame, report: dict) -> DataFrame:
+    """Count what the junk rules will drop; an entry may fall under several of them."""
+    report["_typed"] = Observation()
+    return typed.observe(
+        report["_typed"],
         F.count("*").alias("with_appid"),
         F.count_if(F.col("name").isNull()).alias("null_names"),
         F.count_if(shaping.is_test_name(F.col("name"))).alias("test_names"),
         F.count_if(shaping.is_zero_signal()).alias("zero_signal"),
     )
-    games = write_through(shaping.shape_games(shaping.drop_junk(typed)), "games")
-    bridge = write_through(shaping.build_bridge(games), "bridge")
-    shaping.require_non_empty(bridge, games.select("tags"))
-    tags = write_through(shaping.build_tags(bridge), "tags")
-    if report is not None:
-        report.update(seen.get, **typed_seen.get)
-    return Tables(games.select(*GAME_COLUMNS), tags, shaping.lookup_tag_ids(bridge, tags))
 
 
 def audit(tables: Tables, **rules) -> dict[str, DataFrame]:

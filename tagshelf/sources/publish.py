@@ -4,79 +4,110 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tagshelf.tables import Tables
 
 LOG = "_published"
-LOG_SCHEMA = "seq BIGINT, run_id STRING, games BIGINT, tags BIGINT, game_tags BIGINT"
+LOG_SCHEMA = "seq BIGINT, run_id STRING, buckets INT, games BIGINT, tags BIGINT, game_tags BIGINT"
 
-# Rows are put in ranges of these columns, so that min-max statistics let a scan skip files and row
-# groups. (appid, tag_id) also cuts through a game with very many rows.
-SORTED_BY = {"games": ["appid"], "tags": ["tag_id"], "game_tags": ["appid", "tag_id"]}
+# The two sides of the wide join of the KPIs, by the column they meet on.
+BUCKETED_BY = {"games": "appid", "game_tags": "appid"}
 
 
 def write_layout(df: DataFrame, path: str, sort_by: list[str], partitions: int | None = None) -> None:
-    """Write sorted ranges of `sort_by`: pass release_date_parsed, price_usd or
-    average_playtime_forever to serve filters on them, tag_id to serve those on a tag."""
-    ranges = [partitions] if partitions else []
-    df.repartitionByRange(*ranges, *sort_by).sortWithinPartitions(*sort_by).write.parquet(path)
-
+    """Write sorted ranges of `sort_by`, so that min-max statistics let a filter skip files and row
+    groups: release_date_parsed, price_usd or average_playtime_forever for games, tag_id for the bridge.
 
-def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
-    """Save as a catalog table bucketed and sorted by `key`: joins on it need no shuffle any more.
-
-    For tables whose key is checked: a bucket is read by one task.
+    Add a key as the last column if a single value may be very frequent; it then spans several ranges.
     """
-    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("overwrite")
-    (writer.option("path", path) if path else writer).saveAsTable(table)
+    ranges = [partitions] if partitions else []
+    df.repartitionByRange(*ranges, *sort_by).sortWithinPartitions(*sort_by).write.parquet(path)
 
 
 def publish(
-    tables: Tables, root: str, run_id: str | None = None, validate=None, partitions: int | None = None
+    tables: Tables, root: str, run_id: str | None = None, validate=None, buckets: int | None = None
 ) -> str:
     """Write a new snapshot under `root`, check what was written, then make it the current one.
 
     The switch is a single appended row in a log. A run that fails before leaves the former snapshot
     in force; a snapshot is never written to again.
+
+    With `buckets` the games and the bridge are bucketed and sorted by appid: the wide join of the KPIs
+    then reads matching buckets side by side and shuffles nothing. Aim at buckets that fit a task.
     """
     spark = tables.games.sparkSession
     run_id = run_id or uuid.uuid4().hex
     for name, df in tables._asdict().items():
-        write_layout(df, table_path(root, run_id, name), SORTED_BY[name], partitions)
-    written = load_tables(spark, root, run_id)
+        path = table_path(root, run_id, name)
+        if buckets and name in BUCKETED_BY:
+            _write_bucketed(df, path, BUCKETED_BY[name], buckets)
+        else:
+            df.write.parquet(path)
+    written = _read(spark, root, run_id, buckets)
     if validate is not None:
         validate(written)
     counts = [df.count() for df in (written.games, written.tags, written.game_tags)]
     seq = (_latest(spark, root) or {"seq": 0})["seq"] + 1
-    entry = spark.createDataFrame([(seq, run_id, *counts)], LOG_SCHEMA)
+    entry = spark.createDataFrame([(seq, run_id, buckets, *counts)], LOG_SCHEMA)
     entry.coalesce(1).write.mode("append").json(f"{root}/{LOG}")
     return run_id
 
 
 def current_run(spark: SparkSession, root: str) -> str:
-    latest = _latest(spark, root)
-    if latest is None:
-        raise FileNotFoundError(f"nothing published under {root}")
-    return latest["run_id"]
+    return _current(spark, root)["run_id"]
 
 
-def load_tables(spark: SparkSession, root: str, run_id: str | None = None) -> Tables:
-    """The tables of a snapshot, by default of the current one."""
-    run_id = run_id or current_run(spark, root)
-    return Tables(*[spark.read.parquet(table_path(root, run_id, name)) for name in Tables._fields])
+def load_tables(spark: SparkSession, root: str) -> Tables:
+    """The tables of the current snapshot."""
+    run = _current(spark, root)
+    return _read(spark, root, run["run_id"], run["buckets"])
 
 
 def table_path(root: str, run_id: str, name: str) -> str:
     return f"{root}/run_id={run_id}/{name}"
 
 
+def _read(spark: SparkSession, root: str, run_id: str, buckets: int | None) -> Tables:
+    def table(name: str) -> DataFrame:
+        df = spark.read.parquet(table_path(root, run_id, name))
+        if not (buckets and name in BUCKETED_BY):
+            return df
+        # Only a catalog table carries the bucketing to the planner.
+        catalog_name = f"tagshelf_{name}_{run_id.replace('-', '_')}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        key = BUCKETED_BY[name]
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {catalog_name} ({columns}) USING parquet "
+            f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS "
+            f"LOCATION '{table_path(root, run_id, name)}'"
+        )
+        return spark.table(catalog_name)
+
+    return Tables(*[table(name) for name in Tables._fields])
+
+
+def _write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
+    """One file per bucket, in a scratch catalog entry that is dropped again; the files stay."""
+    name = f"tagshelf_writing_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    writer.option("path", path).format("parquet").saveAsTable(name)
+    df.sparkSession.sql(f"DROP TABLE {name}")
+
+
+def _current(spark: SparkSession, root: str) -> dict:
+    latest = _latest(spark, root)
+    if latest is None:
+        raise FileNotFoundError(f"nothing published under {root}")
+    return latest
+
+
 def _latest(spark: SparkSession, root: str) -> dict | None:
     try:
         log = spark.read.schema(LOG_SCHEMA).json(f"{root}/{LOG}")
+        row = log.orderBy(F.col("seq").desc(), "run_id").first()
     except AnalysisException:
         return None
-    row = log.filter(F.col("run_id").isNotNull()).orderBy(F.col("seq").desc(), "run_id").first()
     return row.asDict() if row else None

@@ -194,6 +194,7 @@ SELECT tag_name, {GAMES_PER_GROUP}, {AVG_HRS}, {AVG_ACHIEVEMENTS}, {band('  ')},
 ORDER BY avg_playtime_hrs DESC, tag_name LIMIT 30""").replace("'High  (", "'High ("),
     "v_playtime_by_tag": V_PLAYTIME_BY_TAG,
     "v_playtime_by_tag_unchecked": V_PLAYTIME_BY_TAG,
+    "v_playtime_by_tag_bucketed": V_PLAYTIME_BY_TAG,
     "releases_top15": on(READY + ",\n" + YEARLY, f"""
 SELECT release_year, tag_name, games_released, {SO_FAR} FROM yearly WHERE {top(15)}
 ORDER BY tag_name, release_year"""),
