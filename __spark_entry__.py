@@ -164,6 +164,11 @@ def layout_active_games(t: Tables) -> DataFrame:
     ).select("appid", "release_date_parsed", "price_usd")
 
 
+def non_game_review(t: Tables) -> DataFrame:
+    review = audit.non_game_review(t.games, t.game_tags, t.tags, **RULES)
+    return review.withColumn("genres_and_tags", F.array_join("genres_and_tags", "|"))
+
+
 # --- shaping --------------------------------------------------------------------------------------
 
 
@@ -380,11 +385,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "zero_engagement_sample": on_loaded(lambda t: audit.zero_engagement_sample(t.games)),
         "non_game_candidates": on_loaded(_candidates),
         "non_game_count": on_loaded(lambda t: audit.non_game_count(_candidates(t))),
-        "non_game_review": on_loaded(
-            lambda t: audit.non_game_review(
-                t.games.withColumn("genres_and_tags", F.array()), t.game_tags, t.tags, **RULES
-            ).drop("genres_and_tags")
-        ),
+        "non_game_review": on_loaded(non_game_review),
         "null_prices": on_loaded(null_prices),
         "parse_dates": on_loaded(parse_dates),
         "clean_games": on_loaded(clean_games),

@@ -92,12 +92,12 @@ def guard_max_rows(df: DataFrame, max_rows: int = fv.MAX_NON_GAME_ROWS) -> int:
 
 def anti(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     """Rows of `df` whose `column` is not among `keys`."""
-    return df.join(keys.select(column), column, "left_anti")
+    return df.join(keys.select(column), column, "left_anti").select(df.columns)
 
 
 def semi(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     """Rows of `df` whose `column` is among `keys`."""
-    return df.join(keys.select(column), column, "left_semi")
+    return df.join(keys.select(column), column, "left_semi").select(df.columns)
 
 
 def prune_orphan_bridge(game_tags: DataFrame, games: DataFrame) -> DataFrame:

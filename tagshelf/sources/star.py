@@ -1,7 +1,7 @@
 """Adapter: order tables in the shape of a game catalogue.
 
-An order stands for a game, the brand and the type of a part for tags, and a line item ties them
-together; the votes of a tag are the quantity ordered under it.
+An order stands for a game, its priority and status for genres, the brand and the type of a part for
+tags, and a line item ties them together; the votes of a tag are the quantity ordered under it.
 """
 
 from __future__ import annotations
@@ -36,7 +36,8 @@ def star_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.when(F.col("l_returnflag") == "R", quantity)).cast("bigint").alias("neg"),
     )
     orders = read(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("appid"), "o_totalprice", F.col("o_orderdate").cast("date").alias("day")
+        F.col("o_orderkey").alias("appid"), "o_totalprice", F.col("o_orderdate").cast("date").alias("day"),
+        F.array("o_orderpriority", "o_orderstatus").alias("genres_and_tags"),
     )
     sums = orders.join(lines, "appid", "left").na.fill(0, ["q", "n", "pos", "neg"])
     price = (
@@ -60,6 +61,7 @@ def star_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("q") * 10).alias("average_playtime_forever"),
         (F.col("q") * 8).alias("median_playtime_forever"),
         F.col("n").alias("peak_ccu"),
+        "genres_and_tags",
     )
 
 

@@ -25,7 +25,8 @@ games0 AS (
               ELSE CAST(round(CAST(o_totalprice / 5000 AS DECIMAL(18,8)), 2) AS DOUBLE) END AS price_usd,
          coalesce(n, 0) * 7 AS achievements, coalesce(pos, 0) AS positive_reviews,
          coalesce(neg, 0) AS negative_reviews, coalesce(q, 0) * 10 AS average_playtime_forever,
-         coalesce(q, 0) * 8 AS median_playtime_forever, coalesce(n, 0) AS peak_ccu
+         coalesce(q, 0) * 8 AS median_playtime_forever, coalesce(n, 0) AS peak_ccu,
+         o_orderpriority || '|' || o_orderstatus AS genres_and_tags
   FROM orders LEFT JOIN l ON k = o_orderkey),
 bridge0 AS (
   SELECT l_orderkey AS appid, tag_name, CAST(sum(l_quantity) AS BIGINT) AS votes
@@ -251,7 +252,7 @@ ORDER BY appid LIMIT 20"""),
     "non_game_candidates": on(LOADED, _candidates("games0", "gt0")),
     "non_game_count": on(LOADED, f"SELECT count(*) AS non_game_rows_to_remove FROM ({_candidates('games0', 'gt0')})"),
     "non_game_review": on(LOADED + ",\n" + CAND0, """
-SELECT appid, name, tag_name AS non_game_tag, votes AS non_game_tag_votes
+SELECT appid, name, genres_and_tags, tag_name AS non_game_tag, votes AS non_game_tag_votes
 FROM cand0 JOIN games0 USING (appid) JOIN gt0 USING (appid) JOIN tags0 USING (tag_id)
 ORDER BY votes DESC, name, appid, tag_name"""),
     "null_prices": on(LOADED, """

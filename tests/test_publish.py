@@ -1,0 +1,86 @@
+"""Snapshots, views and the full reload."""
+
+import pytest
+
+from tagshelf.fixed_values import VIEW_NAMES
+from tagshelf.operators import kpi
+from tagshelf.plans import pipeline
+from tagshelf.sources import views
+from tagshelf.sources.publish import current_run, load_tables, publish, write_layout
+from tagshelf.tables import Tables
+from tests.test_clean import game, make, rows  # noqa: F401
+from tests.test_ingest import record, write_object
+
+
+@pytest.fixture
+def tables(make):  # noqa: F811
+    return make([game(1), game(2)], [(1, "A", 2)], [(1, 1, 1), (2, 1, 5)])
+
+
+def test_roundtrip_and_switch(spark, tmp_path, tables):
+    root = str(tmp_path)
+    first = publish(tables, root, validate=pipeline.validate)
+    assert current_run(spark, root) == first
+    smaller = Tables(tables.games.filter("appid = 1"), tables.tags, tables.game_tags.filter("appid = 1"))
+    second = publish(smaller, root, run_id="second", validate=pipeline.validate)
+    assert (current_run(spark, root), second) == ("second", "second")
+    assert rows(load_tables(spark, root).game_tags) == [(1, 1, 1)]
+
+
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_a_failed_check_leaves_the_former_snapshot(spark, tmp_path, tables, buckets):
+    root = str(tmp_path)
+    first = publish(tables, root, validate=pipeline.validate, buckets=buckets)
+    broken = Tables(tables.games.filter("appid = 1"), tables.tags, tables.game_tags)
+    with pytest.raises(ValueError, match="game_tags.appid"):
+        publish(broken, root, validate=pipeline.validate, buckets=buckets)
+    assert current_run(spark, root) == first
+    assert rows(load_tables(spark, root).game_tags) == [(1, 1, 1), (2, 1, 5)]
+
+
+def test_nothing_published(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        load_tables(spark, str(tmp_path / "none"))
+
+
+def test_bucketed_snapshot_holds_the_same_rows(spark, tmp_path, tables):
+    root = str(tmp_path)
+    publish(tables, root, buckets=3)
+    again = load_tables(spark, root)
+    for name in Tables._fields:
+        assert rows(getattr(again, name)) == rows(getattr(tables, name))
+
+
+def test_layout_is_sorted(spark, tmp_path):
+    write_layout(spark.range(1000).selectExpr("id * 7 % 1000 AS x"), str(tmp_path / "t"), ["x"], partitions=4)
+    ranges = spark.read.parquet(str(tmp_path / "t")).selectExpr("x", "input_file_name() AS f").groupBy("f").agg(
+        {"x": "min"}
+    )
+    assert ranges.count() == 4
+
+
+def test_views(spark, tables):
+    from tagshelf.operators.clean import parse_dates
+
+    dated = Tables(parse_dates(tables.games), tables.tags, tables.game_tags)
+    assert views.create_views(dated) == sorted(VIEW_NAMES)
+    assert [r.viewName for r in views.list_views(spark).collect()] == sorted(VIEW_NAMES)
+    assert spark.table("v_kpi_playtime_by_price").count() == 1
+    assert pipeline.kpis(dated).keys() == set(VIEW_NAMES)
+
+
+def test_full_reload(spark, tmp_path):
+    records = [
+        (str(i), record(name=f"Game {i}", tags={"Indie": 9, f"T{i % 2}": 3}, positive=30, price=float(i % 3)))
+        for i in range(1, 41)
+    ]
+    records.append(("100", record(name="Editor", tags={"Utilities": 7})))
+    source, root = write_object(tmp_path, records), str(tmp_path / "out")
+    report = {}
+    pipeline.refresh(spark, source, root, report=report)
+    t = load_tables(spark, root)
+    assert (report["records"], t.games.count(), t.game_tags.count()) == (41, 40, 80)
+    assert rows(t.tags.select("tag_name", "game_count")) == [("Indie", 40), ("T0", 20), ("T1", 20)]
+    assert kpi.review_scores_by_tag(t.games, t.game_tags, t.tags).count() == 3
+    pipeline.refresh(spark, source, root, remove=False)
+    assert load_tables(spark, root).games.count() == 41
