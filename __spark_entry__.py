@@ -53,7 +53,7 @@ def ready(spark: SparkSession, sf_dir: str) -> Tables:
     """The catalogue cleaned, without non-games, checked."""
     return _snapshot(
         spark, sf_dir, "ready",
-        lambda: pipeline.remove_non_games(pipeline.clean(loaded(spark, sf_dir)), MAX_ROWS, **RULES),
+        lambda: pipeline.clean_and_remove(loaded(spark, sf_dir), MAX_ROWS, assume_unique=True, **RULES),
     )
 
 
@@ -310,12 +310,17 @@ def _ingested(tables: Tables) -> DataFrame:
     )
 
 
+def write_ndjson(spark: SparkSession, sf_dir: str, folder: str) -> int:
+    """Write the catalogue as one JSON record per line; returns the number of records."""
+    key = F.concat(F.lit('{"appid": "'), F.col("appid").cast("string"), F.lit('", '))
+    _json_records(spark, sf_dir).select(F.concat(key, F.expr("substring(record, 2)"))).write.text(folder)
+    return loaded(spark, sf_dir).games.count()
+
+
 def ingest_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the catalogue as one JSON record per line, load it, and look at every game."""
+    """Write the catalogue as JSON lines, load it, and look at every game."""
     folder = new_folder(spark, "ndjson")
-    records = _json_records(spark, sf_dir)
-    line = F.concat(F.lit('{"appid": "'), F.col("appid").cast("string"), F.lit('", '), F.expr("substring(record, 2)"))
-    records.select(line).write.text(folder)
+    write_ndjson(spark, sf_dir, folder)
     return _ingested(pipeline.load(spark, folder, "ndjson"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tagshelf import fixed_values as fv
 from tagshelf.operators.clean import date_of, non_game_appids, zero_engagement
+from tagshelf.sources.shared import broadcast_checked
 
 
 def audit_summary(games: DataFrame) -> DataFrame:
@@ -76,5 +77,5 @@ def tag_votes_over(
 ) -> DataFrame:
     """Games that carry the tag with more than the given votes."""
     tag = tags.filter(F.col("tag_name") == tag_name).select("tag_id")
-    fitting = game_tags.filter(F.col("votes") > votes).join(tag, "tag_id", "left_semi")
+    fitting = game_tags.filter(F.col("votes") > votes).join(broadcast_checked(tag), "tag_id", "left_semi")
     return games.join(fitting.select("appid"), "appid", "left_semi")

@@ -76,9 +76,12 @@ def _watch_typed(typed: DataFrame, report: dict) -> DataFrame:
 
 
 def audit(tables: Tables, **rules) -> dict[str, DataFrame]:
-    """The whole profile, as DataFrames by name. Nothing is changed."""
+    """The whole profile, as DataFrames by name. Nothing is changed.
+
+    The candidates are computed once, for their count and their review.
+    """
     games, tags, game_tags = tables
-    candidates = cleaning.non_game_appids(games, game_tags, tags, **rules)
+    candidates = write_through(cleaning.non_game_appids(games, game_tags, tags, **rules), "non_games")
     return {
         "audit_summary": audits.audit_summary(games),
         "audit_price_range": audits.audit_price_range(games),
@@ -97,16 +100,14 @@ def clean_games(games: DataFrame) -> DataFrame:
     return cleaning.drop_zero_engagement(cleaning.parse_dates(priced))
 
 
-def clean(tables: Tables) -> Tables:
-    """Clean the games, and bring bridge and tags in line, whether non-games are removed later or not.
-
-    The pruned bridge is written once, as the tags are counted on it.
-    """
-    games = clean_games(tables.games)
-    return _in_line(games, tables.tags, tables.game_tags)
+def clean(tables: Tables, assume_unique: bool = False) -> Tables:
+    """Clean the games, and bring bridge and tags in line, whether non-games are removed later or not."""
+    return _in_line(tables._replace(games=clean_games(tables.games)), assume_unique)
 
 
-def remove_non_games(tables: Tables, max_rows: int = fv.MAX_NON_GAME_ROWS, **rules) -> Tables:
+def remove_non_games(
+    tables: Tables, max_rows: int = fv.MAX_NON_GAME_ROWS, assume_unique: bool = False, **rules
+) -> Tables:
     """Remove the non-game candidates everywhere, unless there are more than `max_rows` of them.
 
     The candidates are computed once. Their written size tells the planner whether to broadcast them.
@@ -115,14 +116,26 @@ def remove_non_games(tables: Tables, max_rows: int = fv.MAX_NON_GAME_ROWS, **rul
         cleaning.non_game_appids(tables.games, tables.game_tags, tables.tags, **rules), "non_games"
     )
     cleaning.guard_max_rows(candidates, max_rows)
-    games = cleaning.anti(tables.games, candidates, "appid")
-    game_tags = cleaning.anti(tables.game_tags, candidates, "appid")
-    return _in_line(games, tables.tags, game_tags)
+    return _in_line(tables._replace(games=cleaning.anti(tables.games, candidates, "appid")), assume_unique)
+
 
+def clean_and_remove(
+    tables: Tables, max_rows: int = fv.MAX_NON_GAME_ROWS, assume_unique: bool = False, **rules
+) -> Tables:
+    """`clean` and `remove_non_games` in one: a verdict on a game needs only its own bridge rows, so
+    the bridge is brought in line once, at the end."""
+    cleaned = tables._replace(games=clean_games(tables.games))
+    return remove_non_games(cleaned, max_rows, assume_unique, **rules)
+
+
+def _in_line(tables: Tables, assume_unique: bool) -> Tables:
+    """Bridge rows of the games that are there, tags in use with their number of games.
 
-def _in_line(games: DataFrame, tags: DataFrame, game_tags: DataFrame) -> Tables:
-    game_tags = write_through(cleaning.prune_orphan_bridge(game_tags, games), "game_tags")
-    return Tables(games, cleaning.refresh_tags(tags, game_tags), game_tags)
+    This is also what removes the bridge rows of deleted games. The bridge is written once, as the
+    tags are counted on it.
+    """
+    pruned = write_through(cleaning.prune_orphan_bridge(tables.game_tags, tables.games), "game_tags")
+    return Tables(tables.games, cleaning.refresh_tags(tables.tags, pruned, assume_unique), pruned)
 
 
 def violations(tables: Tables) -> dict[str, DataFrame]:
@@ -156,10 +169,13 @@ def refresh(
     layout: str = "object",
     remove: bool = True,
     max_rows: int = fv.MAX_NON_GAME_ROWS,
+    buckets: int | None = None,
     report: dict | None = None,
 ) -> str:
-    """A full reload: load, clean, optionally remove non-games, check and publish. Returns the run id."""
-    tables = clean(load(spark, path, layout, report=report))
-    if remove:
-        tables = remove_non_games(tables, max_rows)
-    return publish(tables, root, validate=validate)
+    """A full reload: load, clean, optionally remove non-games, check and publish. Returns the run id.
+
+    The loader makes each (appid, tag) once, so games per tag are counted as rows.
+    """
+    tables = load(spark, path, layout, report=report)
+    tables = clean_and_remove(tables, max_rows, True) if remove else clean(tables, True)
+    return publish(tables, root, validate=validate, buckets=buckets)

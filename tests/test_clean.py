@@ -141,3 +141,11 @@ def test_statistics(spark):
     quality.analyze(spark, "stats_probe")
     described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED stats_probe").collect()}
     assert "10 rows" in described["Statistics"]
+
+
+def test_one_step_equals_two(make):
+    games = [game(1), game(2, pos=0, neg=0, avg=0, med=0), game(3, price=-1.0), game(4)]
+    t = make(games, [(1, "Software", 9), (2, "Indie", 9)], [(1, 1, 5), (2, 1, 9), (3, 1, 1), (3, 2, 3), (4, 1, 2)])
+    one, two = pipeline.clean_and_remove(t), pipeline.remove_non_games(pipeline.clean(t))
+    assert [r.appid for r in one.games.orderBy("appid").collect()] == [3, 4]
+    assert [rows(x) for x in one] == [rows(x) for x in two]
