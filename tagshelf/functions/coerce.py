@@ -2,24 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # What counts as a number in text form; Spark's own cast would also take a suffix such as "1d".
 _NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
-_INTEGER = r"^\s*[+-]?\d+\s*$"
 
 
-def scalar_text(value: Column) -> Column:
-    """Text of a VARIANT scalar; booleans become 1 and 0, a JSON null becomes NULL.
-
-    The JSON form of the value tells the kinds apart by its first character.
-    """
-    raw = F.to_json(value)
-    return (
-        F.when(raw.startswith('"'), F.try_variant_get(value, "$", "string"))
-        .when(raw == "true", "1").when(raw == "false", "0").when(raw != "null", raw)
-    )
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)`, with `value` computed once however often it is used, in lambdas too."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def coerce_double(text: Column) -> Column:
@@ -29,10 +23,7 @@ def coerce_double(text: Column) -> Column:
 
 def coerce_long(text: Column) -> Column:
     """Number in text form to bigint, decimals cut towards zero; not a number or out of range to NULL."""
-    return F.coalesce(
-        F.when(text.rlike(_INTEGER), text.try_cast("bigint")),
-        coerce_double(text).try_cast("bigint"),
-    )
+    return F.coalesce(text.try_cast("bigint"), coerce_double(text).try_cast("bigint"))
 
 
 def coerce_long0(text: Column) -> Column:
@@ -40,6 +31,23 @@ def coerce_long0(text: Column) -> Column:
     return F.coalesce(coerce_long(text), F.lit(0).cast("bigint"))
 
 
+def json_text(value: Column) -> Column:
+    """Text of a VARIANT scalar, NULL for a JSON null."""
+    return F.try_variant_get(value, "$", "string")
+
+
+def json_double(value: Column) -> Column:
+    """A VARIANT to double: numbers, booleans as 1 and 0, numbers in text form; else NULL."""
+    is_text = F.to_json(value).startswith('"')
+    number = F.try_variant_get(value, "$", "double")
+    return F.when(is_text, coerce_double(json_text(value))).otherwise(F.when(~F.isnan(number), number))
+
+
+def json_long0(value: Column) -> Column:
+    """A VARIANT to bigint as `coerce_long0`; booleans count as 1 and 0. Integers take the first branch."""
+    return F.coalesce(F.try_variant_get(value, "$", "bigint"), coerce_long0(json_text(value)))
+
+
 def coerce_key(df: DataFrame, key: str, text: Column | None = None) -> DataFrame:
     """Make `key` a bigint and drop the rows where that is not possible."""
     source = F.col(key).cast("string") if text is None else text
@@ -85,11 +93,11 @@ def coerce_flag(value: Column, absent: bool = True) -> Column:
 def dict_entries(m: Column) -> Column:
     """Entries of a map as an array of (key, value): a repeated key keeps its first place and last value."""
     keys, values = F.map_keys(m), F.map_values(m)
-    last = lambda k: (F.size(keys) - F.array_position(F.reverse(keys), k) + 1).cast("int")
-    return F.transform(
-        F.array_distinct(keys),
-        lambda k: F.struct(k.alias("key"), F.element_at(values, last(k)).alias("value")),
+    last = lambda k: (F.size(keys) - F.array_position(F.reverse(keys), k)).cast("int")
+    settled = F.transform(
+        F.array_distinct(keys), lambda k: F.struct(k.alias("key"), F.get(values, last(k)).alias("value"))
     )
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_entries(m)).otherwise(settled)
 
 
 def strip(text: Column) -> Column:
@@ -97,9 +105,17 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
 
 
-def keep_first(items: Column, same: Column) -> Column:
-    """Drop the items of an array whose twin in `same` (an array of equal length) came up before."""
-    return F.filter(items, lambda _, i: F.array_position(same, F.get(same, i)) == i + 1)
+def first_by(items: Column, key: Callable[[Column], Column]) -> Column:
+    """The first item of each key, in order of appearance."""
+    return let(
+        items,
+        lambda xs: let(
+            F.transform(xs, key),
+            lambda ks: F.transform(
+                F.array_distinct(ks), lambda k: F.get(xs, (F.array_position(ks, k) - 1).cast("int"))
+            ),
+        ),
+    )
 
 
 def merge_genres_and_tags(categories: Column, tag_names: Column) -> Column:
@@ -107,4 +123,4 @@ def merge_genres_and_tags(categories: Column, tag_names: Column) -> Column:
     items = F.filter(
         F.transform(F.concat(categories, tag_names), strip), lambda x: x.isNotNull() & (x != "")
     )
-    return keep_first(items, F.transform(items, F.lower))
+    return first_by(items, F.lower)

@@ -80,12 +80,15 @@ def non_game_appids(
 
 
 def guard_max_rows(df: DataFrame, max_rows: int = fv.MAX_NON_GAME_ROWS) -> int:
-    """Number of rows of `df`, or an error if there are more than `max_rows`. Reads no more than needed."""
-    n = df.limit(max_rows + 1).count()
+    """Number of rows of `df`, or an error if there are more than `max_rows`.
+
+    A plain distributed count: a limit would move up to `max_rows` rows into one task.
+    """
+    n = df.count()
     if n > max_rows:
         raise ValueError(
-            f"more than {max_rows} rows would be removed; review the candidates, then change the tag "
-            "lists, the votes threshold or the limit"
+            f"{n} rows would be removed, more than {max_rows}; review the candidates, then change the "
+            "tag lists, the votes threshold or the limit"
         )
     return n
 

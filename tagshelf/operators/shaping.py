@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tagshelf.fixed_values import TEST_NAME
 from tagshelf.functions.coerce import (
-    coerce_double, coerce_flag, coerce_key, coerce_long0, dict_entries, keep_first,
-    merge_genres_and_tags, or_empty_array, or_empty_map, scalar_text, strip,
+    coerce_flag, coerce_key, coerce_long0, dict_entries, first_by, json_double, json_long0,
+    merge_genres_and_tags, or_empty_array, or_empty_map, strip,
 )
 from tagshelf.sources.records import COUNTS, FLAGS
 from tagshelf.sources.shared import broadcast_checked, write_through
@@ -24,8 +24,8 @@ def coerce_records(raw: DataFrame, absent_flag: bool = True) -> DataFrame:
     )
     typed = raw.withColumns(
         {
-            "price": coerce_double(scalar_text(F.col("price"))),
-            **{c: coerce_long0(scalar_text(F.col(c))) for c in COUNTS},
+            "price": json_double(F.col("price")),
+            **{c: json_long0(F.col(c)) for c in COUNTS},
             **{c: coerce_flag(F.col(c), absent_flag) for c in FLAGS},
             **{c: or_empty_array(F.col(c)) for c in ("developers", "publishers", "categories")},
             "tags": F.map_from_entries(votes),
@@ -76,7 +76,7 @@ def build_bridge(games: DataFrame) -> DataFrame:
     named = F.filter(stripped, lambda t: t["name"] != "")
     return (
         games.select("appid", "record_ord", named.alias("t"))
-        .select("appid", "record_ord", F.explode(keep_first(F.col("t"), F.col("t.name"))).alias("t"))
+        .select("appid", "record_ord", F.explode(first_by(F.col("t"), lambda t: t["name"])).alias("t"))
         .groupBy("appid", F.col("t.name").alias("tag_name"))
         .agg(F.min_by("t.votes", "record_ord").alias("votes"))
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tagshelf import fixed_values as fv
-from tagshelf.functions.coerce import scalar_text
+from tagshelf.functions.coerce import json_text
 from tagshelf.operators import audit as audits
 from tagshelf.operators import clean as cleaning
 from tagshelf.operators import quality, shaping
@@ -54,7 +54,7 @@ def load_records(raw: DataFrame, absent_flag: bool = True, report: dict | None =
 def _watch_raw(raw: DataFrame, report: dict) -> DataFrame:
     """Count records, absent flags and infinite counts while the records pass by."""
     report["_raw"] = Observation()
-    infinite = [F.count_if(scalar_text(F.col(c)).rlike(INFINITE)) for c in COUNTS]
+    infinite = [F.count_if(json_text(F.col(c)).rlike(INFINITE)) for c in COUNTS]
     return raw.observe(
         report["_raw"],
         F.count("*").alias("records"),

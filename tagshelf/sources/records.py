@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagshelf.functions.coerce import scalar_text
+from tagshelf.functions.coerce import json_text
 
 # Typed as loosely as each coercion rule needs. VARIANT keeps apart an absent key, a JSON null, a
 # boolean and a string; a field of an unexpected kind becomes NULL without touching its neighbours.
@@ -67,7 +67,7 @@ def parse_records(records: DataFrame, key: Column | None) -> DataFrame:
         parsed = records.withColumn("r", F.from_json("record", f"appid VARIANT, {RECORD_SCHEMA}"))
         broken = F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring("record", 1, 200)))
         key = F.coalesce(
-            scalar_text(F.col("r.appid")),
+            json_text(F.col("r.appid")),
             F.when(F.json_object_keys("record").isNull(), broken.cast("string")),
         )
     else:

@@ -42,7 +42,9 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark `df` for broadcast if it is seen to hold at most `max_rows` rows; otherwise leave it alone,
-    and the join is planned as a shuffle join with the skew handling of adaptive execution."""
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if fits else df
+    """Mark `df` for broadcast if it is counted to hold at most `max_rows` rows; otherwise leave it alone,
+    and the join is planned as a shuffle join with the skew handling of adaptive execution.
+
+    For dimensions that are cheap to count, such as a written table or a filter on one.
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
