@@ -5,8 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from tagshelf.operators import kpi
-from tagshelf.plans import pipeline
+from tagshelf.operators import clean, kpi
 from tagshelf.sources.publish import load_tables, publish
 from tagshelf.sources.shared import broadcast_checked, new_folder
 
@@ -84,5 +83,5 @@ def test_broadcast_only_below_the_checked_size(spark):
 
 def test_candidates_need_one_shuffle_of_the_bridge(spark, no_broadcast):
     t = entry.loaded(spark, SF_DIR)
-    text = plan(pipeline.audit(t, **entry.RULES)["non_game_candidates"])
+    text = plan(clean.non_game_appids(t.games, t.game_tags, t.tags, **entry.RULES))
     assert len(re.findall(r"Exchange hashpartitioning\(appid", text)) == 2
