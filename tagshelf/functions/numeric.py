@@ -42,14 +42,13 @@ def average_hours(total_minutes: Column, n: Column) -> Column:
 
 
 def approval(positive: Column, negative: Column) -> Column:
-    """Share of positive reviews with 18 exact decimal places; NULL without reviews."""
-    reviews = zero_to_null(positive + negative)
-    return (positive.cast("decimal(20,0)") / reviews.cast("decimal(20,0)")).cast("decimal(20,18)")
+    """Share of positive reviews; NULL without reviews."""
+    return positive.cast("double") / zero_to_null(positive + negative)
 
 
 def approval_pct(total_approval: Column, n: Column) -> Column:
     """Average approval in percent, one decimal place, from the sum and count of `approval` values."""
-    return F.round(total_approval.cast("decimal(32,18)") * 100 / zero_to_null(n), 1).cast("double")
+    return rounded(total_approval / zero_to_null(n) * 100, 1)
 
 
 def _product_gap(a: Column, b: Column, c: Column, d: Column) -> Column:
@@ -59,15 +58,15 @@ def _product_gap(a: Column, b: Column, c: Column, d: Column) -> Column:
     return F.coalesce(exact, a.cast("double") * b.cast("double") - c.cast("double") * d.cast("double"))
 
 
-def pearson(n, sum_x, sum_y, sum_xx, sum_yy, sum_xy) -> Column:
-    """Pearson correlation of whole numbers from their power sums; NULL where x or y is constant.
+def pearson(n, sum_x, sum_y, sum_xx, sum_yy, sum_xy, varies: Column) -> Column:
+    """Pearson correlation of whole numbers from their power sums; NULL unless both sides vary.
 
-    The built-in `corr` divides by zero on such groups under ANSI rules.
+    The built-in `corr` divides by zero on constant groups under ANSI rules.
     """
     both = _product_gap(n, sum_xy, sum_x, sum_y)
     only_x = _product_gap(n, sum_xx, sum_x, sum_x)
     only_y = _product_gap(n, sum_yy, sum_y, sum_y)
-    defined = (only_x > 0) & (only_y > 0)
+    defined = varies & (only_x > 0) & (only_y > 0)
     return F.when(defined, both / F.sqrt(only_x) / F.sqrt(only_y))
 
 

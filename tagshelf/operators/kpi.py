@@ -18,6 +18,7 @@ from tagshelf.functions.numeric import (
     wilson_lower_bound, zero_to_null,
 )
 from tagshelf.operators.summary import summarise
+from tagshelf.sources.shared import is_small
 
 PLAYTIME = "average_playtime_forever"
 
@@ -78,16 +79,18 @@ def playtime_by_tag(
 ) -> DataFrame:
     """Playtime per tag, its correlation with the achievement count, and the achievement band."""
     rows = tagged(played(games).select("appid", PLAYTIME, "achievements"), game_tags)
-    x, n, y = (whole(F.col(c)) for c in (PLAYTIME, "_n", "_y"))
-    squared = F.col("achievements").cast("double") * F.col("achievements").cast("double")
+    x, y = F.col(PLAYTIME).cast("double"), F.col("achievements").cast("double")
     stats = summarise(
         rows, ["tag_id"], PLAYTIME,
-        cell={"_y": F.sum("achievements"), "_yy": F.sum(squared)},
-        total={
-            "sum_y": F.sum(y), "sum_yy": F.sum("_yy"),
-            "sum_xx": F.sum(x * x * n), "sum_xy": F.sum(x * y),
+        {
+            "sum_y": ("whole", F.col("achievements")),
+            "sum_xx": ("sum", x * x), "sum_yy": ("sum", y * y), "sum_xy": ("sum", x * y),
+            "min_x": ("min", F.col(PLAYTIME)), "max_x": ("max", F.col(PLAYTIME)),
+            "min_y": ("min", F.col("achievements")), "max_y": ("max", F.col("achievements")),
         },
+        few_groups=is_small(tags),
     )
+    varies = (F.col("min_x") < F.col("max_x")) & (F.col("min_y") < F.col("max_y"))
     m = F.col("n")
     stats = stats.select(
         "tag_id", "n",
@@ -96,7 +99,7 @@ def playtime_by_tag(
         rounded_ratio(F.col("sum_y"), m, 0).alias("avg_achievements"),
         rounded(
             pearson(m, F.col("total_minutes"), F.col("sum_y"), F.col("sum_xx"), F.col("sum_yy"),
-                    F.col("sum_xy")), 3,
+                    F.col("sum_xy"), varies), 3,
         ).alias(fv.CORRELATION_COLUMN[style]),
         achievement_band(F.col("sum_y"), m, style).alias("achievement_band"),
     )
@@ -161,7 +164,7 @@ def playtime_by_price(games: DataFrame, style: str = "view") -> DataFrame:
     )
     stats = summarise(
         rows, ["sort_order"], PLAYTIME,
-        cell={"_reviews": F.sum("reviews")}, total={"reviews": F.sum(whole(F.col("_reviews")))},
+        {"total_reviews": ("whole", F.col("reviews"))},
     )
     n = F.col("n")
     result = stats.select(
@@ -169,7 +172,7 @@ def playtime_by_price(games: DataFrame, style: str = "view") -> DataFrame:
         n.alias("game_count"),
         average_hours(F.col("total_minutes"), n).alias("avg_playtime_hrs"),
         hours(F.col("median_minutes")).alias("median_playtime_hrs"),
-        rounded_ratio(F.col("reviews"), n, 0).alias("avg_review_count"),
+        rounded_ratio(F.col("total_reviews"), n, 0).alias("avg_review_count"),
     )
     return result.orderBy("sort_order") if style == "report" else result
 
@@ -187,17 +190,14 @@ def f2p_vs_paid_summary(games: DataFrame, price_cap: float = fv.PRICE_MAX, order
     )
     stats = summarise(
         rows, ["model"], PLAYTIME,
-        cell={
-            "_price": F.sum("price_usd"), "_achievements": F.sum("achievements"),
-            "_approval": F.sum("approval"), "_rated": F.count("approval"),
-        },
-        total={
-            "price": F.sum("_price"), "achievements": F.sum(whole(F.col("_achievements"))),
-            "approval": F.sum("_approval"), "rated": F.sum("_rated"),
+        {
+            "total_price": ("sum", F.col("price_usd")),
+            "total_achievements": ("whole", F.col("achievements")),
+            "total_approval": ("sum", F.col("approval")), "rated": ("count", F.col("approval")),
         },
     )
     n = F.col("n")
-    avg_price = F.col("price") / n
+    avg_price = F.col("total_price") / n
     avg_minutes = exact_ratio(F.col("total_minutes"), n).cast("double")
     per_dollar = avg_minutes / zero_to_null(F.least(avg_price, F.lit(float(price_cap)))) / 60
     result = stats.select(
@@ -206,8 +206,8 @@ def f2p_vs_paid_summary(games: DataFrame, price_cap: float = fv.PRICE_MAX, order
         average_hours(F.col("total_minutes"), n).alias("avg_playtime_hrs"),
         hours(F.col("median_minutes")).alias("median_playtime_hrs"),
         rounded(per_dollar, 1).alias("playtime_hrs_per_dollar"),
-        rounded_ratio(F.col("achievements"), n, 1).alias("avg_achievements"),
-        approval_pct(F.col("approval"), F.col("rated")).alias("avg_approval_pct"),
+        rounded_ratio(F.col("total_achievements"), n, 1).alias("avg_achievements"),
+        approval_pct(F.col("total_approval"), F.col("rated")).alias("avg_approval_pct"),
     )
     return result.orderBy("model") if ordered else result
 
@@ -231,13 +231,13 @@ def f2p_vs_paid(
     keys = ["tag_id", "model"]
     stats = summarise(
         rows, keys, PLAYTIME,
-        cell={"_approval": F.sum("approval"), "_rated": F.count("approval")},
-        total={"approval": F.sum("_approval"), "rated": F.sum("_rated")},
+        {"total_approval": ("sum", F.col("approval")), "rated": ("count", F.col("approval"))},
+        few_groups=is_small(tags),
     ).select(
         *keys, "n",
         average_hours(F.col("total_minutes"), F.col("n")).alias("avg_playtime_hrs"),
         hours(F.col("median_minutes")).alias("median_playtime_hrs"),
-        approval_pct(F.col("approval"), F.col("rated")).alias("avg_approval_pct"),
+        approval_pct(F.col("total_approval"), F.col("rated")).alias("avg_approval_pct"),
     )
     counted = _with_games(stats, rows, keys, assume_unique).filter(F.col("game_count") >= min_games)
     result = _named(counted, tags, F.col("game_count").alias("tag_total_game_count")).select(
@@ -273,7 +273,7 @@ def review_scores_by_tag(
         F.count("*").alias("n"),
         F.sum("positive").alias("total_positive"),
         F.sum("reviews").alias("total_reviews"),
-        F.sum("approval").alias("approval"),
+        F.sum("approval").alias("total_approval"),
         F.count("approval").alias("rated"),
     )
     counted = _with_games(stats, rows, ["tag_id"], assume_unique).filter(
@@ -282,7 +282,7 @@ def review_scores_by_tag(
     total_positive, total_reviews = F.col("total_positive"), F.col("total_reviews")
     result = _named(counted, tags).select(
         "tag_name", "game_count", "total_reviews",
-        approval_pct(F.col("approval"), F.col("rated")).alias("avg_approval_pct"),
+        approval_pct(F.col("total_approval"), F.col("rated")).alias("avg_approval_pct"),
         rounded_ratio(total_positive * 100, total_reviews, 1).alias("pooled_approval_pct"),
         rounded(wilson_lower_bound(total_positive, total_reviews, z), 2).alias("wilson_score"),
     )

@@ -1,4 +1,4 @@
-"""Count, exact average and exact median per group in one pass over the rows."""
+"""Count, exact average and exact median per group, without bringing a group into one task."""
 
 from __future__ import annotations
 
@@ -7,38 +7,100 @@ from pyspark.sql import functions as F
 
 from tagshelf.functions.numeric import whole
 
+# Buckets per doubling of the value, as a power of two.
+BUCKET_BITS = 3
+# Whole numbers up to this size (32 years in minutes) are summed as bigint, which holds 5 * 10^11 of them.
+SMALL = 1 << 24
+
+_MERGED_BY = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+
+
+def _first(name: str, how: str, value: Column) -> list[Column]:
+    """Aggregates over rows. A `whole` total is a bigint sum and, for absurdly large values, a decimal one."""
+    if how != "whole":
+        return [getattr(F, how)(value).alias(name)]
+    small = value.between(-SMALL, SMALL)
+    return [
+        F.sum(F.when(small, value)).alias(name), F.sum(F.when(~small, whole(value))).alias(f"_large_{name}")
+    ]
+
+
+def _merged(name: str, how: str) -> Column:
+    """The same aggregates over the rows of the first ones."""
+    if how != "whole":
+        return _MERGED_BY[how](name).alias(name)
+    parts = [F.coalesce(F.sum(whole(F.col(c))), whole(F.lit(0))) for c in (name, f"_large_{name}")]
+    return (parts[0] + parts[1]).alias(name)
+
+
+def bucket_of(value: Column) -> Column:
+    """Bucket of a whole number, in the order of the numbers, eight buckets to each doubling.
+
+    Any positive bigint falls into one of 488 buckets, and a bucket is never wider than an eighth of its
+    values. Should log2 round up just below a power of two, the bucket number is still the same.
+    """
+    shift = F.greatest(F.floor(F.log2(value)) - BUCKET_BITS, F.lit(0)).cast("int")
+    return shift * (1 << BUCKET_BITS) + F.call_function("shiftright", value, shift)
+
 
 def summarise(
     rows: DataFrame,
     keys: list[str],
     minutes: str,
-    cell: dict[str, Column] | None = None,
-    total: dict[str, Column] | None = None,
+    totals: dict[str, tuple] | None = None,
+    few_groups: bool = True,
 ) -> DataFrame:
-    """One row per group: `n`, `total_minutes`, `median_minutes` and the columns of `total`.
+    """One row per group: `n`, `total_minutes`, `median_minutes`, and `totals`, given by name as a pair of
+    "whole" (the exact sum of whole numbers), "sum", "min", "max" or "count" and the column it is taken of.
 
-    The rows are first counted per (group, minutes) cell. That step combines on the map side and
-    spreads a group over the cluster by its values, so a group with a third of all rows makes no hot
-    task. What goes on to the per-group step is at most one row per distinct whole minute, however
-    many rows there were; the built-in exact percentile would hold a map of all of them per group in
-    the memory of one task and carry it through every shuffle.
+    The median is found in two passes. The first counts rows per (group, bucket): it combines on the
+    map side to at most 488 rows per group, carries all the sums, and tells in which one or two buckets
+    the middle rows are. The second counts single values, only in those buckets. So however many rows
+    and different values a group holds, no task gets more of it than 488 rows and the different minutes
+    of two buckets; the built-in exact percentile would hold a map of all its values in one task.
 
-    `cell` are aggregates over the rows of a cell, `total` aggregates over the cells of a group that
-    may use them, the minutes column and `_n`, the number of rows in the cell.
+    The rows are needed twice. Where they come from a shuffle join, the exchange of the large side is
+    planned once and reused; bucketed tables need none.
+
+    The second pass looks up the groups' middle buckets by broadcast: pass `few_groups=False` if the
+    number of groups is not known to be small, and a shuffle join is planned.
     """
-    cells = rows.groupBy(*keys, minutes).agg(
-        F.count("*").alias("_n"), *[c.alias(name) for name, c in (cell or {}).items()]
+    totals = {"total_minutes": ("whole", F.col(minutes)), **(totals or {})}
+    rows = rows.withColumn("_bucket", bucket_of(F.col(minutes)))
+    buckets = rows.groupBy(*keys, "_bucket").agg(
+        F.count("*").alias("_n"),
+        *[column for name, (how, value) in totals.items() for column in _first(name, how, value)],
     )
     group = Window.partitionBy(*keys)
-    upto = group.orderBy(minutes).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = cells.withColumn("_upto", F.sum("_n").over(upto)).withColumn("_all", F.sum("_n").over(group))
+    so_far = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = buckets.withColumn("_upto", F.sum("_n").over(so_far)).withColumn("_all", F.sum("_n").over(group))
     # The two middle rows are those at the zero-based places (all - 1) div 2 and all div 2.
-    lower = F.min(F.when(F.col("_upto") > F.expr("(_all - 1) div 2"), F.col(minutes)))
-    upper = F.min(F.when(F.col("_upto") > F.expr("_all div 2"), F.col(minutes)))
-    # Same partitioning as the window: no further shuffle.
-    return ranked.groupBy(*keys).agg(
+    lower, upper = F.col("_upto") > F.expr("(_all - 1) div 2"), F.col("_upto") > F.expr("_all div 2")
+    groups = ranked.groupBy(*keys).agg(
+        F.min(F.when(lower, F.col("_bucket"))).alias("_lower"),
+        F.min(F.when(upper, F.col("_bucket"))).alias("_upper"),
+        F.min(F.when(lower, F.col("_upto") - F.col("_n"))).alias("_before"),
         F.sum("_n").alias("n"),
-        F.sum(whole(F.col(minutes)) * whole(F.col("_n"))).alias("total_minutes"),
-        ((lower.cast("double") + upper.cast("double")) / 2).alias("median_minutes"),
-        *[c.alias(name) for name, c in (total or {}).items()],
+        *[_merged(name, how) for name, (how, _) in totals.items()],
+    )
+    # The sums travel along as one column, so that the first pass is planned and run only once.
+    carried = F.struct("n", "_before", *totals).alias("_group")
+    middle = groups.select(*keys, "_lower", "_upper", carried)
+    middle = rows.select(*keys, minutes, "_bucket").join(F.broadcast(middle) if few_groups else middle, keys)
+    values = (
+        middle.filter((F.col("_bucket") == F.col("_lower")) | (F.col("_bucket") == F.col("_upper")))
+        .groupBy(*keys, "_group", minutes)
+        .agg(F.count("*").alias("_n"))
+    )
+    # The middle buckets are neighbours among the filled ones, so one running count serves both.
+    so_far = group.orderBy(minutes).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    values = values.withColumn("_upto", F.col("_group._before") + F.sum("_n").over(so_far))
+    lower = F.min(F.when(F.col("_upto") > F.expr("(_group.n - 1) div 2"), F.col(minutes)))
+    upper = F.min(F.when(F.col("_upto") > F.expr("_group.n div 2"), F.col(minutes)))
+    # Same partitioning as the window: no further shuffle.
+    return (
+        values.groupBy(*keys, "_group")
+        .agg(((lower.cast("double") + upper.cast("double")) / 2).alias("median_minutes"))
+        .select(*keys, "_group.*", "median_minutes")
+        .drop("_before")
     )

@@ -41,10 +41,13 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark `df` for broadcast if it is counted to hold at most `max_rows` rows; otherwise leave it alone,
-    and the join is planned as a shuffle join with the skew handling of adaptive execution.
+def is_small(df: DataFrame, max_rows: int = 100_000) -> bool:
+    """Whether `df` is counted to hold at most `max_rows` rows. For dimensions that are cheap to count,
+    such as a written table or a filter on one."""
+    return df.count() <= max_rows
 
-    For dimensions that are cheap to count, such as a written table or a filter on one.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
+
+def broadcast_checked(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Mark `df` for broadcast if it is small; otherwise leave it alone, and the join is planned as a
+    shuffle join with the skew handling of adaptive execution."""
+    return F.broadcast(df) if is_small(df, max_rows) else df

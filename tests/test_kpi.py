@@ -7,7 +7,7 @@ import pytest
 
 from tagshelf.functions import numeric, predicates
 from tagshelf.operators import audit, kpi
-from tagshelf.operators.summary import summarise
+from tagshelf.operators.summary import bucket_of, summarise
 from tests.test_clean import GAMES, game, make, rows  # noqa: F401
 
 from pyspark.sql import functions as F
@@ -111,7 +111,7 @@ def test_pearson_agrees_with_the_textbook(spark):
     df = spark.createDataFrame(pairs, "x long, y long").selectExpr("x", "y", "CAST(x AS DOUBLE) dx", "CAST(y AS DOUBLE) dy")
     sums = [F.count("*"), F.sum("x"), F.sum("y"), F.sum(F.col("dx") * F.col("dx")), F.sum(F.col("dy") * F.col("dy")), F.sum(F.col("dx") * F.col("dy"))]
     names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
-    got = df.agg(*[s.alias(k) for s, k in zip(sums, names)]).select(numeric.pearson(*map(F.col, names))).first()[0]
+    got = df.agg(*[s.alias(k) for s, k in zip(sums, names)]).select(numeric.pearson(*map(F.col, names), F.lit(True))).first()[0]
     assert got == pytest.approx(statistics.correlation(*zip(*pairs)), abs=1e-9)
 
 
@@ -128,6 +128,32 @@ def test_summary_against_brute_force_with_a_hot_group(spark):
     assert got == {k: (len(v), sum(v), float(statistics.median(v))) for k, v in groups.items()}
 
 
+@pytest.mark.parametrize("few_groups", [True, False])
+def test_summary_over_the_whole_range_of_values(spark, few_groups):
+    """Middle rows in one bucket, in two neighbouring and in two distant ones; zero and huge values."""
+    groups = {
+        "one": [5], "two": [1, 10**15], "same": [7] * 10, "edge": [31, 32, 63, 64, 2**53 - 1, 2**53],
+        "far": [1] * 50 + [2**40] * 50, "odd": [1] * 50 + [2**40] * 51, "zero": [0, 0, 3],
+        "close": list(range(10**6, 10**6 + 1001)),
+    }
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, m long")
+    got = {r.k: r.median_minutes for r in summarise(df, ["k"], "m", few_groups=few_groups).collect()}
+    assert got == {k: float(statistics.median(v)) for k, v in groups.items()}
+
+
+def test_sums_of_absurd_values_stay_exact(spark):
+    values = [2**62, 2**62 - 1, 2**62 + 5, 3, 2**24, 2**24 + 1]
+    df = spark.createDataFrame([("k", v) for v in values], "k string, m long")
+    assert int(summarise(df, ["k"], "m").first().total_minutes) == sum(values)
+
+
+def test_buckets_are_in_order(spark):
+    edges = sorted({max(0, 2**k + d) for k in range(63) for d in (-2, -1, 0, 1, 2, 2**k // 3)})
+    df = spark.createDataFrame([(v,) for v in edges if v < 2**63], "v long")
+    numbers = [r.b for r in df.orderBy("v").select(bucket_of(F.col("v")).alias("b")).collect()]
+    assert numbers == sorted(numbers) and numbers[-1] <= 487
+
+
 def test_repeated_bridge_rows_count_a_game_once(make):  # noqa: F811
     """Unchecked tables: distinct games are counted, while averages see every row of the join."""
     games = [game(i, avg=60 * i, price=1.0, pos=30) for i in range(1, 31)]
