@@ -32,16 +32,17 @@ RULES = {
 # The safety limit of the removal is there to make a person look; here the candidates are known.
 MAX_ROWS = 1_000_000_000
 
-_published: dict[tuple[str, str, str], str] = {}
+_snapshots: dict[tuple[str, str, str], Tables] = {}
 
 
 def _snapshot(spark: SparkSession, sf_dir: str, stage: str, make: Callable[[], Tables]) -> Tables:
+    """Publish once, then resolve the current snapshot once per session."""
     key = (spark.sparkContext.applicationId, sf_dir, stage)
-    if key not in _published:
+    if key not in _snapshots:
         root = new_folder(spark, stage)
         publish(make(), root, validate=pipeline.validate)
-        _published[key] = root
-    return load_tables(spark, _published[key])
+        _snapshots[key] = load_tables(spark, root)
+    return _snapshots[key]
 
 
 def loaded(spark: SparkSession, sf_dir: str) -> Tables:
