@@ -18,7 +18,6 @@ from tagshelf.operators import audit, clean, kpi, quality, shaping
 from tagshelf.plans import pipeline
 from tagshelf.sources import star
 from tagshelf.sources.publish import load_tables, publish, write_layout
-from tagshelf.sources.records import parse_records, read_games
 from tagshelf.sources.shared import new_folder
 from tagshelf.tables import Tables
 
@@ -325,12 +324,21 @@ def ingest_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ingested(pipeline.load(spark, folder, "ndjson"))
 
 
-def ingest_object(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same records as objects keyed by appid, the text of a keyed object parsed record by record."""
-    records = _json_records(spark, sf_dir).select(
-        F.col("appid").cast("string").alias("appid"), "record", F.monotonically_increasing_id().alias("record_ord")
+def write_objects(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Write the catalogue as files of one JSON object each, up to 1000 games by appid in a file."""
+    entry_text = F.concat(F.lit('"'), F.col("appid").cast("string"), F.lit('": '), F.col("record"))
+    objects = _json_records(spark, sf_dir).groupBy(F.floor(F.col("appid") / 1000)).agg(
+        F.array_join(F.array_sort(F.collect_list(entry_text)), ", ").alias("entries")
     )
-    return _ingested(pipeline.load_records(parse_records(records, F.col("appid"))))
+    text = objects.select(F.concat(F.lit("{"), F.col("entries"), F.lit("}")))
+    text.write.option("maxRecordsPerFile", 1).text(folder)
+
+
+def ingest_object(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from files of one JSON object keyed by appid."""
+    folder = new_folder(spark, "objects")
+    write_objects(spark, sf_dir, folder)
+    return _ingested(pipeline.load(spark, folder, "object"))
 
 
 def v_playtime_by_tag_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,8 +51,9 @@ def publish(
         validate(written)
     counts = [df.count() for df in (written.games, written.tags, written.game_tags)]
     seq = (_latest(spark, root) or {"seq": 0})["seq"] + 1
-    entry = spark.createDataFrame([(seq, run_id, buckets, *counts)], LOG_SCHEMA)
-    entry.coalesce(1).write.mode("append").json(f"{root}/{LOG}")
+    names = [field.split()[0] for field in LOG_SCHEMA.split(", ")]
+    entry = [F.lit(v).alias(name) for name, v in zip(names, (seq, run_id, buckets, *counts))]
+    spark.range(0, 1, 1, 1).select(*entry).write.mode("append").json(f"{root}/{LOG}")
     return run_id
 
 
