@@ -90,13 +90,11 @@ def label_quality_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The review score measure on another pair of tables: labelled quality per document source."""
     documents = star.read(spark, sf_dir, "documents").select("doc_id", "source")
     rows = star.read(spark, sf_dir, "labels").filter(F.col("quality").isNotNull()).join(documents, "doc_id")
-    good, n = F.col("good"), F.col("n_labels")
-    return rows.groupBy("source").agg(
-        F.sum(F.col("quality").cast("bigint")).alias("good"), F.count("*").alias("n_labels")
-    ).select(
+    counted = rows.groupBy("source").agg(F.expr("sum(bigint(quality)) AS good"), F.expr("count(*) AS n_labels"))
+    return counted.selectExpr(
         "source", "n_labels",
-        numeric.rounded_ratio(good * 100, n, 1).alias("good_pct"),
-        numeric.rounded(numeric.wilson_lower_bound(good, n), 2).alias("wilson_score"),
+        f"{numeric.rounded_ratio('good * 100', 'n_labels', 1)} AS good_pct",
+        f"{numeric.rounded(numeric.wilson_lower_bound('good', 'n_labels'), 2)} AS wilson_score",
     )
 
 

@@ -1,79 +1,76 @@
-"""Exact ratios and rounding. Rounding is done on decimals (half away from zero), results are doubles."""
+"""Exact ratios and rounding, as SQL expressions for `selectExpr` and `F.expr`.
 
-from __future__ import annotations
+Every function takes and returns the text of an expression. Rounding is done on decimals (half away from
+zero), results are doubles.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 from tagshelf.fixed_values import WILSON_Z
 
 
-def whole(col: Column) -> Column:
-    """An integer as a wide decimal, so that sums of products cannot overflow a bigint."""
-    return col.cast("decimal(38,0)")
-
-
-def zero_to_null(col: Column) -> Column:
-    return F.nullif(col, F.lit(0))
+def whole(x: str) -> str:
+    """An integer as a wide decimal, so that sums and products cannot overflow a bigint."""
+    return f"CAST({x} AS DECIMAL(38,0))"
 
 
-def exact_ratio(numerator: Column, denominator: Column) -> Column:
+def exact_ratio(numerator: str, denominator: str) -> str:
     """Ratio of two integers with ten exact decimal places; NULL for a zero denominator."""
-    return numerator.cast("decimal(28,0)") / zero_to_null(denominator).cast("decimal(20,0)")
+    return f"(CAST({numerator} AS DECIMAL(28,0)) / nullif(CAST({denominator} AS DECIMAL(20,0)), 0))"
 
 
-def rounded(col: Column, digits: int) -> Column:
+def rounded(x: str, digits: int) -> str:
     """Round half away from zero; doubles lose their binary noise beyond ten places first."""
-    return F.round(col.cast("decimal(38,10)"), digits).cast("double")
+    return f"CAST(round(CAST({x} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
 
 
-def rounded_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
-    return F.round(exact_ratio(numerator, denominator), digits).cast("double")
+def rounded_ratio(numerator: str, denominator: str, digits: int) -> str:
+    return rounded(exact_ratio(numerator, denominator), digits)
 
 
-def hours(minutes: Column) -> Column:
+def hours(minutes: str) -> str:
     """Minutes (double) to hours with one decimal place."""
-    return rounded(minutes / 60, 1)
+    return rounded(f"{minutes} / 60", 1)
 
 
-def average_hours(total_minutes: Column, n: Column) -> Column:
+def average_hours(total_minutes: str, n: str) -> str:
     """Average of whole minutes in hours, one decimal place, from its exact total and count."""
-    return rounded_ratio(total_minutes, n * 60, 1)
+    return rounded_ratio(total_minutes, f"({n}) * 60", 1)
 
 
-def approval(positive: Column, negative: Column) -> Column:
+def approval(positive: str, negative: str) -> str:
     """Share of positive reviews; NULL without reviews."""
-    return positive.cast("double") / zero_to_null(positive + negative)
+    return f"(CAST({positive} AS DOUBLE) / nullif({positive} + {negative}, 0))"
 
 
-def approval_pct(total_approval: Column, n: Column) -> Column:
+def approval_pct(total_approval: str, n: str) -> str:
     """Average approval in percent, one decimal place, from the sum and count of `approval` values."""
-    return rounded(total_approval / zero_to_null(n) * 100, 1)
+    return rounded(f"{total_approval} / nullif({n}, 0) * 100", 1)
 
 
-def _product_gap(a: Column, b: Column, c: Column, d: Column) -> Column:
+def _product_gap(a: str, b: str, c: str, d: str) -> str:
     """a*b - c*d over whole numbers: exact up to 38 digits, in doubles beyond."""
-    w, x, y, z = (v.try_cast("decimal(38,0)") for v in (a, b, c, d))
-    exact = F.try_subtract(F.try_multiply(w, x), F.try_multiply(y, z)).cast("double")
-    return F.coalesce(exact, a.cast("double") * b.cast("double") - c.cast("double") * d.cast("double"))
+    w, x, y, z = (f"try_cast({v} AS DECIMAL(38,0))" for v in (a, b, c, d))
+    exact = f"CAST(try_subtract(try_multiply({w}, {x}), try_multiply({y}, {z})) AS DOUBLE)"
+    e, f, g, h = (f"CAST({v} AS DOUBLE)" for v in (a, b, c, d))
+    return f"coalesce({exact}, {e} * {f} - {g} * {h})"
 
 
-def pearson(n, sum_x, sum_y, sum_xx, sum_yy, sum_xy, varies: Column) -> Column:
+def pearson(n: str, sum_x: str, sum_y: str, sum_xx: str, sum_yy: str, sum_xy: str, varies: str) -> str:
     """Pearson correlation of whole numbers from their power sums; NULL unless both sides vary.
 
     The built-in `corr` divides by zero on constant groups under ANSI rules.
     """
     both = _product_gap(n, sum_xy, sum_x, sum_y)
-    only_x = _product_gap(n, sum_xx, sum_x, sum_x)
-    only_y = _product_gap(n, sum_yy, sum_y, sum_y)
-    defined = varies & (only_x > 0) & (only_y > 0)
-    return F.when(defined, both / F.sqrt(only_x) / F.sqrt(only_y))
+    only_x, only_y = _product_gap(n, sum_xx, sum_x, sum_x), _product_gap(n, sum_yy, sum_y, sum_y)
+    spread = f"nullif(sqrt(greatest({only_x}, 0D)) * sqrt(greatest({only_y}, 0D)), 0D)"
+    return f"CASE WHEN {varies} THEN {both} / {spread} END"
 
 
-def wilson_lower_bound(positive: Column, n: Column, z: float = WILSON_Z) -> Column:
+def wilson_lower_bound(positive: str, n: str, z: float = WILSON_Z) -> str:
     """Lower end of the one-sided Wilson score interval, in percent; NULL for n = 0."""
-    n = zero_to_null(n.cast("double"))
-    p = positive.cast("double") / n
-    z2 = F.lit(z * z)
-    margin = z * F.sqrt(F.greatest(p * (1 - p) / n + z2 / (4 * n * n), F.lit(0.0)))
-    return (p + z2 / (2 * n) - margin) / (1 + z2 / n) * 100
+    n = f"nullif(CAST({n} AS DOUBLE), 0D)"
+    p = f"(CAST({positive} AS DOUBLE) / {n})"
+    z, z2 = f"{float(z)!r}D", f"{float(z) * float(z)!r}D"
+    margin = f"{z} * sqrt(greatest({p} * (1 - {p}) / {n} + {z2} / (4 * {n} * {n}), 0D))"
+    return f"(({p} + {z2} / (2 * {n}) - {margin}) / (1 + {z2} / {n}) * 100)"

@@ -9,22 +9,27 @@ absorbed by the map-side combine. A KPI counts distinct games; once the keys are
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagshelf import fixed_values as fv
 from tagshelf.functions.numeric import (
     approval, approval_pct, average_hours, exact_ratio, hours, pearson, rounded, rounded_ratio, whole,
-    wilson_lower_bound, zero_to_null,
+    wilson_lower_bound,
 )
 from tagshelf.operators.summary import summarise
 from tagshelf.sources.shared import is_small
 
 PLAYTIME = "average_playtime_forever"
 
+AVG_HRS = f"{average_hours('total_minutes', 'n')} AS avg_playtime_hrs"
+MEDIAN_HRS = f"{hours('median_minutes')} AS median_playtime_hrs"
+APPROVAL = f"{approval('positive_reviews', 'negative_reviews')} AS approval"
+AVG_APPROVAL = f"{approval_pct('total_approval', 'rated')} AS avg_approval_pct"
+
 
 def played(games: DataFrame) -> DataFrame:
-    return games.filter(F.col(PLAYTIME) > 0)
+    return games.filter(f"{PLAYTIME} > 0")
 
 
 def tagged(games: DataFrame, game_tags: DataFrame) -> DataFrame:
@@ -34,7 +39,7 @@ def tagged(games: DataFrame, game_tags: DataFrame) -> DataFrame:
 
 def top_tags(tags: DataFrame, k: int) -> DataFrame:
     """The k tags with most games, ties by name. A top-k without a global sort."""
-    return tags.orderBy(F.col("game_count").desc_nulls_first(), "tag_name").limit(k)
+    return tags.orderBy(F.expr("game_count").desc_nulls_first(), "tag_name").limit(k)
 
 
 def _of_top_tags(game_tags: DataFrame, tags: DataFrame, k: int | None) -> DataFrame:
@@ -47,25 +52,28 @@ def _with_games(stats: DataFrame, rows: DataFrame, keys: list[str], assume_uniqu
     """Add `game_count`, the number of distinct games per group."""
     if assume_unique:
         return stats.withColumnRenamed("n", "game_count")
-    distinct = rows.groupBy(*keys).agg(F.count_distinct("appid").alias("game_count"))
+    distinct = rows.groupBy(*keys).agg(F.expr("count(DISTINCT appid) AS game_count"))
     return stats.join(distinct, keys)
 
 
-def _named(per_tag: DataFrame, tags: DataFrame, *columns) -> DataFrame:
-    return per_tag.join(tags.select("tag_id", "tag_name", *columns), "tag_id")
+def _named(per_tag: DataFrame, tags: DataFrame, *columns: str) -> DataFrame:
+    return per_tag.join(tags.selectExpr("tag_id", "tag_name", *columns), "tag_id")
 
 
-def model_of(price: Column) -> Column:
-    return F.when(price == 0, fv.FREE_MODEL).otherwise(fv.PAID_MODEL)
+def model_of(price: str) -> str:
+    """SQL for the price model; the caller leaves out missing prices, which would count as paid."""
+    return f"CASE WHEN {price} = 0 THEN '{fv.FREE_MODEL}' ELSE '{fv.PAID_MODEL}' END"
 
 
-def achievement_band(total: Column, n: Column, style: str = "view") -> Column:
-    """Band of the average total / n; compared as whole numbers, so no average is rounded into a band."""
+def achievement_band(total: str, n: str, style: str = "view") -> str:
+    """SQL for the band of the average total / n. It compares whole numbers, so no average is rounded
+    into a band."""
     labels = fv.ACHIEVEMENT_BAND_LABELS[style]
-    band = F.when(total == 0, labels[0])
-    for bound, label in zip(fv.ACHIEVEMENT_BAND_BOUNDS, labels[1:]):
-        band = band.when(total < whole(n) * bound, label)
-    return band.otherwise(labels[-1])
+    bands = "".join(
+        f" WHEN {total} < {whole(n)} * {bound} THEN '{label}'"
+        for bound, label in zip(fv.ACHIEVEMENT_BAND_BOUNDS, labels[1:])
+    )
+    return f"CASE WHEN {total} = 0 THEN '{labels[0]}'{bands} ELSE '{labels[-1]}' END"
 
 
 def playtime_by_tag(
@@ -79,38 +87,34 @@ def playtime_by_tag(
 ) -> DataFrame:
     """Playtime per tag, its correlation with the achievement count, and the achievement band."""
     rows = tagged(played(games).select("appid", PLAYTIME, "achievements"), game_tags)
-    x, y = F.col(PLAYTIME).cast("double"), F.col("achievements").cast("double")
+    x, y = f"CAST({PLAYTIME} AS DOUBLE)", "CAST(achievements AS DOUBLE)"
     stats = summarise(
         rows, ["tag_id"], PLAYTIME,
         {
-            "sum_y": ("whole", F.col("achievements")),
-            "sum_xx": ("sum", x * x), "sum_yy": ("sum", y * y), "sum_xy": ("sum", x * y),
-            "min_x": ("min", F.col(PLAYTIME)), "max_x": ("max", F.col(PLAYTIME)),
-            "min_y": ("min", F.col("achievements")), "max_y": ("max", F.col("achievements")),
+            "sum_y": ("whole", "achievements"),
+            "sum_xx": ("sum", f"{x} * {x}"), "sum_yy": ("sum", f"{y} * {y}"), "sum_xy": ("sum", f"{x} * {y}"),
+            "min_x": ("min", PLAYTIME), "max_x": ("max", PLAYTIME),
+            "min_y": ("min", "achievements"), "max_y": ("max", "achievements"),
         },
         few_groups=is_small(tags),
     )
-    varies = (F.col("min_x") < F.col("max_x")) & (F.col("min_y") < F.col("max_y"))
-    m = F.col("n")
-    stats = stats.select(
-        "tag_id", "n",
-        average_hours(F.col("total_minutes"), m).alias("avg_playtime_hrs"),
-        hours(F.col("median_minutes")).alias("median_playtime_hrs"),
-        rounded_ratio(F.col("sum_y"), m, 0).alias("avg_achievements"),
-        rounded(
-            pearson(m, F.col("total_minutes"), F.col("sum_y"), F.col("sum_xx"), F.col("sum_yy"),
-                    F.col("sum_xy"), varies), 3,
-        ).alias(fv.CORRELATION_COLUMN[style]),
-        achievement_band(F.col("sum_y"), m, style).alias("achievement_band"),
+    correlation = pearson(
+        "n", "total_minutes", "sum_y", "sum_xx", "sum_yy", "sum_xy", "min_x < max_x AND min_y < max_y"
+    )
+    stats = stats.selectExpr(
+        "tag_id", "n", AVG_HRS, MEDIAN_HRS,
+        f"{rounded_ratio('sum_y', 'n', 0)} AS avg_achievements",
+        f"{rounded(correlation, 3)} AS {fv.CORRELATION_COLUMN[style]}",
+        f"{achievement_band('sum_y', 'n', style)} AS achievement_band",
     )
-    counted = _with_games(stats, rows, ["tag_id"], assume_unique).filter(F.col("game_count") >= min_games)
+    counted = _with_games(stats, rows, ["tag_id"], assume_unique).filter(f"game_count >= {min_games}")
     result = _named(counted, tags).select(
         "tag_name", "game_count", "avg_playtime_hrs", "median_playtime_hrs", "avg_achievements",
         fv.CORRELATION_COLUMN[style], "achievement_band",
     )
     if top is None:
         return result
-    return result.orderBy(F.col("avg_playtime_hrs").desc_nulls_first(), "tag_name").limit(top)
+    return result.orderBy(F.expr("avg_playtime_hrs").desc_nulls_first(), "tag_name").limit(top)
 
 
 def releases_by_year_tag(
@@ -126,88 +130,73 @@ def releases_by_year_tag(
 
     The running total is taken over the aggregated rows: one row per year in each window.
     """
-    today = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
-    day = F.col("release_date_parsed")
-    dated = games.filter((day >= F.lit(since).cast("date")) & (day < today)).select(
-        "appid", F.year(day).alias("release_year")
+    today = "current_date()" if as_of is None else f"DATE '{as_of}'"
+    day = "release_date_parsed"
+    dated = games.filter(f"{day} >= DATE '{since}' AND {day} < {today}").selectExpr(
+        "appid", f"year({day}) AS release_year"
     )
     rows = tagged(dated, _of_top_tags(game_tags, tags, top))
-    games_released = F.count("*") if assume_unique else F.count_distinct("appid")
-    yearly = rows.groupBy("tag_id", "release_year").agg(games_released.alias("games_released"))
-    so_far = Window.partitionBy("tag_name").orderBy("release_year")
-    result = _named(yearly, tags, "game_count").select(
-        "release_year", "tag_name", F.col("game_count").alias("tag_total_game_count"), "games_released",
-        F.sum("games_released").over(so_far).alias("cumulative_games"),
+    counted = "count(*)" if assume_unique else "count(DISTINCT appid)"
+    yearly = rows.groupBy("tag_id", "release_year").agg(F.expr(f"{counted} AS games_released"))
+    result = _named(yearly, tags, "game_count").selectExpr(
+        "release_year", "tag_name", "game_count AS tag_total_game_count", "games_released",
+        "sum(games_released) OVER (PARTITION BY tag_name ORDER BY release_year) AS cumulative_games",
     )
     if top is None:
         return result
     return result.drop("tag_total_game_count").orderBy("tag_name", "release_year")
 
 
-def price_order(price: Column) -> Column:
-    """Number of the price bracket."""
-    order = F.when(price.isNull(), 0).when(price == 0, 1)
-    for number, bound in fv.PRICE_BRACKET_BOUNDS:
-        order = order.when(price < bound, number)
-    return order.otherwise(fv.PRICE_BRACKET_BOUNDS[-1][0] + 1)
+def price_order(price: str) -> str:
+    """SQL for the number of the price bracket."""
+    cases = "".join(f" WHEN {price} < {bound} THEN {number}" for number, bound in fv.PRICE_BRACKET_BOUNDS)
+    last = fv.PRICE_BRACKET_BOUNDS[-1][0] + 1
+    return f"CASE WHEN {price} IS NULL THEN 0 WHEN {price} = 0 THEN 1{cases} ELSE {last} END"
 
 
-def price_label(order: Column, style: str = "view") -> Column:
-    return F.get(F.array(*[F.lit(label) for label in fv.PRICE_BRACKET_LABELS[style]]), order)
+def price_label(order: str, style: str = "view") -> str:
+    """SQL for the label of a bracket number."""
+    labels = ", ".join(f"'{label}'" for label in fv.PRICE_BRACKET_LABELS[style])
+    return f"get(array({labels}), {order})"
 
 
 def playtime_by_price(games: DataFrame, style: str = "view") -> DataFrame:
     """Playtime and review counts per price bracket; `style="report"` is sorted."""
-    rows = played(games).select(
-        price_order(F.col("price_usd")).alias("sort_order"), PLAYTIME,
-        (F.col("positive_reviews") + F.col("negative_reviews")).alias("reviews"),
-    )
-    stats = summarise(
-        rows, ["sort_order"], PLAYTIME,
-        {"total_reviews": ("whole", F.col("reviews"))},
+    rows = played(games).selectExpr(
+        f"{price_order('price_usd')} AS sort_order", PLAYTIME,
+        "positive_reviews + negative_reviews AS reviews",
     )
-    n = F.col("n")
-    result = stats.select(
-        price_label(F.col("sort_order"), style).alias("price_bracket"), "sort_order",
-        n.alias("game_count"),
-        average_hours(F.col("total_minutes"), n).alias("avg_playtime_hrs"),
-        hours(F.col("median_minutes")).alias("median_playtime_hrs"),
-        rounded_ratio(F.col("total_reviews"), n, 0).alias("avg_review_count"),
+    stats = summarise(rows, ["sort_order"], PLAYTIME, {"total_reviews": ("whole", "reviews")})
+    result = stats.selectExpr(
+        f"{price_label('sort_order', style)} AS price_bracket", "sort_order", "n AS game_count",
+        AVG_HRS, MEDIAN_HRS, f"{rounded_ratio('total_reviews', 'n', 0)} AS avg_review_count",
     )
     return result.orderBy("sort_order") if style == "report" else result
 
 
 def _priced(games: DataFrame) -> DataFrame:
-    """Played games with a known price: without the price test a missing one would count as paid."""
-    return played(games).filter(F.col("price_usd").isNotNull())
+    """Played games with a known price."""
+    return played(games).filter("price_usd IS NOT NULL")
 
 
 def f2p_vs_paid_summary(games: DataFrame, price_cap: float = fv.PRICE_MAX, ordered: bool = False) -> DataFrame:
     """Free against paid games. Hours per dollar is the ratio of the averages, NULL for free games."""
-    rows = _priced(games).select(
-        model_of(F.col("price_usd")).alias("model"), PLAYTIME, "price_usd", "achievements",
-        approval(F.col("positive_reviews"), F.col("negative_reviews")).alias("approval"),
+    rows = _priced(games).selectExpr(
+        f"{model_of('price_usd')} AS model", PLAYTIME, "price_usd", "achievements", APPROVAL
     )
     stats = summarise(
         rows, ["model"], PLAYTIME,
         {
-            "total_price": ("sum", F.col("price_usd")),
-            "total_achievements": ("whole", F.col("achievements")),
-            "total_approval": ("sum", F.col("approval")), "rated": ("count", F.col("approval")),
+            "total_price": ("sum", "price_usd"), "total_achievements": ("whole", "achievements"),
+            "total_approval": ("sum", "approval"), "rated": ("count", "approval"),
         },
     )
-    n = F.col("n")
-    avg_price = F.col("total_price") / n
-    avg_minutes = exact_ratio(F.col("total_minutes"), n).cast("double")
-    per_dollar = avg_minutes / zero_to_null(F.least(avg_price, F.lit(float(price_cap)))) / 60
-    result = stats.select(
-        "model", n.alias("game_count"),
-        rounded(avg_price, 2).alias("avg_price_usd"),
-        average_hours(F.col("total_minutes"), n).alias("avg_playtime_hrs"),
-        hours(F.col("median_minutes")).alias("median_playtime_hrs"),
-        rounded(per_dollar, 1).alias("playtime_hrs_per_dollar"),
-        rounded_ratio(F.col("total_achievements"), n, 1).alias("avg_achievements"),
-        approval_pct(F.col("total_approval"), F.col("rated")).alias("avg_approval_pct"),
+    avg_minutes = f"CAST({exact_ratio('total_minutes', 'n')} AS DOUBLE)"
+    capped_price = f"nullif(least(total_price / n, {float(price_cap)}D), 0D)"
+    result = stats.selectExpr(
+        "model", "n AS game_count", f"{rounded('total_price / n', 2)} AS avg_price_usd", AVG_HRS, MEDIAN_HRS,
+        f"{rounded(f'{avg_minutes} / {capped_price} / 60', 1)} AS playtime_hrs_per_dollar",
+        f"{rounded_ratio('total_achievements', 'n', 1)} AS avg_achievements", AVG_APPROVAL,
     )
     return result.orderBy("model") if ordered else result
 
@@ -221,26 +210,16 @@ def f2p_vs_paid(
     assume_unique: bool = False,
 ) -> DataFrame:
     """Free against paid games per tag. With `top` only the largest tags, sorted, in the report columns."""
-    rows = tagged(
-        _priced(games).select(
-            "appid", PLAYTIME, model_of(F.col("price_usd")).alias("model"),
-            approval(F.col("positive_reviews"), F.col("negative_reviews")).alias("approval"),
-        ),
-        _of_top_tags(game_tags, tags, top),
-    )
+    priced = _priced(games).selectExpr("appid", PLAYTIME, f"{model_of('price_usd')} AS model", APPROVAL)
+    rows = tagged(priced, _of_top_tags(game_tags, tags, top))
     keys = ["tag_id", "model"]
     stats = summarise(
         rows, keys, PLAYTIME,
-        {"total_approval": ("sum", F.col("approval")), "rated": ("count", F.col("approval"))},
+        {"total_approval": ("sum", "approval"), "rated": ("count", "approval")},
         few_groups=is_small(tags),
-    ).select(
-        *keys, "n",
-        average_hours(F.col("total_minutes"), F.col("n")).alias("avg_playtime_hrs"),
-        hours(F.col("median_minutes")).alias("median_playtime_hrs"),
-        approval_pct(F.col("total_approval"), F.col("rated")).alias("avg_approval_pct"),
-    )
-    counted = _with_games(stats, rows, keys, assume_unique).filter(F.col("game_count") >= min_games)
-    result = _named(counted, tags, F.col("game_count").alias("tag_total_game_count")).select(
+    ).selectExpr(*keys, "n", AVG_HRS, MEDIAN_HRS, AVG_APPROVAL)
+    counted = _with_games(stats, rows, keys, assume_unique).filter(f"game_count >= {min_games}")
+    result = _named(counted, tags, "game_count AS tag_total_game_count").select(
         "tag_name", "tag_total_game_count", "model", "game_count", "avg_playtime_hrs",
         "median_playtime_hrs", "avg_approval_pct",
     )
@@ -261,31 +240,24 @@ def review_scores_by_tag(
     assume_unique: bool = False,
 ) -> DataFrame:
     """Approval per tag: average over games, pooled over reviews, and the Wilson lower bound."""
-    positive, negative = F.col("positive_reviews"), F.col("negative_reviews")
-    rows = tagged(
-        games.filter(positive + negative >= min_reviews).select(
-            "appid", positive.alias("positive"), (positive + negative).alias("reviews"),
-            approval(positive, negative).alias("approval"),
-        ),
-        game_tags,
-    )
-    stats = rows.groupBy("tag_id").agg(
-        F.count("*").alias("n"),
-        F.sum("positive").alias("total_positive"),
-        F.sum("reviews").alias("total_reviews"),
-        F.sum("approval").alias("total_approval"),
-        F.count("approval").alias("rated"),
-    )
+    reviewed = games.selectExpr(
+        "appid", "positive_reviews AS positive", "positive_reviews + negative_reviews AS reviews", APPROVAL
+    ).filter(f"reviews >= {min_reviews}")
+    rows = tagged(reviewed, game_tags)
+    aggregates = [
+        "count(*) AS n", "sum(positive) AS total_positive", "sum(reviews) AS total_reviews",
+        "sum(approval) AS total_approval", "count(approval) AS rated",
+    ]
+    stats = rows.groupBy("tag_id").agg(*[F.expr(a) for a in aggregates])
     counted = _with_games(stats, rows, ["tag_id"], assume_unique).filter(
-        (F.col("game_count") >= min_games) & (F.col("total_reviews") >= min_total_reviews)
+        f"game_count >= {min_games} AND total_reviews >= {min_total_reviews}"
     )
-    total_positive, total_reviews = F.col("total_positive"), F.col("total_reviews")
-    result = _named(counted, tags).select(
-        "tag_name", "game_count", "total_reviews",
-        approval_pct(F.col("total_approval"), F.col("rated")).alias("avg_approval_pct"),
-        rounded_ratio(total_positive * 100, total_reviews, 1).alias("pooled_approval_pct"),
-        rounded(wilson_lower_bound(total_positive, total_reviews, z), 2).alias("wilson_score"),
+    pooled = rounded_ratio(f"{whole('total_positive')} * 100", "total_reviews", 1)
+    score = rounded(wilson_lower_bound("total_positive", "total_reviews", z), 2)
+    result = _named(counted, tags).selectExpr(
+        "tag_name", "game_count", "total_reviews", AVG_APPROVAL,
+        f"{pooled} AS pooled_approval_pct", f"{score} AS wilson_score",
     )
     if top is None:
         return result
-    return result.orderBy(F.col("wilson_score").desc_nulls_first(), "tag_name").limit(top)
+    return result.orderBy(F.expr("wilson_score").desc_nulls_first(), "tag_name").limit(top)

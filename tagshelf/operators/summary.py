@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagshelf.functions.numeric import whole
@@ -12,46 +12,44 @@ BUCKET_BITS = 3
 # Whole numbers up to this size (32 years in minutes) are summed as bigint, which holds 5 * 10^11 of them.
 SMALL = 1 << 24
 
-_MERGED_BY = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 
+def bucket_of(value: str) -> str:
+    """SQL for the bucket of a whole number, in the order of the numbers, eight to each doubling.
 
-def _first(name: str, how: str, value: Column) -> list[Column]:
+    Any positive bigint falls into one of 488 buckets, and a bucket is never wider than an eighth of its
+    values. Should log2 round up just below a power of two, the bucket number is still the same.
+    """
+    shift = f"CAST(greatest(floor(log2({value})) - {BUCKET_BITS}, 0) AS INT)"
+    return f"({shift} * {1 << BUCKET_BITS} + shiftright({value}, {shift}))"
+
+
+def _first(name: str, how: str, value: str) -> list[str]:
     """Aggregates over rows. A `whole` total is a bigint sum and, for absurdly large values, a decimal one."""
     if how != "whole":
-        return [getattr(F, how)(value).alias(name)]
-    small = value.between(-SMALL, SMALL)
+        return [f"{how}({value}) AS {name}"]
+    small = f"{value} BETWEEN -{SMALL} AND {SMALL}"
     return [
-        F.sum(F.when(small, value)).alias(name), F.sum(F.when(~small, whole(value))).alias(f"_large_{name}")
+        f"sum(CASE WHEN {small} THEN {value} END) AS {name}",
+        f"sum(CASE WHEN NOT ({small}) THEN {whole(value)} END) AS _large_{name}",
     ]
 
 
-def _merged(name: str, how: str) -> Column:
+def _merged(name: str, how: str) -> str:
     """The same aggregates over the rows of the first ones."""
-    if how != "whole":
-        return _MERGED_BY[how](name).alias(name)
-    parts = [F.coalesce(F.sum(whole(F.col(c))), whole(F.lit(0))) for c in (name, f"_large_{name}")]
-    return (parts[0] + parts[1]).alias(name)
-
-
-def bucket_of(value: Column) -> Column:
-    """Bucket of a whole number, in the order of the numbers, eight buckets to each doubling.
-
-    Any positive bigint falls into one of 488 buckets, and a bucket is never wider than an eighth of its
-    values. Should log2 round up just below a power of two, the bucket number is still the same.
-    """
-    shift = F.greatest(F.floor(F.log2(value)) - BUCKET_BITS, F.lit(0)).cast("int")
-    return shift * (1 << BUCKET_BITS) + F.call_function("shiftright", value, shift)
+    if how == "whole":
+        return f"coalesce(sum({whole(name)}), 0) + coalesce(sum(_large_{name}), 0) AS {name}"
+    return f"{'sum' if how == 'count' else how}({name}) AS {name}"
 
 
 def summarise(
     rows: DataFrame,
     keys: list[str],
     minutes: str,
-    totals: dict[str, tuple] | None = None,
+    totals: dict[str, tuple[str, str]] | None = None,
     few_groups: bool = True,
 ) -> DataFrame:
     """One row per group: `n`, `total_minutes`, `median_minutes`, and `totals`, given by name as a pair of
-    "whole" (the exact sum of whole numbers), "sum", "min", "max" or "count" and the column it is taken of.
+    "whole" (the exact sum of whole numbers), "sum", "min", "max" or "count" and the SQL it is taken of.
 
     The median is found in two passes. The first counts rows per (group, bucket): it combines on the
     map side to at most 488 rows per group, carries all the sums, and tells in which one or two buckets
@@ -65,42 +63,45 @@ def summarise(
     The second pass looks up the groups' middle buckets by broadcast: pass `few_groups=False` if the
     number of groups is not known to be small, and a shuffle join is planned.
     """
-    totals = {"total_minutes": ("whole", F.col(minutes)), **(totals or {})}
-    rows = rows.withColumn("_bucket", bucket_of(F.col(minutes)))
+    totals = {"total_minutes": ("whole", minutes), **(totals or {})}
+    by_key = f"PARTITION BY {', '.join(keys)}"
+    rows = rows.selectExpr("*", f"{bucket_of(minutes)} AS _bucket")
+
     buckets = rows.groupBy(*keys, "_bucket").agg(
-        F.count("*").alias("_n"),
-        *[column for name, (how, value) in totals.items() for column in _first(name, how, value)],
+        F.expr("count(*) AS _n"),
+        *[F.expr(column) for name, (how, value) in totals.items() for column in _first(name, how, value)],
+    )
+    ranked = buckets.selectExpr(
+        "*",
+        f"sum(_n) OVER ({by_key} ORDER BY _bucket ROWS UNBOUNDED PRECEDING) AS _upto",
+        f"sum(_n) OVER ({by_key}) AS _all",
     )
-    group = Window.partitionBy(*keys)
-    so_far = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = buckets.withColumn("_upto", F.sum("_n").over(so_far)).withColumn("_all", F.sum("_n").over(group))
     # The two middle rows are those at the zero-based places (all - 1) div 2 and all div 2.
-    lower, upper = F.col("_upto") > F.expr("(_all - 1) div 2"), F.col("_upto") > F.expr("_all div 2")
     groups = ranked.groupBy(*keys).agg(
-        F.min(F.when(lower, F.col("_bucket"))).alias("_lower"),
-        F.min(F.when(upper, F.col("_bucket"))).alias("_upper"),
-        F.min(F.when(lower, F.col("_upto") - F.col("_n"))).alias("_before"),
-        F.sum("_n").alias("n"),
-        *[_merged(name, how) for name, (how, _) in totals.items()],
+        F.expr("min(CASE WHEN _upto > (_all - 1) div 2 THEN _bucket END) AS _lower"),
+        F.expr("min(CASE WHEN _upto > _all div 2 THEN _bucket END) AS _upper"),
+        F.expr("min(CASE WHEN _upto > (_all - 1) div 2 THEN _upto - _n END) AS _before"),
+        F.expr("sum(_n) AS n"),
+        *[F.expr(_merged(name, how)) for name, (how, _) in totals.items()],
     )
     # The sums travel along as one column, so that the first pass is planned and run only once.
-    carried = F.struct("n", "_before", *totals).alias("_group")
-    middle = groups.select(*keys, "_lower", "_upper", carried)
-    middle = rows.select(*keys, minutes, "_bucket").join(F.broadcast(middle) if few_groups else middle, keys)
+    carried = f"struct(n, _before, {', '.join(totals)}) AS _group"
+    middle = groups.selectExpr(*keys, "_lower", "_upper", carried)
+
     values = (
-        middle.filter((F.col("_bucket") == F.col("_lower")) | (F.col("_bucket") == F.col("_upper")))
+        rows.select(*keys, minutes, "_bucket")
+        .join(F.broadcast(middle) if few_groups else middle, keys)
+        .filter("_bucket = _lower OR _bucket = _upper")
         .groupBy(*keys, "_group", minutes)
-        .agg(F.count("*").alias("_n"))
+        .agg(F.expr("count(*) AS _n"))
     )
     # The middle buckets are neighbours among the filled ones, so one running count serves both.
-    so_far = group.orderBy(minutes).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    values = values.withColumn("_upto", F.col("_group._before") + F.sum("_n").over(so_far))
-    lower = F.min(F.when(F.col("_upto") > F.expr("(_group.n - 1) div 2"), F.col(minutes)))
-    upper = F.min(F.when(F.col("_upto") > F.expr("_group.n div 2"), F.col(minutes)))
+    so_far = f"sum(_n) OVER ({by_key} ORDER BY {minutes} ROWS UNBOUNDED PRECEDING)"
+    values = values.selectExpr(*keys, "_group", minutes, f"_group._before + {so_far} AS _upto")
+    lower = f"min(CASE WHEN _upto > (_group.n - 1) div 2 THEN {minutes} END)"
+    upper = f"min(CASE WHEN _upto > _group.n div 2 THEN {minutes} END)"
     # Same partitioning as the window: no further shuffle.
-    return (
-        values.groupBy(*keys, "_group")
-        .agg(((lower.cast("double") + upper.cast("double")) / 2).alias("median_minutes"))
-        .select(*keys, "_group.*", "median_minutes")
-        .drop("_before")
+    medians = values.groupBy(*keys, "_group").agg(
+        F.expr(f"(CAST({lower} AS DOUBLE) + CAST({upper} AS DOUBLE)) / 2 AS median_minutes")
     )
+    return medians.selectExpr(*keys, "_group.n", *[f"_group.{name}" for name in totals], "median_minutes")
