@@ -5,6 +5,8 @@ sorted report. KPIs per tag join games to the bridge on appid, aggregate by tag_
 up the tag: the dimension meets one row per tag instead of the wide join, and a popular tag is
 absorbed by the map-side combine. A KPI counts distinct games; once the keys are checked
 (`quality.check_pk`) that is the number of rows, which `assume_unique=True` makes use of.
+
+`tags` is best a written table: it is counted to decide whether results per tag may be broadcast.
 """
 
 from __future__ import annotations

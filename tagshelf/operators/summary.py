@@ -9,8 +9,6 @@ from tagshelf.functions.numeric import whole
 
 # Buckets per doubling of the value, as a power of two.
 BUCKET_BITS = 3
-# Whole numbers up to this size (32 years in minutes) are summed as bigint, which holds 5 * 10^11 of them.
-SMALL = 1 << 24
 
 
 def bucket_of(value: str) -> str:
@@ -23,21 +21,16 @@ def bucket_of(value: str) -> str:
     return f"({shift} * {1 << BUCKET_BITS} + shiftright({value}, {shift}))"
 
 
-def _first(name: str, how: str, value: str) -> list[str]:
-    """Aggregates over rows. A `whole` total is a bigint sum and, for absurdly large values, a decimal one."""
-    if how != "whole":
-        return [f"{how}({value}) AS {name}"]
-    small = f"{value} BETWEEN -{SMALL} AND {SMALL}"
-    return [
-        f"sum(CASE WHEN {small} THEN {value} END) AS {name}",
-        f"sum(CASE WHEN NOT ({small}) THEN {whole(value)} END) AS _large_{name}",
-    ]
+def _first(name: str, how: str, value: str) -> str:
+    """Aggregate over rows. A `whole` total is summed per bucket as a double: one narrow column that
+    cannot overflow, and exact up to 2^53."""
+    return f"sum(CAST({value} AS DOUBLE)) AS {name}" if how == "whole" else f"{how}({value}) AS {name}"
 
 
 def _merged(name: str, how: str) -> str:
-    """The same aggregates over the rows of the first ones."""
+    """The same aggregate over the buckets of a group; a `whole` total is added up as a decimal."""
     if how == "whole":
-        return f"coalesce(sum({whole(name)}), 0) + coalesce(sum(_large_{name}), 0) AS {name}"
+        return f"sum({whole(name)}) AS {name}"
     return f"{'sum' if how == 'count' else how}({name}) AS {name}"
 
 
@@ -49,7 +42,7 @@ def summarise(
     few_groups: bool = True,
 ) -> DataFrame:
     """One row per group: `n`, `total_minutes`, `median_minutes`, and `totals`, given by name as a pair of
-    "whole" (the exact sum of whole numbers), "sum", "min", "max" or "count" and the SQL it is taken of.
+    "whole" (a sum of whole numbers), "sum", "min", "max" or "count" and the SQL it is taken of.
 
     The median is found in two passes. The first counts rows per (group, bucket): it combines on the
     map side to at most 488 rows per group, carries all the sums, and tells in which one or two buckets
@@ -69,7 +62,7 @@ def summarise(
 
     buckets = rows.groupBy(*keys, "_bucket").agg(
         F.expr("count(*) AS _n"),
-        *[F.expr(column) for name, (how, value) in totals.items() for column in _first(name, how, value)],
+        *[F.expr(_first(name, how, value)) for name, (how, value) in totals.items()],
     )
     ranked = buckets.selectExpr(
         "*",
