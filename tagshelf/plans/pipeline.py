@@ -139,11 +139,15 @@ def _in_line(tables: Tables, assume_unique: bool) -> Tables:
 
 
 def violations(tables: Tables) -> dict[str, DataFrame]:
-    """The five integrity checks; each DataFrame is empty if all is well."""
+    """The integrity checks; each DataFrame is empty if all is well.
+
+    Besides the keys, tag names must be unique: a KPI per tag is one per tag_id.
+    """
     found = {
         f"primary key of {name}": quality.check_pk(getattr(tables, name), columns)
         for name, columns in PRIMARY_KEYS.items()
     }
+    found["tags.tag_name"] = quality.check_pk(tables.tags, ["tag_name"])
     found["game_tags.appid"] = quality.check_fk(tables.game_tags, tables.games, "appid")
     found["game_tags.tag_id"] = quality.check_fk(tables.game_tags, tables.tags, "tag_id")
     return found

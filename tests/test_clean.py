@@ -149,3 +149,9 @@ def test_one_step_equals_two(make):
     one, two = pipeline.clean_and_remove(t), pipeline.remove_non_games(pipeline.clean(t))
     assert [r.appid for r in one.games.orderBy("appid").collect()] == [3, 4]
     assert [rows(x) for x in one] == [rows(x) for x in two]
+
+
+def test_two_tags_of_one_name_are_refused(make):
+    t = make([game(1)], [(1, "A", 1), (2, "A", 1)], [(1, 1, 5), (1, 2, 9)])
+    with pytest.raises(ValueError, match="tags.tag_name"):
+        pipeline.validate(t)
