@@ -23,6 +23,12 @@ from tagshelf.tables import Tables
 
 from tagshelf_oracle import SQL
 
+try:
+    import corpus_pipeline
+    from tagshelf.llm import queries as corpus
+except ImportError:  # the corpus operators are an optional part
+    corpus = corpus_pipeline = None
+
 AS_OF = "2026-01-01"
 RULES = {
     "non_game_tags": star.STAR_NON_GAME_TAGS,
@@ -363,6 +369,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """All queries: of the catalogue, and those of the corpus operators where they are installed."""
+    if corpus is None:
+        return catalogue_queries()
+    return catalogue_queries() | corpus.QUERIES | {"pipeline": corpus_pipeline.run}
+
+
+def catalogue_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     unique = {"assume_unique": True}
     return {
         "playtime_by_tag_top30": on_ready(playtime_by_tag_top30),
@@ -430,4 +443,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    if corpus is None:
+        return dict(SQL)
+    pipeline_sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return SQL | corpus.ORACLE_SQL | pipeline_sql

@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry.catalogue_queries(), entry.SQL
 
 
 @pytest.fixture(scope="module")
