@@ -4,15 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagshelf.llm.bpe import decode_ids, encode_text
+from tagshelf.llm.fingerprints import fingerprint_edits
 from tagshelf.llm.licenses import scan_licenses
 from tagshelf.llm.line_dedup import dedup_lines
+from tagshelf.llm.packing import pack_documents
 from tagshelf.llm.quality import quality_rules
 from tagshelf.llm.rows import read
 
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = read(spark, sf_dir, "documents").select("doc_id", encode_text(F.col("text"), WORD_BPE).alias("ids"))
+    decoded = encoded.select("doc_id", "ids", decode_ids(F.col("ids"), WORD_BPE).alias("text"))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(read(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -32,10 +54,20 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = pack_documents(read(spark, sf_dir, "documents"), BYTE_BPE)
+    return placed.select(
+        "doc_id", "start", F.col("length").cast("long"), "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
+    "op3_fingerprints": op3_fingerprints,
     "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_license_scan": op7_license_scan,
+    "op9_packing": op9_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -1,0 +1,27 @@
+"""A bounded memory of what was worked out for a piece of text."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+
+class BoundedCache(dict):
+    """`cache[key]` is `make(key)`, remembered for the keys used lately.
+
+    Two generations of at most `size` entries each: what is used moves to the young one; when that is full
+    it becomes the old one, and the old one goes. Memory stays bounded however many keys there are.
+    """
+
+    def __init__(self, make: Callable, size: int = 200_000):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
