@@ -24,7 +24,6 @@ from tagshelf.llm.rows import ROW, field, pack, unpack, write_step
 PIECE = "array<struct<start: bigint, length: int, ids_crc32: bigint, doc_tokens: bigint>>"
 DEPTH = 3
 ROUNDS = 300
-PASSES = 3
 
 
 # --- pieces ---------------------------------------------------------------------------------------
@@ -140,13 +139,12 @@ def make_plan(histogram: np.ndarray, window: int) -> Plan:
                 left[x] -= n * repeats
             chosen.append((lengths, int(repeats)))
 
-    for _ in range(PASSES):  # what a pass leaves is a histogram as well
-        parts = combinations(np.flatnonzero(left), window)
-        # What rounding takes from one combination, the next of the same longest lengths gets.
-        upto = np.cumsum(non_negative_least_squares(parts, left))
-        repeats = np.diff(np.floor(upto + 0.5), prepend=0).astype(np.int64)
-        for row, n in zip(parts[repeats > 0].tolist(), repeats[repeats > 0].tolist(), strict=True):
-            take([x for x in row if x], n)
+    parts = combinations(np.flatnonzero(histogram), window)
+    # What rounding takes from one combination, the next of the same longest lengths gets.
+    upto = np.cumsum(non_negative_least_squares(parts, histogram))
+    repeats = np.diff(np.floor(upto + 0.5), prepend=0).astype(np.int64)
+    for row, n in zip(parts[repeats > 0].tolist(), repeats[repeats > 0].tolist(), strict=True):
+        take([x for x in row if x], n)
     while (rest := np.flatnonzero(left)).size:
         lengths, gap, open_ = [], window, left.copy()
         while (able := rest[(rest <= gap) & (open_[rest] > 0)]).size:

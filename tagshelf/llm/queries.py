@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 
 from tagshelf.llm.bpe import decode_ids, encode_text
 from tagshelf.llm.fingerprints import fingerprint_edits
+from tagshelf.llm.langid import identify
 from tagshelf.llm.licenses import scan_licenses
 from tagshelf.llm.line_dedup import dedup_lines
 from tagshelf.llm.packing import pack_documents
+from tagshelf.llm.pii import KINDS, find_pii
 from tagshelf.llm.quality import quality_rules
 from tagshelf.llm.rows import read
 
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +43,18 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = read(spark, sf_dir, "documents").select("doc_id", find_pii(F.col("text")).alias("spans"))
+    base = F.filter("spans", lambda s: s["base"])
+    listed = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in KINDS], F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(read(spark, sf_dir, "documents"))
     return judged.select(
@@ -54,6 +69,11 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify(read(spark, sf_dir, "documents"), PIECES)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = pack_documents(read(spark, sf_dir, "documents"), BYTE_BPE)
     return placed.select(
@@ -65,8 +85,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_fingerprints": op3_fingerprints,
     "op4_line_dedup": op4_line_dedup,
+    "op5_pii": op5_pii,
     "op6_quality_rules": op6_quality_rules,
     "op7_license_scan": op7_license_scan,
+    "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
 }
 
