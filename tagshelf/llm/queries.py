@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tagshelf.llm.bpe import decode_ids, encode_text
 from tagshelf.llm.fingerprints import fingerprint_edits
+from tagshelf.llm.jaccard_join import link_documents
 from tagshelf.llm.langid import identify
 from tagshelf.llm.licenses import scan_licenses
 from tagshelf.llm.line_dedup import dedup_lines
@@ -17,6 +19,8 @@ from tagshelf.llm.packing import pack_documents
 from tagshelf.llm.pii import KINDS, find_pii
 from tagshelf.llm.quality import quality_rules
 from tagshelf.llm.rows import read
+from tagshelf.llm.warc import read_archives, write_archives
+from tagshelf.sources.shared import new_folder
 
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -34,6 +38,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_documents(read(spark, sf_dir, "documents"), words=4, threshold=Fraction(85, 100))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(read(spark, sf_dir, "documents"))
 
@@ -81,8 +89,17 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    write_archives(read(spark, sf_dir, "pages"), folder)
+    return read_archives(spark, folder, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_fingerprints": op3_fingerprints,
     "op4_line_dedup": op4_line_dedup,
     "op5_pii": op5_pii,
@@ -90,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_license_scan": op7_license_scan,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
+    "op10_warc": op10_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {}
