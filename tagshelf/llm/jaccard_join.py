@@ -9,10 +9,10 @@ sets share, so that it is not indexed; there the other segment of the group is,
 neighbours: that is the cheaper allocation of the one difference that the group may have.
 
 Documents that share a signature are a bucket. A bucket is not expanded into pairs: its member with the most
-signatures in common with others is its hub, and all others are compared with the hub. Links between two
-members that both are linked to the hub change no component. For the others, the differences to the hub are sets
-again, and what two of them share is bounded from below (prefix filter): the tokens of their prefixes make new,
-smaller buckets, until none is left.
+signatures in common with others is its hub, and a hub's members, over all its buckets, are a star. Two sets that
+link are in one star. A star of bounded size is compared exactly in one task, which gives a tree of each linked
+part. The members of a larger star are compared with the hub alone first: links between two that are linked to the
+hub change no component. The others are compared with all in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ from tagshelf.llm.rows import field, pack, write_step
 FACTORS = np.array([(i * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) | 1 for i in range(1, 9)], np.uint64)
 BAND_GROWTH = 1.4
 AT_ONCE = 200_000  # rows that a task hands over together
+MEMBERS, TOKENS = 1_000, 500_000  # of a star, or of one of the two blocks, that one task compares
+COLUMNS = 4_096
 
 
 class Rule(NamedTuple):
@@ -167,12 +169,46 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
             sets.append(shingles(text, words).view(np.int64))
         ends = np.append(0, np.cumsum([len(s) for s in sets])).astype(np.int32)
         flat = np.concatenate([np.empty(0, np.int64), *sets])
-        # Sorted as unsigned; any order will do that is the same everywhere.
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "tokens"]
+            [pa.array(ids, pa.int64()), pa.array(np.diff(ends).astype(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+            ["id", "n", "tokens"],
         )
 
 
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each two sets share: products of 0/1 matrices, some thousand tokens at a time."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = count[token] > 1
+    number = np.cumsum(count > 1) - 1
+    owner, token = owner[several], number[token[several]]
+    order = np.argsort(token, kind="stable")
+    owner, token = owner[order], token[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, int(token[-1]) + 1 if len(token) else 0, COLUMNS):
+        a, b = np.searchsorted(token, [first, first + COLUMNS])
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[owner[a:b], token[a:b] - first] = 1
+        out += held @ held.T
+    return out.astype(np.int64)  # exact: sums of ones far below 2^24
+
+
+def _trees(group: pa.Table, rule: Rule) -> pa.Table:
+    """Links of a star or of two of its blocks: each linked part as a tree, its members to its smallest id."""
+    ids = group.column("id").to_numpy()
+    sets = [x.values.to_numpy() for x in group.column("tokens")]
+    size, shared = np.array([len(s) for s in sets], np.int64), _shared(sets)
+    linked = shared * (rule.down + rule.up) >= rule.up * (size[:, None] + size[None, :])
+    label = ids.copy()
+    while True:
+        lowest = np.minimum(label, np.where(linked, label[None, :], np.iinfo(np.int64).max).min(1))
+        if (lowest == label).all():
+            break
+        label = lowest
+    moved = label != ids
+    return pa.table({"hub": pa.array(label[moved]), "id": pa.array(ids[moved])})
+
+
 # --- buckets, hubs and what is left ---------------------------------------------------------------
 
 
@@ -191,63 +227,63 @@ def _stars(entries: DataFrame) -> DataFrame:
     return entries.join(hubs, "key").filter("id <> hub").select("hub", "id").distinct()
 
 
-def _compared(stars: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Each pair with whether it links, and the prefix of its differences; everything in built-in functions.
-
-    `differences` counts the tokens in one of the two sets only. They are ordered, those that the hub lacks
-    first: these are the rarer ones. `index` and `probe` are how many of them a partner with at least, or at most,
-    as many differences needs to see.
-    """
+def _linked_to_hub(stars: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Each hub and member with whether they link; in built-in functions."""
     member = sets.select("id", F.col("tokens").alias("own"))
     of_hub = sets.select(F.col("id").alias("hub"), F.col("tokens").alias("theirs"))
-    joined = stars.join(member, "id").join(of_hub, "hub")
-    parts = joined.select(
-        "hub", "id", F.size("own").alias("n"), F.size("theirs").alias("n_hub"),
-        F.array_except("own", "theirs").alias("added"), F.array_except("theirs", "own").alias("missing"),
+    shared = F.size(F.array_intersect("own", "theirs"))
+    linked = shared * F.lit(rule.down + rule.up) >= (F.size("own") + F.size("theirs")).cast("long") * rule.up
+    return stars.join(member, "id").join(of_hub, "hub").groupBy("hub", "id").agg(F.max(linked).alias("linked"))
+
+
+def _blocks(compared: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Members of large stars, dealt into blocks by hash, once for each two blocks they are in: hub, a, b, id.
+
+    Blocks of members that do not link to the hub meet each other and those that do; the latter do not meet.
+    """
+    with_size = compared.join(sizes, "id")
+    many = with_size.groupBy("hub", "linked").agg(F.count("*").alias("members"), F.sum("n").alias("tokens")).select(
+        "hub", "linked",
+        F.greatest(F.ceil(F.col("members") / MEMBERS), F.ceil(F.col("tokens") / TOKENS)).cast("int").alias("blocks"),
     )
-    up, down = rule.up, rule.down
-    counted = parts.withColumn("differences", F.size("added") + F.size("missing"))
-    linked = F.col("differences").cast("long") * (down + up) <= (F.col("n") + F.col("n_hub")).cast("long") * (down - up)
-    # The most differences to any set it can link with, and the fewest differences an unlinked partner has.
-    most = F.expr(f"int({down - up}L * (n + n * {down}L div {up}) div {down + up})")
-    fewest = F.expr(f"int({down - up}L * (n_hub + (n * {up}L + {down - 1}) div {down}) div {down + up}) + 1")
-    bounded = counted.withColumns({"linked": linked, "most": most}).withColumn(
-        "other", F.when(F.col("linked"), F.greatest("differences", fewest)).otherwise(F.col("differences"))
+    by_hub = many.groupBy("hub").agg(
+        F.coalesce(F.max(F.when(~F.col("linked"), F.col("blocks"))), F.lit(0)).alias("apart"),
+        F.coalesce(F.max(F.when(F.col("linked"), F.col("blocks"))), F.lit(0)).alias("near"),
+    ).filter("apart > 0")
+    dealt = compared.join(by_hub, "hub").withColumn(
+        "block", F.when(F.col("linked"), F.col("apart") + F.pmod(F.xxhash64("id"), F.col("near")))
+        .otherwise(F.pmod(F.xxhash64("id"), F.col("apart"))).cast("int"),
     )
-    d = F.col("differences")
-    half_up = lambda x: F.ceil(x / 2).cast("int")
-    index = d - F.greatest(F.lit(1), half_up(d + F.col("other") - F.col("most"))) + 1
-    probe = d - F.greatest(F.lit(1), half_up(d + F.greatest(d - F.col("most"), F.lit(0)) - F.col("most"))) + 1
-    lengths = bounded.withColumns({"index": index, "probe": probe})
-    return lengths.select(
-        "hub", "id", "linked", "index",
-        F.slice(F.concat("added", "missing"), F.lit(1), F.greatest("index", "probe", F.lit(0))).alias("prefix"),
+    others = F.when(F.col("linked"), F.sequence(F.lit(0), F.col("apart") - 1)).otherwise(
+        F.sequence(F.lit(0), F.col("apart") + F.col("near") - 1)
     )
+    met = dealt.select("hub", "id", "block", F.explode(others).alias("other"))
+    return met.select("hub", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "id")
 
 
 def _links(entries: DataFrame, sets_of, rule: Rule) -> list[DataFrame]:
-    """Tables of links between ids, enough for all components, found level by level."""
-    by_key = Window.partitionBy("key")
-    entries = _buckets(entries, F.count("*").over(by_key) > 1)
-    sets, found = None, []
-    while not entries.isEmpty():
-        stars = write_step(_stars(entries), "stars")
-        if sets is None:
-            sets = sets_of(stars.select("id").unionByName(stars.select(F.col("hub").alias("id"))).distinct())
-        compared = write_step(_compared(stars, sets, rule), "compared")
-        found.append(compared.filter("linked").select("hub", "id"))
-        open_hubs = compared.filter(~F.col("linked")).select("hub").distinct()
-        spread = compared.join(open_hubs, "hub", "left_semi").select(
-            "hub", "id", "linked", "index", F.posexplode("prefix").alias("place", "token")
-        )
-        marked = spread.select(
-            F.xxhash64("hub", "token").alias("key"), "id", "linked", (F.col("place") < F.col("index")).alias("indexed")
-        )
-        entries = _buckets(
-            marked,
-            (F.count("*").over(by_key) > 1) & F.max("indexed").over(by_key) & F.max(~F.col("linked")).over(by_key),
-        ).select("key", "id")
-    return found
+    """Tables of links between ids, enough for all components."""
+    entries = _buckets(entries, F.count("*").over(Window.partitionBy("key")) > 1)
+    stars = write_step(_stars(entries), "stars")
+    sets = sets_of(stars.select("id").unionByName(stars.select(F.col("hub").alias("id"))).distinct())
+    sizes = sets.groupBy("id").agg(F.sum("n").alias("n"))
+    weights = write_step(
+        stars.join(sizes, "id").groupBy("hub").agg(F.count("*").alias("members"), F.sum("n").alias("tokens")), "stars-sizes"
+    )
+    small = (F.col("members") < MEMBERS) & (F.col("tokens") < TOKENS)
+    whole = stars.join(weights.filter(small), "hub", "left_semi")
+    compared = write_step(
+        _linked_to_hub(stars.join(weights.filter(~small), "hub", "left_semi"), sets, rule), "compared"
+    )
+    hubs = whole.select("hub", F.col("hub").alias("id")).distinct()
+    zero = F.lit(0)
+    groups = whole.unionByName(hubs).select("hub", zero.alias("a"), zero.alias("b"), "id").unionByName(
+        _blocks(compared, sizes)
+    )
+    trees = groups.join(sets.select("id", "tokens"), "id").groupBy("hub", "a", "b").applyInArrow(
+        lambda group: _trees(group, rule), "hub bigint, id bigint"
+    )
+    return [compared.filter("linked").select("hub", "id"), write_step(trees.distinct(), "trees")]
 
 
 # --- the operator ---------------------------------------------------------------------------------
@@ -286,7 +322,7 @@ def link_documents(
 
     def sets_of(ids: DataFrame) -> DataFrame:
         wanted = with_id.join(write_step(ids, "candidates"), "id", "left_semi").select("id", "text")
-        return write_step(wanted.mapInArrow(lambda b: _sets(b, words), "id bigint, tokens array<bigint>"), "token-sets")
+        return write_step(wanted.mapInArrow(lambda b: _sets(b, words), "id bigint, n bigint, tokens array<bigint>"), "token-sets")
 
     found = _links(entries, sets_of, rule)
     # An id with several texts ties their classes together.
