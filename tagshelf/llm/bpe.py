@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 NEVER = np.iinfo(np.int32).max
 LONG = 64  # symbols from which on a fragment is encoded on its own, with a heap
-REMEMBERED = 400_000  # pieces
-AT_ONCE = 8 << 20  # bytes of text that are encoded together
+REMEMBERED = 250_000  # pieces
+MARKS = frozenset([b".", b",", b";", b":", b"!", b"?"])
+AT_ONCE = 4 << 20  # bytes of text that are encoded together
 
 # Precomposed Latin letters: normal forms leave them alone, and each has one lower case of its own.
 LATIN = "À-ÖØ-öø-ÿ"
@@ -36,8 +37,9 @@ SPACED_WORDS = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z{LATIN}]+| ?[0-9]+| ?[^\\sA-Za-z0-9{LATIN}]+|\\s+(?!\\S)|\\s+"
 )
 
-# White space beyond ASCII's: separators of the control range, and what starts other spaces in UTF-8.
-OTHER_SPACE = [b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
+# White space beyond ASCII's: separators of the control range, and what starts other spaces in UTF-8; and zero,
+# which marks keys.
+OTHER_SPACE = [b"\0", b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
 SPACE_BY_SPACE = [b"  ", *[x for c in b"\t\n\x0b\f\r" for x in (bytes([32, c]), bytes([c, 32]))]]
 SPACED = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 
@@ -150,9 +152,6 @@ class Bpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         names = sorted(self.special, key=len, reverse=True)
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
-        self.tokens = [""] * (max([*vocabulary.values(), *self.special.values()]) + 1)
-        for token, i in [*vocabulary.items(), *self.special.items()]:
-            self.tokens[i] = token
         self.joins = Joins(vocabulary, model["merges"])
         letters = byte_letters()
         self.byte_of = {c: b for b, c in enumerate(letters)}
@@ -173,27 +172,45 @@ class Bpe:
         self.slots: dict[bytes, int] = {}
         self.starts, self.flat = np.zeros(1, np.int64), np.empty(0, np.int32)
 
+    def _keep(self, pieces: set[bytes]) -> None:
+        """Remember no others but these."""
+        kept = list(pieces & self.slots.keys())
+        slots = np.fromiter(map(self.slots.__getitem__, kept), np.int64, len(kept))
+        self.flat, length = self._gather(slots)
+        self.starts = np.append(0, np.cumsum(length))
+        self.slots = dict(zip(kept, range(len(kept)), strict=True))
+
+    def _gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces in `slots` one after the other, and the number of ids of each."""
+        start, length = self.starts[slots], self.starts[slots + 1] - self.starts[slots]
+        ends = np.cumsum(length)
+        where = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - length), length)
+        return self.flat[where], length
+
     # --- texts to pieces that are encoded independently -------------------------------------------
 
     def pieces(self, text: bytes) -> list[bytes]:
+        """Pieces as keys: for spaced words, what stands behind a single space is itself the key, and
+        anything else has a zero byte before it."""
         if self.suffix:
             return text.split()  # the file drops white space
         if any(x in text for x in OTHER_SPACE):
-            return [text]
+            return [b"\0" + text]
         if any(x in text for x in SPACE_BY_SPACE):
-            return SPACED.findall(text)
-        first, *rest = text.split(b" ")
-        return [first, *[b" " + x for x in rest]] if first else [b" " + x for x in rest]
+            return [b"\0" + p for p in SPACED.findall(text)]
+        found = text.split(b" ")
+        if not found[0]:
+            return found[1:]
+        found[0] = b"\0" + found[0]
+        return found
 
     # --- pieces to words, the units that the file's own rules encode one by one -------------------
 
     def words(self, piece: bytes) -> list:
         """Words as bytes; a special token as its id."""
-        if piece.isalpha():
-            return [piece.lower() if self.suffix else piece]
-        if not self.suffix and piece[1:].isalpha() and piece[0] == 32:
-            return [piece]
         text = piece.decode()
+        if not self.suffix:
+            text = text[1:] if text[:1] == "\0" else " " + text
         if self.special_pattern and "<" in text:
             out = []
             for part in self.special_pattern.split(text):
@@ -245,34 +262,43 @@ class Bpe:
         return ids[kept], np.cumsum(kept)[ends - 1]
 
     def _remember(self, pieces: list[bytes]) -> None:
-        words = [self.words(p) for p in pieces]
-        counts = np.fromiter(map(len, words), np.int64, len(words))
-        flat_words = [w for ws in words for w in ws]
+        # Pieces of ASCII letters are one word each, whatever the rules; they come first.
+        # So are the letters before a single mark, and the mark.
+        plain = [p for p in pieces if p.isalpha()]
+        marked = [p for p in pieces if p[-1:] in MARKS and p[:-1].isalpha()]
+        others = list(set(pieces).difference(plain, marked))
+        words = [self.words(p) for p in others]
+        counts = np.concatenate([
+            np.ones(len(plain), np.int64), np.full(len(marked), 2), np.fromiter(map(len, words), np.int64, len(words))
+        ])
+        as_word = bytes.lower if self.suffix else b" ".__add__
+        flat_words = list(map(as_word, plain))
+        for p in marked:
+            flat_words += (as_word(p[:-1]), p[-1:])
+        flat_words += itertools.chain.from_iterable(words)
         if flat_words:
             ids, ends = self._encode_words(flat_words)
         else:
             ids, ends = np.empty(0, np.int32), np.empty(0, np.int64)
         piece_ends = np.append(0, ends)[np.cumsum(counts)]
         known = len(self.starts) - 1
-        self.slots.update(zip(pieces, range(known, known + len(pieces)), strict=True))
+        self.slots.update(zip(plain + marked + others, range(known, known + len(pieces)), strict=True))
         self.starts = np.concatenate([self.starts, self.starts[-1] + piece_ends])
         self.flat = np.concatenate([self.flat, ids])
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of ids of each."""
         listed = [self.pieces(t) for t in texts]
-        new = set().union(*listed)
-        new.difference_update(self.slots.keys() & new)
+        used = set().union(*listed)
+        new = used - self.slots.keys()
         if len(self.slots) + len(new) > REMEMBERED:
-            self._forget()
-            new = set().union(*listed)
+            self._keep(used)
         self._remember(list(new))
         counts = np.fromiter(map(len, listed), np.int64, len(listed))
-        slots = np.fromiter(map(self.slots.__getitem__, itertools.chain.from_iterable(listed)), np.int64, int(counts.sum()))
-        start, length = self.starts[slots], self.starts[slots + 1] - self.starts[slots]
+        every = itertools.chain.from_iterable(listed)
+        ids, length = self._gather(np.fromiter(map(self.slots.__getitem__, every), np.int64, int(counts.sum())))
         total = np.append(0, np.cumsum(length))
-        where = np.arange(total[-1]) + np.repeat(start - total[:-1], length)
-        return self.flat[where], np.diff(total[np.append(0, np.cumsum(counts))])
+        return ids, np.diff(total[np.append(0, np.cumsum(counts))])
 
 
 @functools.cache
@@ -325,21 +351,30 @@ def decode_ids(ids: Column, path: str) -> Column:
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = load(path)
-        to_text = decoder(bpe)
+        to_text = decoder(path)
         for lists in batches:
-            values = lists.flatten().to_pylist()
+            values = lists.flatten().to_numpy(zero_copy_only=False)
             ends = np.append(0, np.cumsum([n or 0 for n in lists.value_lengths().to_pylist()])).astype(int).tolist()
             yield pa.array([to_text(values[a:b]) for a, b in zip(ends, ends[1:], strict=False)], pa.string())
 
     return decode(ids)
 
 
-def decoder(bpe: Bpe) -> Callable[[list[int]], str]:
-    known = len(bpe.tokens)
-    if bpe.library.decoder is None:
-        tokens = bpe.tokens
-        return lambda ids: " ".join([tokens[i] for i in ids if 0 <= i < known and tokens[i]])
-    special = set(bpe.special)
-    raw = [t.encode() if t in special else bytes(map(bpe.byte_of.__getitem__, t)) for t in bpe.tokens]
-    return lambda ids: b"".join([raw[i] for i in ids if 0 <= i < known]).decode("utf-8", "replace")
+@functools.cache
+def decoder(path: str) -> Callable[[np.ndarray], str]:
+    """Ids to text, as the file's own decoder does it; one per worker process."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    listed = {**{i: t for t, i in spec["model"]["vocab"].items()}, **{i: t for t, i in special.items()}}
+    known = max(listed) + 1
+    has = np.zeros(known + 1, bool)
+    has[list(listed)] = True
+    names = np.full(known, "", object)
+    names[list(listed)] = list(listed.values())
+    kept = lambda ids: ids[has[np.where((ids < 0) | (ids > known), known, ids)]]
+    if spec["decoder"] is None:
+        return lambda ids: " ".join(names[kept(ids)])
+    byte_of = {c: b for b, c in enumerate(byte_letters())}
+    raw = np.array([t.encode() if t in special else bytes(byte_of[c] for c in t) for t in names], object)
+    return lambda ids: b"".join(raw[kept(ids)]).decode("utf-8", "replace")

@@ -29,14 +29,6 @@ ROUNDS = 300
 # --- pieces ---------------------------------------------------------------------------------------
 
 
-def _cut(ids: np.ndarray, window: int) -> list[dict]:
-    n, raw = len(ids), ids.astype("<u4").tobytes()
-    return [
-        {"start": a, "length": min(window, n - a), "ids_crc32": zlib.crc32(raw[4 * a : 4 * (a + window)]), "doc_tokens": n}
-        for a in range(0, n, window)
-    ]
-
-
 def text_pieces(text: Column, path: str, end_id: int, window: int) -> Column:
     """The pieces of a text's ids with `end_id` behind them: as many of a window's length as there are, and the rest.
 
@@ -46,14 +38,25 @@ def text_pieces(text: Column, path: str, end_id: int, window: int) -> Column:
     @F.arrow_udf(PIECE)
     def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = load(path)
-        end, kind = np.array([end_id], np.int32), pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int32()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())]))
+        names = ["start", "length", "ids_crc32", "doc_tokens"]
+        end = np.array([end_id], "<u4").tobytes()
         for texts in batches:
-            out = []
+            start, length, checksum, tokens, n_pieces = [], [], [], [], []
             for portion in in_portions(text_bytes(texts)):
                 ids, counts = bpe.encode(portion)
-                for own in np.split(ids, np.cumsum(counts)[:-1]):
-                    out.append(_cut(np.concatenate([own, end]), window))
-            yield pa.array(out, kind)
+                raw, at = ids.astype("<u4").tobytes(), 0
+                for n in (counts + 1).tolist():
+                    own = raw[4 * at : 4 * (at + n - 1)] + end
+                    at += n - 1
+                    firsts = range(0, n, window)
+                    start += firsts
+                    length += [min(window, n - a) for a in firsts]
+                    checksum += [zlib.crc32(own[4 * a : 4 * (a + window)]) for a in firsts]
+                    tokens += [n] * len(firsts)
+                    n_pieces.append(len(firsts))
+            columns = [pa.array(start, pa.int64()), pa.array(length, pa.int32()), pa.array(checksum, pa.int64()), pa.array(tokens, pa.int64())]
+            ends = np.append(0, np.cumsum(n_pieces)).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(columns, names))
 
     return pieces(text)
 

@@ -15,6 +15,7 @@ from tagshelf.llm.jaccard_join import link_documents
 from tagshelf.llm.langid import identify
 from tagshelf.llm.licenses import scan_licenses
 from tagshelf.llm.line_dedup import dedup_lines
+from tagshelf.llm.oracle import SQL
 from tagshelf.llm.packing import pack_documents
 from tagshelf.llm.pii import KINDS, find_pii
 from tagshelf.llm.quality import quality_rules
@@ -110,4 +111,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = SQL
