@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 NEVER = np.iinfo(np.int32).max
 LONG = 64  # symbols from which on a fragment is encoded on its own, with a heap
-REMEMBERED = 250_000  # pieces
+REMEMBERED = 200_000  # pieces
 MARKS = frozenset([b".", b",", b";", b":", b"!", b"?"])
 AT_ONCE = 4 << 20  # bytes of text that are encoded together
 

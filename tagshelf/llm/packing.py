@@ -9,6 +9,8 @@ rank among the pieces of its length stands for.
 
 from __future__ import annotations
 
+import functools
+import json
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagshelf.llm.bpe import in_portions, load, text_bytes
+from tagshelf.llm.bpe import byte_letters, encode_text
 from tagshelf.llm.rows import ROW, field, pack, unpack, write_step
 
 PIECE = "array<struct<start: bigint, length: int, ids_crc32: bigint, doc_tokens: bigint>>"
@@ -26,9 +28,31 @@ DEPTH = 3
 ROUNDS = 300
 
 
+# Fixed value: how byte-level vocabularies with spaced words split a text.
+WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 # --- pieces ---------------------------------------------------------------------------------------
 
 
+@functools.cache
+def encoder(path: str):
+    """The vocabulary of a byte-level tokenizer file for the faster of the two public libraries, one per worker
+    process. Their ids are the same where, as in such files, a token's id grows with the rank of its merge."""
+    from tiktoken import Encoding
+
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    vocabulary, merges = spec["model"]["vocab"], spec["model"]["merges"]
+    made = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
+    if made != sorted(made) or spec["normalizer"] is not None:
+        raise ValueError(f"{path} is no byte-level vocabulary in the order of its merges")
+    byte_of = {c: b for b, c in enumerate(byte_letters())}
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in vocabulary.items() if t not in special}
+    return Encoding("own", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
+
+
 def text_pieces(text: Column, path: str, end_id: int, window: int) -> Column:
     """The pieces of a text's ids with `end_id` behind them: as many of a window's length as there are, and the rest.
 
@@ -37,23 +61,20 @@ def text_pieces(text: Column, path: str, end_id: int, window: int) -> Column:
 
     @F.arrow_udf(PIECE)
     def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = load(path)
+        tokenizer = encoder(path)
         names = ["start", "length", "ids_crc32", "doc_tokens"]
-        end = np.array([end_id], "<u4").tobytes()
         for texts in batches:
             start, length, checksum, tokens, n_pieces = [], [], [], [], []
-            for portion in in_portions(text_bytes(texts)):
-                ids, counts = bpe.encode(portion)
-                raw, at = ids.astype("<u4").tobytes(), 0
-                for n in (counts + 1).tolist():
-                    own = raw[4 * at : 4 * (at + n - 1)] + end
-                    at += n - 1
-                    firsts = range(0, n, window)
-                    start += firsts
-                    length += [min(window, n - a) for a in firsts]
-                    checksum += [zlib.crc32(own[4 * a : 4 * (a + window)]) for a in firsts]
-                    tokens += [n] * len(firsts)
-                    n_pieces.append(len(firsts))
+            for text in texts:
+                ids = tokenizer.encode_to_numpy(text.as_py() or "", allowed_special="all")
+                raw = np.append(ids, end_id).astype("<u4").tobytes()
+                n = len(raw) // 4
+                firsts = range(0, n, window)
+                start += firsts
+                length += [min(window, n - a) for a in firsts]
+                checksum += [zlib.crc32(raw[4 * a : 4 * (a + window)]) for a in firsts]
+                tokens += [n] * len(firsts)
+                n_pieces.append(len(firsts))
             columns = [pa.array(start, pa.int64()), pa.array(length, pa.int32()), pa.array(checksum, pa.int64()), pa.array(tokens, pa.int64())]
             ends = np.append(0, np.cumsum(n_pieces)).astype(np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(columns, names))
@@ -233,8 +254,6 @@ def sequences(
 
     Documents have an id of their own here. A sequence gathers at most `window` tokens.
     """
-    from tagshelf.llm.bpe import encode_text
-
     ids = pack(docs).select(field(doc_id).alias("_id"), F.array_append(encode_text(field(text), path), F.lit(end_id)).alias("ids"))
     own = placed.select(F.col(doc_id).alias("_id"), "start", "length", "sequence_id", "offset")
     parts = own.join(ids, "_id").select(

@@ -19,7 +19,7 @@ from tagshelf.llm.oracle import SQL
 from tagshelf.llm.packing import pack_documents
 from tagshelf.llm.pii import KINDS, find_pii
 from tagshelf.llm.quality import quality_rules
-from tagshelf.llm.rows import read
+from tagshelf.llm.rows import bound_batches, read
 from tagshelf.llm.warc import read_archives, write_archives
 from tagshelf.sources.shared import new_folder
 
@@ -30,6 +30,7 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     encoded = read(spark, sf_dir, "documents").select("doc_id", encode_text(F.col("text"), WORD_BPE).alias("ids"))
     decoded = encoded.select("doc_id", "ids", decode_ids(F.col("ids"), WORD_BPE).alias("text"))
     return decoded.select(

@@ -20,10 +20,18 @@ SPACES = " \t\n\x0b\f\r"
 SPACE_CLASS = r"\x20\x09-\x0D"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 FREE_SHUFFLE_FILES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def bound_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Texts are long: hand Python tasks no more than so many rows at once (Spark bounds the bytes as well)."""
+    if int(spark.conf.get(BATCH_ROWS)) > rows:
+        spark.conf.set(BATCH_ROWS, rows)
+
+
 def pack(docs: DataFrame) -> DataFrame:
+    bound_batches(docs.sparkSession)
     return docs.select(F.struct("*").alias(ROW))
 
 
