@@ -35,7 +35,9 @@ RULES = {
     "game_indicator_tags": star.STAR_GAME_INDICATOR_TAGS,
 }
 # The safety limit of the removal is there to make a person look; here the candidates are known.
-MAX_ROWS = 1_000_000_000
+MAX_ROWS = None
+# Games with any of these tags are removed to see which tags remain.
+REMOVED_TAGS = ["Brand#11", "Brand#21"]
 
 _snapshots: dict[tuple[str, str, str], Tables] = {}
 
@@ -130,15 +132,20 @@ def pruned_bridge(t: Tables) -> DataFrame:
     return clean.prune_orphan_bridge(t.game_tags, survivors).select("appid", "tag_id", "votes")
 
 
+def _without_parts(t: Tables) -> DataFrame:
+    """The whole bridge of the games that have no part of two brands: then some tags are used no more, or less."""
+    brands = t.tags.filter(F.col("tag_name").isin(REMOVED_TAGS)).select("tag_id")
+    removed = clean.semi(t.game_tags, brands, "tag_id").select("appid").distinct()
+    return clean.prune_orphan_bridge(t.game_tags, clean.anti(t.games, removed, "appid"))
+
+
 def pruned_tags(t: Tables) -> DataFrame:
-    """Tags that still have a strong vote: the bridge is first cut down to its strongest rows."""
-    strong = t.game_tags.filter(F.col("votes") >= 150)
-    return clean.prune_orphan_tags(t.tags, strong).select("tag_id", "tag_name")
+    """Tags that are still in use after a removal of games."""
+    return clean.prune_orphan_tags(t.tags, _without_parts(t)).select("tag_id", "tag_name")
 
 
 def recounted_tags(t: Tables) -> DataFrame:
-    strong = t.game_tags.filter(F.col("votes") >= 150)
-    return clean.recount_tags(t.tags, strong).select("tag_id", "tag_name", "game_count")
+    return clean.recount_tags(t.tags, _without_parts(t)).select("tag_id", "tag_name", "game_count")
 
 
 def fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:

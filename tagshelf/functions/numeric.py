@@ -48,23 +48,12 @@ def approval_pct(total_approval: str, n: str) -> str:
     return rounded(f"{total_approval} / nullif({n}, 0) * 100", 1)
 
 
-def _product_gap(a: str, b: str, c: str, d: str) -> str:
-    """a*b - c*d over whole numbers: exact up to 38 digits, in doubles beyond."""
-    w, x, y, z = (f"try_cast({v} AS DECIMAL(38,0))" for v in (a, b, c, d))
-    exact = f"CAST(try_subtract(try_multiply({w}, {x}), try_multiply({y}, {z})) AS DOUBLE)"
-    e, f, g, h = (f"CAST({v} AS DOUBLE)" for v in (a, b, c, d))
-    return f"coalesce({exact}, {e} * {f} - {g} * {h})"
-
-
-def pearson(n: str, sum_x: str, sum_y: str, sum_xx: str, sum_yy: str, sum_xy: str, varies: str) -> str:
-    """Pearson correlation of whole numbers from their power sums; NULL unless both sides vary.
+def pearson(sxx: str, syy: str, sxy: str, varies: str) -> str:
+    """Pearson correlation from the sums of squares and products about the means; NULL unless both sides vary.
 
     The built-in `corr` divides by zero on constant groups under ANSI rules.
     """
-    both = _product_gap(n, sum_xy, sum_x, sum_y)
-    only_x, only_y = _product_gap(n, sum_xx, sum_x, sum_x), _product_gap(n, sum_yy, sum_y, sum_y)
-    spread = f"nullif(sqrt(greatest({only_x}, 0D)) * sqrt(greatest({only_y}, 0D)), 0D)"
-    return f"CASE WHEN {varies} THEN {both} / {spread} END"
+    return f"CASE WHEN {varies} THEN {sxy} / nullif(sqrt({sxx}) * sqrt({syy}), 0D) END"
 
 
 def wilson_lower_bound(positive: str, n: str, z: float = WILSON_Z) -> str:

@@ -79,13 +79,13 @@ def non_game_appids(
     return suspects.join(games.select("appid"), "appid", "left_semi")
 
 
-def guard_max_rows(df: DataFrame, max_rows: int = fv.MAX_NON_GAME_ROWS) -> int:
-    """Number of rows of `df`, or an error if there are more than `max_rows`.
+def guard_max_rows(df: DataFrame, max_rows: int | None = fv.MAX_NON_GAME_ROWS) -> int:
+    """Number of rows of `df`, or an error if there are more than `max_rows`; None is no limit.
 
     A plain distributed count: a limit would move up to `max_rows` rows into one task.
     """
     n = df.count()
-    if n > max_rows:
+    if max_rows is not None and n > max_rows:
         raise ValueError(
             f"{n} rows would be removed, more than {max_rows}; review the candidates, then change the "
             "tag lists, the votes threshold or the limit"

@@ -89,20 +89,17 @@ def playtime_by_tag(
 ) -> DataFrame:
     """Playtime per tag, its correlation with the achievement count, and the achievement band."""
     rows = tagged(played(games).select("appid", PLAYTIME, "achievements"), game_tags)
-    x, y = f"CAST({PLAYTIME} AS DOUBLE)", "CAST(achievements AS DOUBLE)"
     stats = summarise(
         rows, ["tag_id"], PLAYTIME,
         {
             "sum_y": ("whole", "achievements"),
-            "sum_xx": ("sum", f"{x} * {x}"), "sum_yy": ("sum", f"{y} * {y}"), "sum_xy": ("sum", f"{x} * {y}"),
             "min_x": ("min", PLAYTIME), "max_x": ("max", PLAYTIME),
             "min_y": ("min", "achievements"), "max_y": ("max", "achievements"),
         },
+        pair=(PLAYTIME, "achievements"),
         few_groups=is_small(tags),
     )
-    correlation = pearson(
-        "n", "total_minutes", "sum_y", "sum_xx", "sum_yy", "sum_xy", "min_x < max_x AND min_y < max_y"
-    )
+    correlation = pearson("sxx", "syy", "sxy", "min_x < max_x AND min_y < max_y")
     stats = stats.selectExpr(
         "tag_id", "n", AVG_HRS, MEDIAN_HRS,
         f"{rounded_ratio('sum_y', 'n', 0)} AS avg_achievements",

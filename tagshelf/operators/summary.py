@@ -22,9 +22,26 @@ def bucket_of(value: str) -> str:
 
 
 def _first(name: str, how: str, value: str) -> str:
-    """Aggregate over rows. A `whole` total is summed per bucket as a double: one narrow column that
-    cannot overflow, and exact up to 2^53."""
-    return f"sum(CAST({value} AS DOUBLE)) AS {name}" if how == "whole" else f"{how}({value}) AS {name}"
+    """Aggregate over rows. A `whole` total is summed as a decimal that holds any bigint: exact at any size."""
+    return f"sum(CAST({value} AS DECIMAL(20,0))) AS {name}" if how == "whole" else f"{how}({value}) AS {name}"
+
+
+def _moments(pair: tuple[str, str]) -> list[str]:
+    """Aggregates over rows: how many pairs there are, their means, and squares and products about the means."""
+    x, y = (f"CAST({v} AS DOUBLE)" for v in pair)
+    return [
+        f"regr_count({y}, {x}) AS _pairs", f"regr_avgx({y}, {x}) AS _mx", f"regr_avgy({y}, {x}) AS _my",
+        f"regr_sxx({y}, {x}) AS _sxx", f"regr_syy({y}, {x}) AS _syy", f"regr_sxy({y}, {x}) AS _sxy",
+    ]
+
+
+# The same over the buckets of a group: what is about the buckets' means, and these about the group's mean. No two
+# large numbers are ever subtracted, whatever the size of the values.
+_MERGED_MOMENTS = [
+    "sum(_sxx + _pairs * (_mx - _gx) * (_mx - _gx)) AS sxx",
+    "sum(_syy + _pairs * (_my - _gy) * (_my - _gy)) AS syy",
+    "sum(_sxy + _pairs * (_mx - _gx) * (_my - _gy)) AS sxy",
+]
 
 
 def _merged(name: str, how: str) -> str:
@@ -39,10 +56,12 @@ def summarise(
     keys: list[str],
     minutes: str,
     totals: dict[str, tuple[str, str]] | None = None,
-    few_groups: bool = True,
+    pair: tuple[str, str] | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     """One row per group: `n`, `total_minutes`, `median_minutes`, and `totals`, given by name as a pair of
-    "whole" (a sum of whole numbers), "sum", "min", "max" or "count" and the SQL it is taken of.
+    "whole" (a sum of whole numbers), "sum", "min", "max" or "count" and the SQL it is taken of. With a `pair`
+    of numbers also `sxx`, `syy` and `sxy`, their sums of squares and products about the means.
 
     The median is found in two passes. The first counts rows per (group, bucket): it combines on the
     map side to at most 488 rows per group, carries all the sums, and tells in which one or two buckets
@@ -53,8 +72,8 @@ def summarise(
     The rows are needed twice. Where they come from a shuffle join, the exchange of the large side is
     planned once and reused; bucketed tables need none.
 
-    The second pass looks up the groups' middle buckets by broadcast: pass `few_groups=False` if the
-    number of groups is not known to be small, and a shuffle join is planned.
+    The planner decides how the second pass looks up the groups' middle buckets; `few_groups=True` asks for a
+    broadcast where the number of groups is known to be small.
     """
     totals = {"total_minutes": ("whole", minutes), **(totals or {})}
     by_key = f"PARTITION BY {', '.join(keys)}"
@@ -63,11 +82,14 @@ def summarise(
     buckets = rows.groupBy(*keys, "_bucket").agg(
         F.expr("count(*) AS _n"),
         *[F.expr(_first(name, how, value)) for name, (how, value) in totals.items()],
+        *[F.expr(x) for x in (_moments(pair) if pair else [])],
     )
+    means = [f"sum(_pairs * _m{v}) OVER ({by_key}) / nullif(sum(_pairs) OVER ({by_key}), 0) AS _g{v}" for v in "xy"]
     ranked = buckets.selectExpr(
         "*",
         f"sum(_n) OVER ({by_key} ORDER BY _bucket ROWS UNBOUNDED PRECEDING) AS _upto",
         f"sum(_n) OVER ({by_key}) AS _all",
+        *(means if pair else []),
     )
     # The two middle rows are those at the zero-based places (all - 1) div 2 and all div 2.
     groups = ranked.groupBy(*keys).agg(
@@ -76,9 +98,11 @@ def summarise(
         F.expr("min(CASE WHEN _upto > (_all - 1) div 2 THEN _upto - _n END) AS _before"),
         F.expr("sum(_n) AS n"),
         *[F.expr(_merged(name, how)) for name, (how, _) in totals.items()],
+        *[F.expr(x) for x in (_MERGED_MOMENTS if pair else [])],
     )
+    carried_names = [*totals, *(["sxx", "syy", "sxy"] if pair else [])]
     # The sums travel along as one column, so that the first pass is planned and run only once.
-    carried = f"struct(n, _before, {', '.join(totals)}) AS _group"
+    carried = f"struct(n, _before, {', '.join(carried_names)}) AS _group"
     middle = groups.selectExpr(*keys, "_lower", "_upper", carried)
 
     values = (
@@ -97,4 +121,4 @@ def summarise(
     medians = values.groupBy(*keys, "_group").agg(
         F.expr(f"(CAST({lower} AS DOUBLE) + CAST({upper} AS DOUBLE)) / 2 AS median_minutes")
     )
-    return medians.selectExpr(*keys, "_group.n", *[f"_group.{name}" for name in totals], "median_minutes")
+    return medians.selectExpr(*keys, "_group.n", *[f"_group.{name}" for name in carried_names], "median_minutes")

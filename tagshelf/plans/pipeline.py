@@ -106,9 +106,9 @@ def clean(tables: Tables, assume_unique: bool = False) -> Tables:
 
 
 def remove_non_games(
-    tables: Tables, max_rows: int = fv.MAX_NON_GAME_ROWS, assume_unique: bool = False, **rules
+    tables: Tables, max_rows: int | None = fv.MAX_NON_GAME_ROWS, assume_unique: bool = False, **rules
 ) -> Tables:
-    """Remove the non-game candidates everywhere, unless there are more than `max_rows` of them.
+    """Remove the non-game candidates everywhere, unless there are more than `max_rows` of them (None: no limit).
 
     The candidates are computed once. Their written size tells the planner whether to broadcast them.
     """
@@ -120,7 +120,7 @@ def remove_non_games(
 
 
 def clean_and_remove(
-    tables: Tables, max_rows: int = fv.MAX_NON_GAME_ROWS, assume_unique: bool = False, **rules
+    tables: Tables, max_rows: int | None = fv.MAX_NON_GAME_ROWS, assume_unique: bool = False, **rules
 ) -> Tables:
     """`clean` and `remove_non_games` in one: a verdict on a game needs only its own bridge rows, so
     the bridge is brought in line once, at the end."""
@@ -162,7 +162,7 @@ def validate(tables: Tables) -> Tables:
     return tables
 
 
-def kpis(tables: Tables, as_of=None, assume_unique: bool = True) -> dict[str, DataFrame]:
+def kpis(tables: Tables, as_of=None, assume_unique: bool = False) -> dict[str, DataFrame]:
     return kpi_views(tables, as_of, assume_unique)
 
 
@@ -172,7 +172,7 @@ def refresh(
     root: str,
     layout: str = "object",
     remove: bool = True,
-    max_rows: int = fv.MAX_NON_GAME_ROWS,
+    max_rows: int | None = fv.MAX_NON_GAME_ROWS,
     buckets: int | None = None,
     report: dict | None = None,
 ) -> str:

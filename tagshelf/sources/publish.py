@@ -109,6 +109,8 @@ def _latest(spark: SparkSession, root: str) -> dict | None:
     try:
         log = spark.read.schema(LOG_SCHEMA).json(f"{root}/{LOG}")
         row = log.orderBy(F.col("seq").desc(), "run_id").first()
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
     return row.asDict() if row else None

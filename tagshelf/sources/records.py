@@ -56,21 +56,26 @@ def _line_records(spark: SparkSession, path) -> DataFrame:
     return (
         spark.read.text(path)
         .filter(F.trim("value") != "")
-        .select(F.col("value").alias("record"), F.monotonically_increasing_id().alias("record_ord"))
+        .select(F.col("value").alias("record"))
     )
 
 
 def parse_records(records: DataFrame, key: Column | None) -> DataFrame:
     """Parse the JSON text in `record`. With `key` None the appid is a field of the record itself, and
-    a line that is not a JSON object fails the job, as a broken file does."""
+    a line that is not a JSON object fails the job, as a broken file does.
+
+    The place of the record is numbered in the projection that parses it: filters on the result are then not pushed
+    below it, where they would parse every record again for each field they look at.
+    """
+    place = F.monotonically_increasing_id() if "record_ord" not in records.columns else F.col("record_ord")
     if key is None:
-        parsed = records.withColumn("r", F.from_json("record", f"appid VARIANT, {RECORD_SCHEMA}"))
+        parsed = records.select("record", place.alias("record_ord"), F.from_json("record", f"appid VARIANT, {RECORD_SCHEMA}").alias("r"))
         broken = F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring("record", 1, 200)))
         key = F.coalesce(
             json_text(F.col("r.appid")),
             F.when(F.json_object_keys("record").isNull(), broken.cast("string")),
         )
     else:
-        parsed = records.withColumn("r", F.from_json("record", RECORD_SCHEMA))
+        parsed = records.select("appid", place.alias("record_ord"), F.from_json("record", RECORD_SCHEMA).alias("r"))
     names = [field.split()[0] for field in RECORD_SCHEMA.split(", ")]
     return parsed.select(key.alias("appid"), "record_ord", *[F.col(f"r.{n}").alias(n) for n in names])

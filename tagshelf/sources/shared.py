@@ -2,26 +2,17 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tagshelf-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir` of the session; a temporary folder only for a local master without one."""
+    """`spark.checkpoint.dir` of the session: a folder that the driver and every executor reach."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = _local_folder()
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return folder.rstrip("/")
 
 

@@ -8,8 +8,8 @@ from tagshelf.operators import kpi
 from tagshelf.tables import Tables
 
 
-def kpi_views(tables: Tables, as_of=None, assume_unique: bool = True) -> dict[str, DataFrame]:
-    """The six views as lazy DataFrames. The tables are expected to have passed `pipeline.validate`."""
+def kpi_views(tables: Tables, as_of=None, assume_unique: bool = False) -> dict[str, DataFrame]:
+    """The six views as lazy DataFrames. `assume_unique` is for tables that have passed `pipeline.validate`."""
     t, unique = tables, {"assume_unique": assume_unique}
     return {
         "v_kpi_playtime_by_tag": kpi.playtime_by_tag(t.games, t.game_tags, t.tags, **unique),
@@ -23,7 +23,7 @@ def kpi_views(tables: Tables, as_of=None, assume_unique: bool = True) -> dict[st
     }
 
 
-def create_views(tables: Tables, as_of=None, assume_unique: bool = True) -> list[str]:
+def create_views(tables: Tables, as_of=None, assume_unique: bool = False) -> list[str]:
     """Create or replace the six temporary views and return their names."""
     views = kpi_views(tables, as_of, assume_unique)
     for name, df in views.items():

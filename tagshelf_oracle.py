@@ -185,6 +185,13 @@ t AS (
               WHEN 2 THEN k || 'd' WHEN 3 THEN 'free' ELSE k END AS text
   FROM e)"""
 
+# The bridge of the games that are left once those with a part of two brands are gone.
+WITHOUT_PARTS = """,
+removed AS (SELECT DISTINCT appid FROM gt0 JOIN tags0 USING (tag_id) WHERE tag_name IN ('Brand#11', 'Brand#21')),
+remaining AS (
+  SELECT gt0.* FROM gt0 JOIN games0 USING (appid)
+  WHERE NOT EXISTS (SELECT 1 FROM removed r WHERE r.appid = gt0.appid))"""
+
 SQL = {
     "playtime_by_tag_top30": on(READY, f"""
 SELECT tag_name, {GAMES_PER_GROUP}, {AVG_HRS}, {MEDIAN_HRS} {PLAYED_BY_TAG}
@@ -264,12 +271,13 @@ SELECT appid, name, price_usd, release_date_parsed, average_playtime_forever FRO
 SELECT appid, name FROM games1 WHERE appid NOT IN (SELECT appid FROM cand1)"""),
     "pruned_bridge": on(CLEANED + ",\n" + CAND1, """
 SELECT appid, tag_id, votes FROM gt0
-WHERE appid IN (SELECT appid FROM games1) AND appid NOT IN (SELECT appid FROM cand1)"""),
-    "pruned_tags": on(LOADED, """
-SELECT tag_id, tag_name FROM tags0 WHERE tag_id IN (SELECT tag_id FROM gt0 WHERE votes >= 150)"""),
-    "recounted_tags": on(LOADED, """
-SELECT t.tag_id, t.tag_name, (SELECT count(DISTINCT appid) FROM gt0 WHERE votes >= 150 AND gt0.tag_id = t.tag_id) AS game_count
-FROM tags0 t"""),
+WHERE EXISTS (SELECT 1 FROM games1 g WHERE g.appid = gt0.appid)
+  AND NOT EXISTS (SELECT 1 FROM cand1 c WHERE c.appid = gt0.appid)"""),
+    "pruned_tags": on(LOADED + WITHOUT_PARTS, """
+SELECT tag_id, tag_name FROM tags0 WHERE EXISTS (SELECT 1 FROM remaining r WHERE r.tag_id = tags0.tag_id)"""),
+    "recounted_tags": on(LOADED + WITHOUT_PARTS, """
+SELECT tag_id, tag_name, coalesce(n, 0) AS game_count
+FROM tags0 LEFT JOIN (SELECT tag_id, count(DISTINCT appid) AS n FROM remaining GROUP BY tag_id) USING (tag_id)"""),
     "ready_tags": on(READY, "SELECT tag_id, tag_name, game_count FROM tags2"),
     "pk_violations": """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY ALL

@@ -28,9 +28,9 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.catalogue_queries()))
 def test_no_python_and_no_cross_join(spark, name):
-    text = plan(entry.queries()[name](spark, SF_DIR))
+    text = plan(entry.catalogue_queries()[name](spark, SF_DIR))
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|PythonUDF|MapIn|FlatMapGroups|EvalPython", text)
 
 
