@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagshelf.llm.bpe import decode_ids, encode_text
+from tagshelf.llm.bpe import encode_documents
 from tagshelf.llm.fingerprints import fingerprint_edits
 from tagshelf.llm.jaccard_join import link_documents
 from tagshelf.llm.langid import identify
@@ -19,7 +19,7 @@ from tagshelf.llm.oracle import SQL
 from tagshelf.llm.packing import pack_documents
 from tagshelf.llm.pii import KINDS, find_pii
 from tagshelf.llm.quality import quality_rules
-from tagshelf.llm.rows import bound_batches, read
+from tagshelf.llm.rows import read
 from tagshelf.llm.warc import read_archives, write_archives
 from tagshelf.sources.shared import new_folder
 
@@ -30,13 +30,10 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bound_batches(spark)
-    encoded = read(spark, sf_dir, "documents").select("doc_id", encode_text(F.col("text"), WORD_BPE).alias("ids"))
-    decoded = encoded.select("doc_id", "ids", decode_ids(F.col("ids"), WORD_BPE).alias("text"))
-    return decoded.select(
+    return encode_documents(read(spark, sf_dir, "documents"), WORD_BPE).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -77,6 +77,12 @@ def test_encoding_as_columns(spark, documents, empty):
         assert ids == library.encode(text or "", add_special_tokens=False).ids
         assert back == library.decode(ids, skip_special_tokens=False)
     assert empty.select(bpe.encode_text(F.col("text"), WORD_BPE)).count() == 0
+    whole = rows(bpe.encode_documents(documents, WORD_BPE), "doc_id", "ids", "decoded")
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    wanted = [(i, *x) for i, t in rows(documents, "doc_id", "text") for x in [(library.encode(t or "", add_special_tokens=False).ids,)]]
+    assert sorted([(i, ids) for i, ids, _ in whole], key=key) == sorted(wanted, key=key)
+    assert all(back == library.decode(ids, skip_special_tokens=False) for _, ids, back in whole)
+    assert bpe.encode_documents(empty, WORD_BPE).count() == 0
 
 
 # --- Jaccard join ---------------------------------------------------------------------------------
