@@ -13,12 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagshelf import fixed_values as fv
 from tagshelf.functions import coerce, numeric, predicates
 from tagshelf.operators import audit, clean, kpi, quality, shaping
 from tagshelf.plans import pipeline
 from tagshelf.sources import star
 from tagshelf.sources.publish import load_tables, publish, write_layout
 from tagshelf.sources.shared import new_folder
+from tagshelf.sources.views import create_views, list_views
 from tagshelf.tables import Tables
 
 from tagshelf_oracle import SQL
@@ -94,6 +96,14 @@ def playtime_achievement_top30(t: Tables) -> DataFrame:
     return report.drop("median_playtime_hrs")
 
 
+def view_read_back(t: Tables) -> DataFrame:
+    """A KPI read from the view that was created for it."""
+    spark = t.games.sparkSession
+    create_views(t, as_of=AS_OF, assume_unique=True)
+    names = [r["viewName"] for r in list_views(spark, "v_kpi_review*").collect()]
+    return spark.table(names[0])
+
+
 def label_quality_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The review score measure on another pair of tables: labelled quality per document source."""
     documents = star.read(spark, sf_dir, "documents").select("doc_id", "source")
@@ -175,6 +185,17 @@ def layout_active_games(t: Tables) -> DataFrame:
     ).select("appid", "release_date_parsed", "price_usd")
 
 
+def non_game_guard(t: Tables) -> DataFrame:
+    """How many games a removal would take, and whether the default guard would stop it."""
+    counted = audit.non_game_count(_candidates(t)).toDF("n_candidates")
+    return counted.select("n_candidates", (F.col("n_candidates") > fv.MAX_NON_GAME_ROWS).alias("stopped"))
+
+
+def cleaned_tags(t: Tables) -> DataFrame:
+    """Tags with their number of games after cleaning without a removal of non-games."""
+    return pipeline.clean(t).tags.select("tag_id", "tag_name", "game_count")
+
+
 def non_game_review(t: Tables) -> DataFrame:
     review = audit.non_game_review(t.games, t.game_tags, t.tags, **RULES)
     return review.withColumn("genres_and_tags", F.array_join("genres_and_tags", "|"))
@@ -405,6 +426,7 @@ def catalogue_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "v_review_scores": on_ready(lambda t: kpi.review_scores_by_tag(t.games, t.game_tags, t.tags, **unique)),
         "v_playtime_by_tag_unchecked": on_ready(lambda t: kpi.playtime_by_tag(t.games, t.game_tags, t.tags)),
         "v_playtime_by_tag_bucketed": v_playtime_by_tag_bucketed,
+        "view_read_back": on_ready(view_read_back),
         "label_quality_by_source": label_quality_by_source,
         "audit_summary": on_loaded(lambda t: audit.audit_summary(t.games)),
         "audit_price_range": on_loaded(lambda t: audit.audit_price_range(t.games)),
@@ -417,6 +439,8 @@ def catalogue_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "zero_engagement_sample": on_loaded(lambda t: audit.zero_engagement_sample(t.games)),
         "non_game_candidates": on_loaded(_candidates),
         "non_game_count": on_loaded(lambda t: audit.non_game_count(_candidates(t))),
+        "non_game_guard": on_loaded(non_game_guard),
+        "cleaned_tags": on_loaded(cleaned_tags),
         "non_game_review": on_loaded(non_game_review),
         "null_prices": on_loaded(null_prices),
         "parse_dates": on_loaded(parse_dates),

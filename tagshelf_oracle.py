@@ -258,6 +258,11 @@ WHERE average_playtime_forever = 0 AND median_playtime_forever = 0 AND positive_
 ORDER BY appid LIMIT 20"""),
     "non_game_candidates": on(LOADED, _candidates("games0", "gt0")),
     "non_game_count": on(LOADED, f"SELECT count(*) AS non_game_rows_to_remove FROM ({_candidates('games0', 'gt0')})"),
+    "non_game_guard": on(LOADED, f"""
+SELECT count(*) AS n_candidates, count(*) > 1000 AS stopped FROM ({_candidates('games0', 'gt0')})"""),
+    "cleaned_tags": on(CLEANED, """
+SELECT tag_id, tag_name, count(DISTINCT appid) AS game_count FROM gt0 JOIN tags0 USING (tag_id)
+WHERE EXISTS (SELECT 1 FROM games1 g WHERE g.appid = gt0.appid) GROUP BY tag_id, tag_name"""),
     "non_game_review": on(LOADED + ",\n" + CAND0, """
 SELECT appid, name, genres_and_tags, tag_name AS non_game_tag, votes AS non_game_tag_votes
 FROM cand0 JOIN games0 USING (appid) JOIN gt0 USING (appid) JOIN tags0 USING (tag_id)
@@ -334,3 +339,4 @@ SELECT 'games' AS table_name, count(*) AS n_rows, CAST(sum(appid) AS BIGINT) AS
 UNION ALL SELECT 'tags', count(*), CAST(sum(tag_id) AS BIGINT) FROM tags2
 UNION ALL SELECT 'game_tags', count(*), CAST(sum(appid) AS BIGINT) FROM gt2"""),
 }
+SQL["view_read_back"] = SQL["v_review_scores"]
