@@ -280,7 +280,7 @@ def _links(entries: DataFrame, sets_of, rule: Rule) -> list[DataFrame]:
     groups = whole.unionByName(hubs).select("hub", zero.alias("a"), zero.alias("b"), "id").unionByName(
         _blocks(compared, sizes)
     )
-    trees = groups.join(sets.select("id", "tokens"), "id").groupBy("hub", "a", "b").applyInArrow(
+    trees = groups.join(sets.select("id", "tokens").hint("merge"), "id").groupBy("hub", "a", "b").applyInArrow(
         lambda group: _trees(group, rule), "hub bigint, id bigint"
     )
     return [compared.filter("linked").select("hub", "id"), write_step(trees.distinct(), "trees")]
@@ -317,11 +317,12 @@ def link_documents(
         "copies",
     )
     with_id = rows.filter("id IS NOT NULL")
-    nodes = with_id.join(copies, "id", "left_anti").select("id", "text")
+    # Copies and candidates are as many as the documents may be: never broadcast, at any size.
+    nodes = with_id.join(copies.hint("merge"), "id", "left_anti").select("id", "text")
     entries = nodes.mapInArrow(lambda b: _entries(b, rule), "key bigint, id bigint")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        wanted = with_id.join(write_step(ids, "candidates"), "id", "left_semi").select("id", "text")
+        wanted = with_id.join(write_step(ids, "candidates").hint("merge"), "id", "left_semi").select("id", "text")
         return write_step(wanted.mapInArrow(lambda b: _sets(b, words), "id bigint, n bigint, tokens array<bigint>"), "token-sets")
 
     found = _links(entries, sets_of, rule)
