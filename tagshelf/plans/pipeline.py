@@ -27,7 +27,7 @@ GAME_COLUMNS = [
 
 
 def load(
-    spark: SparkSession, path, layout: str = "object", absent_flag: bool = True, report: dict | None = None
+    spark: SparkSession, path, layout: str = "ndjson", absent_flag: bool = True, report: dict | None = None
 ) -> Tables:
     """Raw records to the three tables. Counts of what was dropped or softened go into `report`.
 
@@ -170,7 +170,7 @@ def refresh(
     spark: SparkSession,
     path,
     root: str,
-    layout: str = "object",
+    layout: str = "ndjson",
     remove: bool = True,
     max_rows: int | None = fv.MAX_NON_GAME_ROWS,
     buckets: int | None = None,

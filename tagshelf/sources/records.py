@@ -23,7 +23,7 @@ RECORD_SCHEMA = ", ".join(
 )
 
 
-def read_games(spark: SparkSession, path, layout: str = "object") -> DataFrame:
+def read_games(spark: SparkSession, path, layout: str = "ndjson") -> DataFrame:
     """Raw records as columns, plus `appid` as text and `record_ord`, the place of the record.
 
     `layout="object"` reads files that hold one JSON object keyed by appid. Such a file cannot be

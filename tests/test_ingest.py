@@ -32,7 +32,7 @@ def write_object(folder, records, name="games.json"):
 
 
 def load(spark, folder, records, **kw):
-    return pipeline.load(spark, write_object(folder, records), **kw)
+    return pipeline.load(spark, write_object(folder, records), "object", **kw)
 
 
 def by_appid(games):
@@ -197,7 +197,7 @@ def test_many_object_files(spark, tmp_path):
     folder.mkdir()
     write_object(folder, [("1", record())], "a.json")
     write_object(folder, [("2", record())], "b.json")
-    assert sorted(r.appid for r in pipeline.load(spark, str(folder)).games.collect()) == [1, 2]
+    assert sorted(r.appid for r in pipeline.load(spark, str(folder), "object").games.collect()) == [1, 2]
 
 
 @pytest.mark.parametrize("layout", ["object", "ndjson"])
@@ -222,3 +222,12 @@ def test_coercion_of_plain_text_columns(spark):
     ).collect()
     assert [tuple(r) for r in rows] == [(3, ["a"], {"k": "1"}), (0, [], {}), (0, [], {})]
     assert [r.n for r in coerce.coerce_key(df, "n").collect()] == [3]
+
+
+def test_lines_are_parsed_once(spark, tmp_path):
+    """Filters on the result are not pushed below the parsing projection, where they would parse again."""
+    lines = tmp_path / "lines.ndjson"
+    lines.write_text('{"appid": "1", "name": "a", "price": 1, "positive": 5, "tags": {"x": 1}}\n')
+    raw = read_games(spark, str(lines))
+    text = raw.filter("name IS NOT NULL AND appid <> ''")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("from_json") == 1

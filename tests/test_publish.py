@@ -77,10 +77,10 @@ def test_full_reload(spark, tmp_path):
     records.append(("100", record(name="Editor", tags={"Utilities": 7})))
     source, root = write_object(tmp_path, records), str(tmp_path / "out")
     report = {}
-    pipeline.refresh(spark, source, root, report=report)
+    pipeline.refresh(spark, source, root, "object", report=report)
     t = load_tables(spark, root)
     assert (report["records"], t.games.count(), t.game_tags.count()) == (41, 40, 80)
     assert rows(t.tags.select("tag_name", "game_count")) == [("Indie", 40), ("T0", 20), ("T1", 20)]
     assert kpi.review_scores_by_tag(t.games, t.game_tags, t.tags).count() == 3
-    pipeline.refresh(spark, source, root, remove=False)
+    pipeline.refresh(spark, source, root, "object", remove=False)
     assert load_tables(spark, root).games.count() == 41
