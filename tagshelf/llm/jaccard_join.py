@@ -6,7 +6,9 @@ hashed into an even number of segments, more than H. Two neighbouring segments a
 than H / 2 groups, two linked sets differ in at most one token in one of them, and so have one of its two
 segments in common. Each segment that has tokens is a signature. An empty segment would be one that countless
 sets share, so that it is not indexed; there the other segment of the group is, together with all its one-deletion
-neighbours: that is the cheaper allocation of the one difference that the group may have.
+neighbours: that is the cheaper allocation of the one difference that the group may have. There are some more groups
+than needed, and the smaller sets of a band need fewer: each set leaves out groups in which it has next to nothing,
+which cost the most, as far as two sets that both do so still have a group in common.
 
 Documents that share a signature are a bucket. A bucket is not expanded into pairs: its member with the most
 signatures in common with others is its hub, and a hub's members, over all its buckets, are a star. Two sets that
@@ -33,6 +35,7 @@ from tagshelf.llm.rows import field, pack, write_step
 # Odd multipliers, made from a rule: the odd numbers next to 2^64 times the fractions of multiples of the golden ratio.
 FACTORS = np.array([(i * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) | 1 for i in range(1, 9)], np.uint64)
 BAND_GROWTH = 1.4
+SPARE = 20  # for so many groups that a band needs it gets two more, of which each set may leave one out
 AT_ONCE = 200_000  # rows that a task hands over together
 MEMBERS, TOKENS = 1_000, 500_000  # of a star, or of one of the two blocks, that one task compares
 COLUMNS = 4_096
@@ -95,14 +98,20 @@ def signatures(tokens: np.ndarray, rule: Rule) -> np.ndarray:
         if bands[band] * rule.up > size * rule.down:
             break
         most = int(bands[band + 1]) - 1
-        segments = rule.differences(2 * most) + 1
-        segments += segments % 2 if segments > 1 else 0
+        groups = rule.differences(2 * most) // 2 + 1
+        groups += 2 * (groups // SPARE)
+        segments = 2 * groups if most > 1 and rule.differences(2 * most) else 1
+        # Two linked sets of these sizes differ in at most one token in all groups but so many. What is beyond the one
+        # group that is needed, each of the two may leave out half of.
+        apart = rule.differences(size + min(most, size * rule.down // rule.up)) // 2
         with np.errstate(over="ignore"):
-            keys.append(_band_keys(tokens, segments, band))
+            keys.append(_band_keys(tokens, segments, band, max(0, groups - apart - 1) // 2))
     return np.concatenate(keys)
 
 
-def _band_keys(tokens: np.ndarray, segments: int, band: int) -> np.ndarray:
+def _band_keys(tokens: np.ndarray, segments: int, band: int, spare: int) -> np.ndarray:
+    """Keys in one band; the groups with at most one token are the ones to leave out, up to `spare`: countless
+    sets have no token there, or one."""
     base = np.uint64(band + 1) * FACTORS[4]
     place = (tokens % np.uint64(segments)).astype(np.int64)
     order = np.argsort(place, kind="stable")
@@ -112,9 +121,16 @@ def _band_keys(tokens: np.ndarray, segments: int, band: int) -> np.ndarray:
     sums = np.add.reduceat(mixed, start)
     keys = [_mix(base + used.astype(np.uint64) * FACTORS[6] + sums * FACTORS[7])]
     if len(used) < segments and segments > 1:
+        in_group = np.bincount(place // 2, minlength=segments // 2)
+        poor = np.flatnonzero(in_group <= 1)
+        left_out = set(poor[np.argsort(in_group[poor], kind="stable")][:spare].tolist())
+        if left_out:
+            keys = [keys[0][~np.isin(used // 2, list(left_out))]]
         end = np.append(start[1:], len(mixed))
         by_segment = {int(s): i for i, s in enumerate(used)}
         for empty in np.setdiff1d(np.arange(segments), used):
+            if int(empty) // 2 in left_out:
+                continue
             i = by_segment.get(int(empty) ^ 1)
             whole = sums[i] if i is not None else np.uint64(0)
             less = whole - mixed[start[i] : end[i]] if i is not None else np.empty(0, np.uint64)
