@@ -24,7 +24,7 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# One-line grants, found where a line contains all their words, and their labels.
+# Short grants, found where a run of words contains all their words, and their labels.
 GRANTS = {
     "agpl-3.0": "licensed under the gnu affero general public license version 3",
     "apache-2.0": "licensed under the apache license version 2 0",
@@ -40,7 +40,7 @@ GRANTS = {
     "mpl-2.0": "subject to the terms of the mozilla public license v 2 0",
 }
 
-# Longer notices, found where a line contains most of their words, and their labels.
+# Longer notices, found where a run of words contains most of their words, and their labels.
 NOTICES = {
     "bsd": "redistribution and use in source and binary forms with or without modification are permitted provided"
     " that the following conditions are met",
@@ -53,26 +53,31 @@ NOTICES = {
 }
 
 
+# A run of words in which a template is looked for has at most so many times the template's words.
+SPREAD = 2
+
+
 class Template(NamedTuple):
     label: str
     tokens: tuple[str, ...]
     needed: int  # tokens a block has to share
-    whole: bool  # the block is the whole text, not a line
+    words: tuple[str, ...] = ()  # in their order; none where the block is the whole text and no run of it
     wider: tuple[tuple[str, ...], ...] = ()  # tokens of the grants that say more than this one
+    grant: bool = False
 
 
 def templates(
     phrases: dict[str, str], grants: dict[str, str], notices: dict[str, str], threshold: Fraction
 ) -> list[Template]:
-    """Phrases are contained in full by a text, grants in full by a line, notices to `threshold` by a line."""
+    """Phrases are contained in full by a text, grants in full by a run of words, notices to `threshold` by one."""
     words = lambda text: tuple(sorted(set(text.split())))
-    made = [Template(p, words(p), len(words(p)), True) for p in phrases]
+    made = [Template(p, words(p), len(words(p))) for p in phrases]
     for label, grant in grants.items():
         own = words(grant)
         wider = tuple(words(g) for g in grants.values() if set(own) < set(words(g)))
-        made.append(Template(label, own, len(own), False, wider))
+        made.append(Template(label, own, len(own), tuple(grant.split()), wider, True))
     for label, notice in notices.items():
-        made.append(Template(label, words(notice), math.ceil(threshold * len(words(notice))), False))
+        made.append(Template(label, words(notice), math.ceil(threshold * len(words(notice))), tuple(notice.split())))
     return made
 
 
@@ -87,30 +92,33 @@ def token_order(texts: DataFrame, universe: list[str]) -> list[str]:
     return sorted(universe, key=lambda t: (counts.get(t, 0), t))
 
 
-def _matches(blocks: DataFrame, chosen: list[Template], order: list[str]) -> DataFrame:
-    """Template and containment for each block, a row with the array `own` of its distinct template tokens.
+def _candidates(blocks: DataFrame, chosen: list[Template], order: list[str]) -> DataFrame:
+    """Blocks, rows with the array `own` of their distinct template tokens, with each template they share enough with.
 
     A template that shares `needed` tokens with a block shares one of its first size - needed + 1 in the
     global order (prefix filter). The block needs as many template tokens at all (length filter), and from
-    the first shared token on, both must have enough left (positional filter). What passes is verified. Where a
-    block contains a grant that says more, the one that says less does not count.
+    the first shared token on, both must have enough left (positional filter). What passes is verified.
     """
     rank = {t: i for i, t in enumerate(order)}
     prefixes = []
     for t in chosen:
         ranked = sorted(t.tokens, key=rank.__getitem__)
-        prefixes += [(token, place, t) for place, token in enumerate(ranked[: len(ranked) - t.needed + 1])]
+        first = ranked[: len(ranked) - t.needed + 1]
+        prefixes += [(token, place, first, t) for place, token in enumerate(first)]
     # The list of templates is small whatever the corpus is, so its index may go to every task.
     index = F.array(*[
         F.struct(
             F.lit(token).alias("token"), F.lit(place).alias("place"), F.lit(t.label).alias("label"),
             _strings(t.tokens).alias("tokens"), F.lit(len(t.tokens)).alias("size"), F.lit(t.needed).alias("needed"),
+            _strings(first).alias("first"), _strings(t.words).alias("sequence"),
+            F.lit(SPREAD * len(t.words)).alias("span"), F.lit(t.grant).alias("grant"),
+            F.lit(max([len(w) - len(t.tokens) for w in t.wider], default=0)).alias("pad"),
             F.array(*[_strings(w) for w in t.wider]).cast("array<array<string>>").alias("wider"),
         )
-        for token, place, t in prefixes
+        for token, place, first, t in prefixes
     ])
     listed = blocks.sparkSession.range(1).select(F.inline(index))
-    first = sorted({token for token, _, _ in prefixes})
+    first = sorted({token for token, *_ in prefixes})
     ordered = blocks.filter(F.arrays_overlap("own", _strings(first))).withColumn(
         "own", F.array_intersect(_strings(order), "own")
     )
@@ -118,11 +126,70 @@ def _matches(blocks: DataFrame, chosen: list[Template], order: list[str]) -> Dat
     before = F.least("place", "at")
     after = F.least(F.col("size") - F.col("place"), F.size("own") - F.col("at"))
     able = hits.filter((F.size("own") >= F.col("needed")) & (before + after >= F.col("needed")))
+    # Of the prefix tokens that a block and a template share, the first one stands for the pair.
+    leader = F.get(F.array_intersect("own", "first"), F.lit(0)) == F.col("token")
     shared = F.size(F.array_intersect("own", "tokens"))
-    beaten = F.exists("wider", lambda w: F.size(F.array_intersect(F.col("own"), w)) == F.size(w))
-    return able.filter((shared >= F.col("needed")) & ~beaten).select(
-        *blocks.columns, "label", (shared / F.col("size")).alias("containment")
-    ).distinct()
+    return able.filter(leader & (shared >= F.col("needed")))
+
+
+def _run_length(words: Column, start: Column, in_order: bool) -> Column:
+    """Words of the shortest run from place `start` (from 1) that holds all words of a grant; 0 if none is short enough.
+
+    In order, the grant's words follow each other, with others between them, and its first word is not repeated.
+    """
+    run = F.slice(words, start, F.col("span"))
+    if not in_order:
+        places = F.transform("tokens", lambda t: F.array_position(run, t))
+        return F.when(F.array_min(places) > 0, F.array_max(places)).otherwise(F.lit(0)).cast("int")
+
+    def step(done, token):
+        found = F.array_position(F.slice(run, done + 1, F.col("span")), token).cast("int")
+        return F.when((done < 0) | (found == 0), F.lit(-1)).otherwise(done + found)
+
+    first = F.get("sequence", F.lit(0))
+    end = F.aggregate("sequence", F.lit(0), step)
+    once = F.array_position(F.slice(run, F.lit(2), F.greatest(end - 1, F.lit(0))), first) == 0
+    return F.when((F.element_at(words, start) == first) & (end > 0) & once, end).otherwise(F.lit(0))
+
+
+def _in_runs(blocks: DataFrame, chosen: list[Template], order: list[str], in_order: bool) -> DataFrame:
+    """Template and largest containment for each block, a row with its `words` and `own`, over its runs of words.
+
+    A run has up to `SPREAD` times the template's words, and every place of the block starts one; those that can
+    match hold a prefix token, so only the surroundings of these are gone through. Where a run, with as many
+    words more on both sides as a grant that says more has, contains that grant, the one that says less
+    does not count.
+    """
+    pairs = _candidates(blocks, chosen, order)
+    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.array_contains("first", F.get("words", i)))
+    reach = F.col("span") - 1 + F.col("pad")
+    near = pairs.withColumn("place", F.explode(places)).withColumn("from", F.greatest(F.col("place") - reach, F.lit(0)))
+    near = near.withColumn("near", F.slice("words", F.col("from") + 1, F.col("place") + reach - F.col("from") + 1))
+    near = near.withColumn("anchor", F.col("place") - F.col("from") + 1).drop("words", "own")
+    near = near.select(*KEY, "label", "tokens", "size", "needed", "sequence", "span", "grant", "wider", "near", "anchor")
+    near = near.filter(F.size(F.array_intersect("near", "tokens")) >= F.col("needed"))
+    words = F.col("near")
+
+    def granted(start):
+        length = _run_length(words, start, in_order)
+
+        def says_more(w):
+            more = F.size(w) - F.col("size")
+            left = F.greatest(start - more, F.lit(1))
+            wide = F.slice(words, left, start + length + more - left)
+            return F.size(F.array_intersect(wide, w)) == F.size(w)
+
+        return (length > 0) & (start + length > F.col("anchor")) & ~F.exists("wider", says_more)
+
+    starts = F.sequence(F.greatest(F.col("anchor") - F.col("span") + 1, F.lit(1)), F.col("anchor"))
+    shared = F.array_max(
+        F.transform(starts, lambda s: F.size(F.array_intersect(F.slice(words, s, F.col("span")), F.col("tokens"))))
+    )
+    best = F.when(~F.col("grant"), shared).when(F.exists(starts, granted), F.col("size")).otherwise(F.lit(0))
+    return (
+        near.withColumn("shared", best).filter(F.col("shared") >= F.col("needed"))
+        .groupBy(*KEY, "label").agg(F.max(F.col("shared") / F.col("size")).alias("containment"))
+    )
 
 
 def scan_licenses(
@@ -136,18 +203,20 @@ def scan_licenses(
 ) -> DataFrame:
     """The columns of `docs` with n_words, n_base, first_word, last_word, base_labels, labels and score.
 
-    The join finds every text that contains all words of a phrase, every line that contains all words of a
-    grant, and every line that contains at least `threshold` of the distinct words of a notice. In the texts found for a phrase, the places where its words
+    The join finds every text that contains all words of a phrase, every run of words that contains all words of
+    a grant, and every run that contains at least `threshold` of the distinct words of a notice. Runs are of up to
+    twice the template's words, start at every word and go on over the ends of lines; beyond the end of a line
+    a grant's words count in their order only, so that pieces of two grants do not make a third. In the texts found for a phrase, the places where its words
     stand one after the other are counted: n_base over all phrases, first_word and last_word the smallest and
     largest start, counting words from 0 (null without any). base_labels are the labels of phrases with a
     place, labels also those of the grants and notices found; both distinct, sorted, joined by commas, empty without any.
     score is 1 with a place, else the largest containment, else 0.
 
     A null text counts as empty. Rows that repeat get the same result, an empty table an empty one. Nothing
-    is cut from long texts; only texts and lines with a rare enough template word are taken further.
+    is cut from long texts; only texts and runs with a rare enough template word are taken further.
     """
     listed = templates(phrases, grants, notices, threshold)
-    whole, by_line = [t for t in listed if t.whole], [t for t in listed if not t.whole]
+    whole, by_run = [t for t in listed if not t.words], [t for t in listed if t.words]
     universe = sorted({token for t in listed for token in t.tokens})
     rows = with_key(pack(docs), doc_id, text)
     content = F.coalesce(field(text), F.lit(""))
@@ -166,7 +235,7 @@ def scan_licenses(
     order = token_order(relevant, universe)
     able = relevant.filter(F.col("content").isNotNull())
 
-    texts = _matches(able, whole, order)
+    texts = _candidates(able, whole, order)
     label_of = F.create_map(*[F.lit(x) for pair in phrases.items() for x in pair])
     # Each word between spaces of its own, so that a phrase is found as whole words.
     spaced = F.array_join(F.transform(words_of(F.col("content")), lambda w: F.concat(F.lit(" "), w, F.lit(" "))), "")
@@ -180,9 +249,13 @@ def scan_licenses(
          - count(F.col("phrase"))).alias("last_word"),
     ).filter(F.col("n_base") > 0)
 
+    blocks = lambda table, value: table.select(*KEY, words_of(F.col(value)).alias("words")).select(
+        *KEY, "words", F.array_intersect("words", _strings(universe)).alias("own")
+    )
     lines = able.select(*KEY, F.explode(F.split("content", "\n")).alias("line"))
-    blocks = lines.select(*KEY, F.array_intersect(words_of(F.col("line")), _strings(universe)).alias("own"))
-    noticed = _matches(blocks, by_line, order)
+    noticed = _in_runs(blocks(able, "content"), by_run, order, True).unionByName(
+        _in_runs(blocks(lines, "line"), [t for t in by_run if t.grant], order, False)
+    )
 
     found = placed.select(
         *KEY, "by", F.lit(True).alias("is_base"), "label", "n_base", "first_word", "last_word",

@@ -351,6 +351,32 @@ def test_longer_notices_need_most_of_their_words(spark):
     assert dict(rows(out, "doc_id", "labels")) == {1: "bsd", 2: "bsd", 3: "", 4: "cc-by,cc-by-nc-4.0"}
 
 
+def test_notices_and_grants_do_not_depend_on_line_breaks(spark):
+    random.seed(4)
+    wrap = lambda text, n=6: "\n * ".join(" ".join(text.split()[i : i + n]) for i in range(0, len(text.split()), n))
+    texts, wanted = [], {}
+    for label, template in [*licenses.NOTICES.items(), *licenses.GRANTS.items()]:
+        for before in (0, 7, 50):
+            for text in (wrap(template, 4), template):
+                fill = " ".join(random.choices(["alpha", "beta", "gamma"], k=before))
+                texts.append((len(texts), f"{fill} {text} {fill}"))
+                wanted[len(wanted)] = label
+    # The words of all templates, far from each other on one line, are no licence.
+    scattered = [w for t in [*licenses.NOTICES.values(), *licenses.GRANTS.values()] for w in t.split()]
+    texts.append((len(texts), " ".join(f"{w} " + "alpha " * 60 for w in scattered)))
+    wanted[len(wanted)] = ""
+    for lines, labels in [
+        (["agpl-3.0", "agpl-3.0"], "agpl-3.0"), (["cc-by-nc-4.0"] * 2, "cc-by-nc-4.0"),
+        (["cc-by-4.0", "cc-by-sa-4.0"], "cc-by-4.0,cc-by-sa-4.0"), (["apache-2.0", "gpl-3.0"], "apache-2.0,gpl-3.0"),
+        (["gpl-3.0", "apache-2.0"], "apache-2.0,gpl-3.0"), (["lgpl-2.1", "lgpl-2.1"], "lgpl-2.1"),
+    ]:
+        texts.append((len(texts), "\n".join(licenses.GRANTS[x] for x in lines)))
+        wanted[len(wanted)] = labels
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = dict(rows(licenses.scan_licenses(df, phrases={"none such": "x"}), "doc_id", "labels"))
+    assert got == wanted
+
+
 # --- language -------------------------------------------------------------------------------------
 
 
