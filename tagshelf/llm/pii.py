@@ -133,13 +133,20 @@ DIGIT_ONE = re.compile(rf"\b{DIGIT_WORD}\b", re.IGNORECASE)
 PLUS_WORD = re.compile(r"\bplus\s+(?=[0-9])", re.IGNORECASE)
 WRAPPED = re.compile(r"(?<![ \t])[ \t]*+[\[({<][ \t]*+(at|@|dot|\.)[ \t]*+[\])}>][ \t]*+", re.IGNORECASE)
 SIGNS = {"at": "@", "@": "@", "dot": ".", ".": "."}
-# Bare words count only as a whole address: someone at somewhere dot something. Up to five parts stand before
-# the at, so that no run of parts is gone through again and again.
+# Bare words count only as a whole address: someone at somewhere dot something. The part behind a run of parts is
+# optional, so that a run without it is passed over as a whole and not gone through again from each of its parts.
 ADDRESS = re.compile(
-    r"(?<![A-Za-z0-9_%+.-])[A-Za-z0-9_%+-]++(?:(?: +dot +|\.)[A-Za-z0-9_%+-]++){0,4}+(?: ++at +|@)"
-    r"[A-Za-z0-9-]++(?:(?: +dot +|\.)[A-Za-z0-9-]++)++",
+    r"(?<![A-Za-z0-9_%+.-])[A-Za-z0-9_%+-]++(?:(?: +dot +|\.)[A-Za-z0-9_%+-]++)*+(?:(?: ++at +|@)"
+    r"(?P<domain>[A-Za-z0-9-]++(?:(?: +dot +|\.)[A-Za-z0-9-]++)++))?",
     re.IGNORECASE,
 )
+# What a text has at least where the rewrites change something in it: bare words of an address, and a spelled
+# digit beside a figure, a plus or another one.
+BARE = re.compile(r" at +[A-Za-z0-9-]++(?: +dot +|\.)[A-Za-z0-9-]| dot +[A-Za-z0-9_%+-]", re.IGNORECASE)
+DIGIT_NEAR = re.compile(
+    rf"[0-9+][ ().-]*+{DIGIT_WORD}\b|\b{DIGIT_WORD}[ ().-]++(?:[0-9]|{DIGIT_WORD}\b)", re.IGNORECASE
+)
+SOME_DIGITS = re.compile(rf"\b{DIGIT_WORD}(?:[ -]+{DIGIT_WORD})*\b", re.IGNORECASE)
 
 
 def _plain_letter(m: re.Match) -> str:
@@ -151,42 +158,68 @@ def _digits(m: re.Match) -> str:
     return "".join(SPELLED[w.lower()] for w in DIGIT_ONE.findall(m.group()))
 
 
-def normalise(text: str) -> Mapped | None:
-    """The rewritten text with its map; None if nothing in it looks disguised."""
-    lower = text.lower()
-    odd = not text.isascii() and ODD_LETTERS.search(text)
-    wrapped = WRAPPED.search(text) if any(x in text for x in "[({<") and any(x in lower for x in ("at", "@", "dot", ".")) else None
-    bare = " dot " in lower
-    spelled = sum(map(lower.count, SPELLED)) >= 4 and DIGIT_RUN.search(text)
-    if not (odd or wrapped or bare or spelled):
-        return None
-    mapped = Mapped.of(text).rewrite(ODD_LETTERS, _plain_letter)
-    mapped = mapped.rewrite(DIGIT_RUN, _digits).rewrite(PLUS_WORD, lambda m: "+")
-    mapped = mapped.rewrite(WRAPPED, lambda m: SIGNS[m.group(1).lower()])
-    return mapped.rewrite(ADDRESS, lambda m: _address(m.group()))
+def rewrites(text: str) -> list[Mapped]:
+    """The rewritten texts with their maps; none where no rewrite changes anything.
+
+    Where digits are spelled, all of them count at first, then those that stand together, then none: a word like
+    "one" behind a number may or may not belong to it.
+    """
+    plain = Mapped.of(text) if not text.isascii() and ODD_LETTERS.search(text) else None
+    if plain:
+        plain = plain.rewrite(ODD_LETTERS, _plain_letter)
+    now = plain.text if plain else text
+    lower = now.lower()
+    spelled = any(w in lower for w in SPELLED) and DIGIT_NEAR.search(now)
+    plus = "plus" in lower and (spelled or PLUS_WORD.search(now))
+    wrapped = any(x in now for x in "[({<") and WRAPPED.search(now)
+    bare = BARE.search(now)
+    if not (plain or spelled or plus or wrapped or bare):
+        return []
+    plain = plain or Mapped.of(text)
+    found: list[Mapped] = []
+    for digits in (SOME_DIGITS, DIGIT_RUN, None) if spelled else (None,):
+        mapped = plain.rewrite(digits, _digits) if digits else plain
+        if plus:
+            mapped = mapped.rewrite(PLUS_WORD, lambda m: "+")
+        if wrapped:
+            mapped = mapped.rewrite(WRAPPED, lambda m: SIGNS[m.group(1).lower()])
+        if BARE.search(mapped.text):
+            mapped = mapped.rewrite(ADDRESS, _address)
+        if all(mapped.text != other.text for other in found):
+            found.append(mapped)
+    return found
 
 
-def _address(address: str) -> str:
-    return re.sub(" +at +", "@", re.sub(" +dot +", ".", address, flags=re.IGNORECASE), flags=re.IGNORECASE)
+def _address(m: re.Match) -> str:
+    """The signs for the words, if there is a domain: its last part starts with a letter, unlike that of a time of
+    day or an amount, or it is four numbers."""
+    if not m["domain"]:
+        return m.group()
+    domain = re.sub(" +dot +", ".", m["domain"], flags=re.IGNORECASE)
+    if not (domain.rsplit(".", 1)[1][0].isalpha() or IP.fullmatch(domain)):
+        return m.group()
+    local = m.group()[: m.start("domain") - m.start()]
+    return re.sub(" +at +$", "@", re.sub(" +dot +", ".", local, flags=re.IGNORECASE), flags=re.IGNORECASE) + domain
 
 
 def find(text: str) -> list[tuple[int, int, int, bool]]:
     """(place of the kind, start, end, whether it stands there undisguised), by kind and start.
 
-    What the undisguised text has stays; the rewritten text adds what overlaps none of it of the same kind.
+    What the undisguised text has stays; each rewritten text adds what overlaps none of the same kind so far.
     """
     base = detect(text)
-    mapped = normalise(text)
-    if mapped is None:
-        return [(*s, True) for s in base]
-    added = []
-    for kind, a, b in detect(mapped.text):
-        start, end = mapped.start[a], mapped.end[b - 1]
-        after = bisect.bisect_left(base, (kind, start, end))
-        near = [(x, y) for k, x, y in base[max(after - 1, 0) : after + 1] if k == kind]
-        if all(end <= x or y <= start for x, y in near):
-            added.append((kind, start, end))
-    return sorted([(*s, True) for s in base] + [(*s, False) for s in dict.fromkeys(added)])
+    taken = list(base)
+    for mapped in rewrites(text):
+        added = []
+        for kind, a, b in detect(mapped.text):
+            start, end = mapped.start[a], mapped.end[b - 1]
+            after = bisect.bisect_left(taken, (kind, start, end))
+            near = [(x, y) for k, x, y in taken[max(after - 1, 0) : after + 1] if k == kind]
+            if all(end <= x or y <= start for x, y in near):
+                added.append((kind, start, end))
+        taken = sorted([*taken, *dict.fromkeys(added)])
+    there = set(base)
+    return sorted((*s, s in there) for s in taken)
 
 
 # --- columns --------------------------------------------------------------------------------------

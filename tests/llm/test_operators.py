@@ -270,6 +270,38 @@ def test_disguised_personal_data_at_its_place(text, kind, part):
     assert pii.redacted(text) == text.replace(part, f"[{kind.upper()}]")
 
 
+@pytest.mark.parametrize(("text", "kind", "part"), [
+    ("write to john at example.com now", "email", "john at example.com"),
+    ("write to john@example dot com now", "email", "john@example dot com"),
+    ("a dot b dot c dot d dot e dot f dot g at example dot com", "email", "a dot b dot c dot d dot e dot f dot g at example dot com"),
+    ("call +49 170 one two three 4567!", "phone", "+49 170 one two three 4567"),
+    ("call +49 170 one two!", None, ""),
+    ("call +49 170 12 three 4567!", "phone", "+49 170 12 three 4567"),
+    ("call +49 170 one234567!", None, ""),
+    ("call plus 49 170 1234567!", "phone", "plus 49 170 1234567"),
+    ("card 4111 1111 1111 111 one", "card", "4111 1111 1111 111 one"),
+    ("card 4\u200b111 1111 1111 1111 one two", "card", "4\u200b111 1111 1111 1111"),
+    ("host 192.168.one.1", "ip", "192.168.one.1"),
+    ("john(at)example.com", "email", "john(at)example.com"),
+    ("we met at 10.30 and left at 5.45pm", None, ""),
+    ("one plus one, oh well", None, ""),
+])
+def test_each_disguise_alone(text, kind, part):
+    wanted = [(kind, part, False)] if kind else []
+    assert [(pii.KINDS[k], text[a:b], base) for k, a, b, base in pii.find(text)] == wanted
+    # What stands elsewhere in the text makes no difference.
+    for other in ("he said hello, dot net too. ", "\u0430 ", "[at] "):
+        found = [(pii.KINDS[k], (other + text)[a:b], base) for k, a, b, base in pii.find(other + text)]
+        assert found == wanted
+
+
+def test_long_disguised_texts_take_linear_time():
+    for text in ("a dot " * 50_000 + "at", "a at b " * 50_000 + " dot c", "one." * 50_000, "plus " * 50_000 + "1", " at " * 50_000 + "a.b", "x at y.z " * 30_000, "+" * 100_000 + "one"):
+        began = time.time()
+        pii.find(text)
+        assert time.time() - began < 20
+
+
 def test_long_texts_take_linear_time():
     for text in ("a" * 300_000, "1" * 300_000, "1 " * 150_000, "a@" * 150_000, "a dot " * 50_000, "1." * 150_000, " " * 300_000 + "(", "one " * 50_000):
         began = time.time()
