@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagshelf.llm.bpe import in_portions, text_bytes
-from tagshelf.llm.rows import field, pack, unpack, write_step
+from tagshelf.llm.rows import field, hashes, pack, unpack, write_step
 
 UNKNOWN = "und"
 LONGEST = 8  # code points of a piece
@@ -175,18 +175,23 @@ def fit(
 ) -> Model:
     """Piece probabilities of each language in `lang`, from rows whose `text` and `lang` are not null.
 
-    Of a language with more than `max_documents` rows, a share is used that leaves about so many, drawn by the
-    hash of the text: the bound of the sample that the classifier is fitted on. The counts of its words stay
-    distributed; the driver sees a figure for each piece and language. Without rows there is no language.
+    Copies of a text teach as one. Of a language with more than `max_documents` distinct texts, a share is used
+    that leaves about so many, drawn by the hash of the text: the bound of the sample that the classifier is
+    fitted on. The counts of its words stay distributed; the driver sees a figure for each piece and language.
+    Without rows there is no language.
     """
     rows = pack(labelled).select(field(lang).alias("language"), field(text).alias("text")).dropna()
-    counts = {r["language"]: r["n"] for r in rows.groupBy("language").agg(F.count("*").alias("n")).collect()}
+    h1, h2 = hashes(F.col("text"))
+    # Only hashes are shuffled to count the distinct texts, with equal ones combined before.
+    distinct = rows.select("language", h1.alias("h1"), h2.alias("h2")).distinct()
+    counts = {r["language"]: r["n"] for r in distinct.groupBy("language").agg(F.count("*").alias("n")).collect()}
     languages = sorted(counts)
     size = vocabulary(path).size + 2
     if not languages:
         return Model([], np.zeros((size, 0)))
     share = F.create_map(*[x for n in languages for x in (F.lit(n), F.lit(min(1.0, max_documents / counts[n])))])
     drawn = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.element_at(share, F.col("language")) * (1 << 20))
+    drawn = drawn.groupBy("language", h1.alias("h1"), h2.alias("h2")).agg(F.first("text").alias("text"))
     words = write_step(
         drawn.select("language", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
         .groupBy("word", "language").agg(F.count("*").alias("n")),

@@ -466,6 +466,22 @@ def test_labels_of_held_out_documents_teach_nothing(spark):
     assert sorted(a) == sorted(b)
 
 
+def test_copies_teach_as_one_text(spark):
+    random.seed(6)
+    word = lambda letters: "".join(random.choices(letters, k=random.randint(3, 7)))
+    few = [" ".join(word("aeiouklm") for _ in range(40)) for _ in range(5)]
+    many = [" ".join(word("xyzwvqrt") for _ in range(40)) for _ in range(300)]
+    texts = [(t, "few") for t in few] + [(t, "many") for t in many]
+    copied = [(t, "few") for t in few * 200] + [(t, "many") for t in many] + [(many[0], "many")] * 200
+    models = [langid.fit(spark.createDataFrame(x, "text string, lang string"), PIECES, max_documents=50) for x in (texts, copied)]
+    # The same sample is drawn from the rows with and without copies, and it has all of the five texts.
+    assert models[0].languages == models[1].languages == ["few", "many"]
+    assert np.allclose(models[0].probability, models[1].probability)
+    counted = [langid.fit(spark.createDataFrame(x, "text string, lang string"), PIECES, max_documents=10_000) for x in (texts[:5], copied[:1000])]
+    assert np.allclose(counted[0].probability, counted[1].probability)
+    assert np.allclose(counted[0].probability[:, 0], models[1].probability[:, 0])
+
+
 # --- packing --------------------------------------------------------------------------------------
 
 
