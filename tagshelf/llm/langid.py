@@ -26,6 +26,7 @@ UNKNOWN = "und"
 LONGEST = 8  # code points of a piece
 CHUNK = 48  # code points of a word that are scored together; a longer word is scored in parts
 REMEMBERED = 400_000  # words
+DOUBT = 5  # standard deviations that a text's words may be less probable together before it counts as strange
 START = "▁"  # what the vocabulary marks a word's start with
 WORD = re.compile(r"[^\W\d_]+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -100,6 +101,7 @@ def vocabulary(path: str) -> Vocabulary:
 class Model(NamedTuple):
     languages: list[str]
     probability: np.ndarray  # piece, unknown character, no piece (0) by language
+    reached: np.ndarray | None = None  # by language, of its training words: log probability a character, spread of a word's about it
 
 
 def _forward(lattice: list[np.ndarray], probability: np.ndarray) -> list[np.ndarray]:
@@ -128,6 +130,11 @@ def _expected(lattice: list[np.ndarray], probability: np.ndarray, weight: np.nda
     return out
 
 
+def _chars(words: list[str]) -> np.ndarray:
+    """Characters that are scored: those of a word and its mark."""
+    return np.fromiter(map(len, words), float, len(words)) + 1
+
+
 def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Parts of words of one length as code points, and the place of each part's word; a word starts with a mark."""
     parts = [(i, w[a : a + CHUNK]) for i, w in enumerate(words) for w in [START + w] for a in range(0, len(w), CHUNK)]
@@ -169,6 +176,37 @@ def _probabilities(counts: np.ndarray, smoothing: float) -> np.ndarray:
     return out / out.sum(0)
 
 
+def _sums(batches: Iterator[pa.RecordBatch], path: str, model: Model) -> Iterator[pa.RecordBatch]:
+    """Sums over a partition's words, by language, of what `_reached` needs."""
+    scorer = Scorer(path, model)
+    place = {name: j for j, name in enumerate(model.languages)}
+    total = np.zeros((len(model.languages), 6))
+    for batch in batches:
+        words = batch.column(0).to_pylist()
+        of = np.array([place[x] for x in batch.column(1).to_pylist()], np.int64)
+        logs, chars, n = scorer._score(words)[np.arange(len(words)), of], _chars(words), batch.column(2).to_numpy()
+        for j, x in enumerate((np.ones(len(words)), chars, logs, logs * logs, logs * chars, chars * chars)):
+            total[:, j] += np.bincount(of, x * n, len(total))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(range(len(total))), *[pa.array(total[:, j]) for j in range(6)]], ["language", *"abcdef"]
+    )
+
+
+def _reached(words: DataFrame, path: str, model: Model) -> np.ndarray:
+    """For each language the mean log probability of a character of its training words, and the standard deviation
+    of a word's log probability from what this gives for its length."""
+    summed = words.mapInArrow(
+        functools.partial(_sums, path=path, model=model), "language bigint, " + ", ".join(f"{x} double" for x in "abcdef")
+    ).groupBy("language").agg(*[F.sum(x).alias(x) for x in "abcdef"])
+    out = np.zeros((len(model.languages), 2))
+    for r in summed.collect():
+        n, chars, logs, logs2, both, chars2 = [r[x] for x in "abcdef"]
+        if n:
+            mean = logs / chars
+            out[r["language"]] = mean, np.sqrt(max((logs2 - 2 * mean * both + mean * mean * chars2) / n, 0.0))
+    return out
+
+
 def fit(
     labelled: DataFrame, path: str, text: str = "text", lang: str = "lang", max_documents: int = 2_000, rounds: int = 2,
     smoothing: float = 0.01,
@@ -207,7 +245,7 @@ def fit(
         for r in summed.collect():
             expected[r["piece"], r["language"]] = r["n"]
         model = Model(languages, _probabilities(expected, smoothing))
-    return model
+    return model._replace(reached=_reached(words, path, model))
 
 
 # --- scoring --------------------------------------------------------------------------------------
@@ -233,8 +271,8 @@ class Scorer:
                 np.add.at(out, at[cut], np.log(np.maximum(last, 1e-300)))
         return out
 
-    def score(self, texts: list[str]) -> np.ndarray:
-        """Log probability of each text by language; NaN for a text without a letter."""
+    def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log probability of each text by language, NaN for a text without a letter; its words and their characters."""
         listed = [WORD.findall(t.lower()) for t in texts]
         new = set().union(*listed)
         new.difference_update(self.slots.keys() & new)
@@ -251,31 +289,38 @@ class Scorer:
         if len(full):
             starts = np.append(0, np.cumsum(counts))[full]
             out[full] = np.add.reduceat(self.known[slots], starts, axis=0)
-        return out
+        return out, counts, np.array([sum(map(len, x)) for x in listed], float) + counts
 
 
 def predict(text: Column, path: str, model: Model) -> Column:
     """struct<lang_pred, score>: the language under which a whole text is most probable, and its share of the
     probability over all languages. `und` and 0 for a null text, one without a letter, or a model of no language.
-    Of equally probable languages the first by name."""
-    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
+    Of equally probable languages the first by name. The struct also has `strangeness`: the negative log probability a
+    character under that language, by what its training words have; of short texts less, by `DOUBT` standard
+    deviations of so many words. Null where there is no language."""
+    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("strangeness", pa.float64())])
 
-    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    @F.arrow_udf("struct<lang_pred: string, score: double, strangeness: double>")
     def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(path, model)
         for texts in batches:
             out = []
             for portion in in_portions(text_bytes(texts)):
                 if not model.languages:
-                    out += [{"lang_pred": UNKNOWN, "score": 0.0}] * len(portion)
+                    out += [{"lang_pred": UNKNOWN, "score": 0.0, "strangeness": None}] * len(portion)
                     continue
-                for logs in scorer.score([t.decode() for t in portion]):
+                for logs, n, chars in zip(*scorer.score([t.decode() for t in portion]), strict=True):
                     if np.isnan(logs[0]):
-                        out.append({"lang_pred": UNKNOWN, "score": 0.0})
+                        out.append({"lang_pred": UNKNOWN, "score": 0.0, "strangeness": None})
                     else:
                         share = np.exp(logs - logs.max())
                         best = int(logs.argmax())
-                        out.append({"lang_pred": model.languages[best], "score": float(share[best] / share.sum())})
+                        mean, spread = model.reached[best]
+                        strange = (-logs[best] - DOUBT * spread * np.sqrt(n)) / (chars * -mean) if mean < 0 else None
+                        out.append({
+                            "lang_pred": model.languages[best], "score": float(share[best] / share.sum()),
+                            "strangeness": strange if strange is None else float(strange),
+                        })
             yield pa.array(out, kind)
 
     return predicted(text)
@@ -290,7 +335,7 @@ def held_out(doc_id: Column) -> Column:
 def identify(
     docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", max_documents: int = 2_000
 ) -> DataFrame:
-    """The columns of `docs` with held_out, lang_pred and score; fitted on the rows that are not held out.
+    """The columns of `docs` with held_out, lang_pred, score and strangeness; fitted on the rows that are not held out.
 
     Null texts are `und`, null languages teach nothing, rows that repeat get equal results, an empty table
     gives an empty one. Texts are scored whole, one portion of a batch at a time.
@@ -299,5 +344,6 @@ def identify(
     model = fit(learn, path, max_documents=max_documents)
     rows = pack(docs).withColumn("_found", predict(field(text), path, model))
     return unpack(
-        rows, docs.columns, held_out=held_out(field(doc_id)), lang_pred=F.col("_found.lang_pred"), score=F.col("_found.score")
+        rows, docs.columns, held_out=held_out(field(doc_id)), lang_pred=F.col("_found.lang_pred"), score=F.col("_found.score"),
+        strangeness=F.col("_found.strangeness"),
     )

@@ -64,6 +64,22 @@ def test_stages(spark, tmp_path):
     assert docs.agg(F.max(F.col("offset") + F.col("length"))).first()[0] <= 1024
 
 
+def test_texts_of_no_learned_language_go(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    strange = [
+        "Wczoraj po południu poszliśmy razem do lasu, żeby zbierać grzyby i jagody dla babci. " * 5,
+        "Igår eftermiddag gick vi till skogen för att plocka svamp och bär till mormor. " * 5,
+        "это совершенно другой язык и его никто не учил " * 5,
+        "qzxv jkwp zzgh tqbx vrrk wpfj xkcd mnbq " * 5,
+    ]
+    clean = ["the and", "la", "und", "de la", "that of the", "el", "un"]
+    extra = spark.createDataFrame([(20_000 + i, t) for i, t in enumerate(strange + clean)], "doc_id long, text string")
+    out = corpus_pipeline.language_id(spark, docs.unionByName(extra, allowMissingColumns=True), SF_DIR)
+    kept = {r[0] for r in out.filter("doc_id >= 20000").select("doc_id").collect()}
+    assert kept == {20_000 + len(strange) + i for i in range(len(clean))}
+    assert out.filter("doc_id < 20000").count() == docs.count()
+
+
 def test_an_empty_table_goes_through(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES[:-1]:
