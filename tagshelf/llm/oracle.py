@@ -74,4 +74,27 @@ SELECT page_id, payload_bytes, {BASE32} AS payload_digest,
 FROM first
 """
 
-SQL = {"op4_line_dedup": LINE_DEDUP, "op6_quality_rules": QUALITY, "op10_warc": WARC}
+ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+DECONTAMINATION = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWERED.format("coalesce(text, '')")}, '{ITEM_WORD}') AS w FROM documents),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({LOWERED.format("coalesce(text, '')")}, '{ITEM_WORD}') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, size, unnest(list_transform(range(len(w) - size + 1), lambda i: array_to_string(w[i + 1 : i + size], ' '))) AS words
+  FROM (SELECT item, w, least(len(w), 10) AS size FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+  SELECT r, size, unnest(range(len(w) - size + 1)) AS place,
+         unnest(list_transform(range(len(w) - size + 1), lambda i: array_to_string(w[i + 1 : i + size], ' '))) AS words
+  FROM docs CROSS JOIN sizes WHERE len(w) >= size),
+hits AS (SELECT r, place, size, item FROM places JOIN windows USING (size, words)),
+words AS (SELECT r, count(DISTINCT at) AS n_hit FROM (SELECT r, unnest(range(place, place + size)) AS at FROM hits) GROUP BY r),
+found AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS listed FROM hits GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)
+"""
+
+SQL = {"op4_line_dedup": LINE_DEDUP, "op6_quality_rules": QUALITY, "op10_warc": WARC, "op13_decontamination": DECONTAMINATION}

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagshelf.llm.bpe import encode_documents
+from tagshelf.llm.decontaminate import find_items
 from tagshelf.llm.fingerprints import fingerprint_edits
 from tagshelf.llm.jaccard_join import link_documents
 from tagshelf.llm.langid import identify
@@ -96,6 +97,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_jaccard_join": op2_jaccard_join,
@@ -107,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_warc": op10_warc,
+    "op13_decontamination": op13_decontamination,
 }
 
 ORACLE_SQL = SQL
