@@ -18,6 +18,7 @@ from tagshelf.llm.licenses import scan_licenses
 from tagshelf.llm.line_dedup import dedup_lines
 from tagshelf.llm.oracle import SQL
 from tagshelf.llm.packing import pack_documents
+from tagshelf.llm.periodic import find_runs, longest_run, repeat_words
 from tagshelf.llm.pii import KINDS, find_pii
 from tagshelf.llm.quality import quality_rules
 from tagshelf.llm.rows import read
@@ -97,6 +98,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    repeated = repeat_words(F.col("text"), lambda n: g % n, lambda n: 1 + F.floor((n - g % n) / (3 + g % 8)))
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.when(h % 10 == 0, repeated).otherwise(F.col("text")).alias("text"))
+    run = F.col("longest")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return find_runs(docs).withColumn("longest", longest_run(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), run["start"].alias("start"), run["length"].alias("length"),
+        run["period"].alias("period"), F.floor(1000 * run["length"] / run["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -116,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_warc": op10_warc,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_decontamination": op13_decontamination,
 }
 
