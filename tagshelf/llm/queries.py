@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from fractions import Fraction
 
@@ -22,6 +23,7 @@ from tagshelf.llm.periodic import find_runs, longest_run, repeat_words
 from tagshelf.llm.pii import KINDS, find_pii
 from tagshelf.llm.quality import quality_rules
 from tagshelf.llm.rows import read
+from tagshelf.llm.spelling import count_words, group_variants
 from tagshelf.llm.warc import read_archives, write_archives
 from tagshelf.sources.shared import new_folder
 
@@ -98,6 +100,23 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def slips(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A document's words, with a letter lost from one in 199. Without an id a document has no slips."""
+    if doc_id is None:
+        return words
+    start, out = zlib.crc32(b"%d:" % doc_id), []
+    for word in words:
+        h = zlib.crc32(word if word.isascii() else word.decode("latin-1").encode(), start)
+        at = h % len(word)
+        out.append(word if h % 199 else word[:at] + word[at + 1 :])
+    return out
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = count_words(read(spark, sf_dir, "documents"), least_letters=6, change=slips)
+    return group_variants(counted.filter("n >= 5"), ratio=5)
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     g = F.floor(h / 10)
@@ -131,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_warc": op10_warc,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_decontamination": op13_decontamination,
 }
