@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import itertools
 import re
+import sys
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -23,12 +24,15 @@ from tagshelf.llm.bpe import in_portions, text_bytes
 from tagshelf.llm.rows import field, hashes, pack, unpack, write_step
 
 UNKNOWN = "und"
-LONGEST = 8  # code points of a piece
-CHUNK = 48  # code points of a word that are scored together; a longer word is scored in parts
-REMEMBERED = 400_000  # words
+SCALED = 8  # characters after which probabilities are scaled again, so that long words do not run into zero
+AT_ONCE = 400_000  # characters of words that are scored together; one word is never split
+REMEMBERED, REMEMBERED_LETTERS = 400_000, 8_000_000  # words
 DOUBT = 5  # standard deviations that a text's words may be less probable together before it counts as strange
 START = "▁"  # what the vocabulary marks a word's start with
-WORD = re.compile(r"[^\W\d_]+")
+# Words are runs of letters, Unicode's category L, in training and scoring: what is alphanumeric here, but no numeral.
+NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+LETTER = rf"[^\W\d_{re.escape(NUMERALS)}]"
+WORD = re.compile(f"{LETTER}+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -40,8 +44,9 @@ class Vocabulary:
 
         model = SentencePieceProcessor(model_file=path)
         listed = {model.id_to_piece(i).lower() for i in range(model.get_piece_size()) if not model.is_control(i)}
-        good = re.compile(rf"{START}?[^\W\d_]*")
-        self.pieces = sorted(p for p in listed if 0 < len(p) <= LONGEST and good.fullmatch(p))
+        good = re.compile(f"{START}?{LETTER}*")
+        self.pieces = sorted(p for p in listed if p and good.fullmatch(p))
+        self.longest = max(map(len, self.pieces))
         self.size = len(self.pieces)  # an unknown character is the piece after the last, a substring that is none the next
         self.bits = (8 * self.size).bit_length()
         self.key = np.zeros(1 << self.bits, np.uint64)
@@ -83,14 +88,22 @@ class Vocabulary:
     def lattice(self, words: np.ndarray) -> list[np.ndarray]:
         """For words of one length (code points, a row each): at k - 1, the piece of each span of k characters."""
         n, h, out = words.shape[1], np.zeros(words.shape, np.uint64), []
-        for k in range(1, min(LONGEST, n) + 1):
+        for k in range(1, min(self.longest, n) + 1):
             h = self.extend(h[:, : n - k + 1], words[:, k - 1 :])
-            found = self.find(h.ravel()).reshape(h.shape)
+            found = self.find(h.ravel()).astype(np.int32).reshape(h.shape)
             if k == 1:
                 found = np.where(found > self.size, self.size, found)
             out.append(found)
         return out
 
+    def spans(self, lattice: list[np.ndarray]) -> list[list[int]]:
+        """For each place, the lengths of the spans from it on that are a piece in any of the words."""
+        out: list[list[int]] = [[] for _ in range(lattice[0].shape[1])]
+        for k, found in enumerate(lattice, 1):
+            for i in np.flatnonzero((found <= self.size).any(0)).tolist():
+                out[i].append(k)
+        return out
+
 
 @functools.cache
 def vocabulary(path: str) -> Vocabulary:
@@ -104,29 +117,64 @@ class Model(NamedTuple):
     reached: np.ndarray | None = None  # by language, of its training words: log probability a character, spread of a word's about it
 
 
-def _forward(lattice: list[np.ndarray], probability: np.ndarray) -> list[np.ndarray]:
-    """Probability of the first i characters, by word and language, over all ways to cut them."""
-    rows, n = lattice[0].shape
-    alpha = [np.ones((rows, probability.shape[1]))]
-    for i in range(1, n + 1):
-        alpha.append(sum(alpha[i - k] * probability[lattice[k - 1][:, i - k]] for k in range(1, min(LONGEST, i) + 1)))
-    return alpha
+def _prefixes(
+    lattice: list[np.ndarray], into: list[list[tuple[int, int]]], probability: np.ndarray, keep: int | None = None
+) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Probability of the first i characters, by word and language, over all ways to cut them, and the logarithm of
+    what it is to be multiplied with. `into` has for each i the spans that end there: length and column of the lattice.
+    Only the last `keep` are held, if that is given."""
+    rows = lattice[0].shape[0]
+    alpha, scale = [np.ones((rows, probability.shape[1]))], [np.zeros((rows, probability.shape[1]))]
+    reach = len(lattice)
+    for i, spans in enumerate(into[1:], 1):
+        total = 0
+        for k, column in spans:
+            total = total + alpha[i - k] * probability[lattice[k - 1][:, column]]
+        alpha.append(total)
+        scale.append(scale[i - 1])
+        if i % SCALED == 0:
+            by, more = total, np.log(total)
+            for j in range(max(0, i - reach), i + 1):
+                alpha[j], scale[j] = alpha[j] / by, scale[j] + more
+        if keep is not None and i > keep:
+            alpha[i - keep - 1] = scale[i - keep - 1] = None
+    return alpha, scale
+
+
+def _ending(spans: list[list[int]]) -> list[list[tuple[int, int]]]:
+    """For each number of characters, the spans that end there: their lengths and places."""
+    out: list[list[tuple[int, int]]] = [[] for _ in range(len(spans) + 1)]
+    for at, lengths in enumerate(spans):
+        for k in lengths:
+            out[at + k].append((k, at))
+    return out
+
+
+def _log_probability(pieces: Vocabulary, points: np.ndarray, probability: np.ndarray) -> np.ndarray:
+    """Of words of one length, by language: the forward pass over all ways to cut them."""
+    lattice = pieces.lattice(points)
+    alpha, scale = _prefixes(lattice, _ending(pieces.spans(lattice)), probability, pieces.longest)
+    return np.log(alpha[-1]) + scale[-1]
 
 
-def _expected(lattice: list[np.ndarray], probability: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Expected count of each piece by language, of words with a weight by language."""
-    n = lattice[0].shape[1]
-    alpha = _forward(lattice, probability)
-    beta = [np.ones_like(alpha[0])]  # from the end
-    for i in range(1, n + 1):
-        beta.append(sum(beta[i - k] * probability[lattice[k - 1][:, n - i]] for k in range(1, min(LONGEST, i) + 1)))
-    scale = weight / np.maximum(alpha[n], 1e-300)
+def _expected(pieces: Vocabulary, points: np.ndarray, probability: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Expected count of each piece by language, of words of one length with a weight by language."""
+    lattice = pieces.lattice(points)
+    spans, n = pieces.spans(lattice), points.shape[1]
+    alpha, before = _prefixes(lattice, _ending(spans), probability)
+    # From the end, the same the other way round: a span from its place on ends where those behind it begin.
+    backward = [[]] + [[(k, n - i) for k in spans[n - i]] for i in range(1, n + 1)]
+    beta, behind = _prefixes(lattice, backward, probability)
+    share = weight / alpha[n]
     out = np.zeros(probability.shape)
-    for k, pieces in enumerate(lattice, 1):
-        for i in range(n - k + 1):
-            part = alpha[i] * probability[pieces[:, i]] * beta[n - i - k] * scale
-            for j in range(part.shape[1]):
-                out[:, j] += np.bincount(pieces[:, i], part[:, j], len(out))
+    for i, lengths in enumerate(spans):
+        for k in lengths:
+            used, j = lattice[k - 1][:, i], n - i - k
+            part = alpha[i] * probability[used] * beta[j] * share
+            if n >= SCALED:
+                part = part * np.exp(before[i] + behind[j] - before[n])
+            for language in range(part.shape[1]):
+                out[:, language] += np.bincount(used, part[:, language], len(out))
     return out
 
 
@@ -136,15 +184,14 @@ def _chars(words: list[str]) -> np.ndarray:
 
 
 def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Parts of words of one length as code points, and the place of each part's word; a word starts with a mark."""
-    parts = [(i, w[a : a + CHUNK]) for i, w in enumerate(words) for w in [START + w] for a in range(0, len(w), CHUNK)]
-    place = np.array([i for i, _ in parts], np.int64)
-    length = np.array([len(p) for _, p in parts], np.int64)
-    for n in np.unique(length):
-        at = np.flatnonzero(length == n)
-        text = "".join([parts[i][1] for i in at])
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(at), n)
-        yield points.astype(np.uint64), place[at]
+    """Words of one length as code points, so many at once, and their places; a word starts with a mark."""
+    length = np.array([len(w) + 1 for w in words], np.int64)
+    for n in np.unique(length).tolist():
+        every = np.flatnonzero(length == n)
+        for at in np.split(every, range(max(1, AT_ONCE // n), len(every), max(1, AT_ONCE // n))):
+            text = "".join([START + words[i] for i in at])
+            points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(at), n)
+            yield points.astype(np.uint64), at
 
 
 # --- fitting --------------------------------------------------------------------------------------
@@ -160,9 +207,7 @@ def _step(batches: Iterator[pa.RecordBatch], path: str, model: Model) -> Iterato
         weight = np.zeros((len(words), n_languages))
         weight[np.arange(len(words)), [place[x] for x in batch.column(1).to_pylist()]] = batch.column(2).to_numpy()
         for points, at in _by_length(words):
-            for part in range(0, len(points), 20_000):
-                cut = slice(part, part + 20_000)
-                total += _expected(pieces.lattice(points[cut]), model.probability, weight[at[cut]])
+            total += _expected(pieces, points, model.probability, weight[at])
     piece, language = np.nonzero(total)
     yield pa.RecordBatch.from_arrays(
         [pa.array(piece), pa.array(language), pa.array(total[piece, language])], ["piece", "language", "n"]
@@ -260,15 +305,13 @@ class Scorer:
 
     def _forget(self) -> None:
         self.slots: dict[str, int] = {}
+        self.letters = 0
         self.known = np.empty((0, len(self.model.languages)))
 
     def _score(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(self.model.languages)))
         for points, at in _by_length(words):
-            for part in range(0, len(points), 20_000):
-                cut = slice(part, part + 20_000)
-                last = _forward(self.pieces.lattice(points[cut]), self.model.probability)[-1]
-                np.add.at(out, at[cut], np.log(np.maximum(last, 1e-300)))
+            out[at] = _log_probability(self.pieces, points, self.model.probability)
         return out
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -276,10 +319,11 @@ class Scorer:
         listed = [WORD.findall(t.lower()) for t in texts]
         new = set().union(*listed)
         new.difference_update(self.slots.keys() & new)
-        if len(self.slots) + len(new) > REMEMBERED:
+        if len(self.slots) + len(new) > REMEMBERED or self.letters > REMEMBERED_LETTERS:
             self._forget()
             new = set().union(*listed)
         words = list(new)
+        self.letters += sum(map(len, words))
         self.slots.update(zip(words, range(len(self.slots), len(self.slots) + len(words)), strict=True))
         self.known = np.concatenate([self.known, self._score(words)])
         counts = np.fromiter(map(len, listed), np.int64, len(listed))

@@ -1,10 +1,13 @@
 """Each corpus operator against brute force on rows with every oddity."""
 
 import base64
+import functools
 import hashlib
+import math
 import random
 import re
 import time
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -423,13 +426,16 @@ def test_forward_sums_all_segmentations():
         if not word:
             return 1.0
         total = 0.0
-        for k in range(1, min(langid.LONGEST, len(word)) + 1):
+        for k in range(1, min(vocabulary.longest, len(word)) + 1):
             piece = index.get(word[:k], vocabulary.size if k == 1 else None)
             if piece is not None:
                 total += probability[piece, j] * brute(word[k:], j)
         return total
 
-    words = ["the", "été", "straße", "x", "漢字", "ation"]
+    longest = max((p for p in vocabulary.pieces if not p.startswith(langid.START)), key=len)
+    assert vocabulary.longest >= 16 and len(vocabulary.pieces) > 23_000
+    words = ["the", "été", "straße", "x", "漢字", "ation", longest, longest[:3] + longest]
+    brute = functools.cache(brute)
     scorer = langid.Scorer(PIECES, langid.Model(["a", "b"], probability))
     got = scorer._score(words)
     for i, w in enumerate(words):
@@ -437,11 +443,49 @@ def test_forward_sums_all_segmentations():
             assert np.isclose(got[i, j], np.log(brute(langid.START + w, j)))
     # The expected uses of pieces weighed by their length add up to the word's length.
     for points, at in langid._by_length(words):
-        expected = langid._expected(vocabulary.lattice(points), probability, np.ones((len(at), 2)))
+        expected = langid._expected(vocabulary, points, probability, np.ones((len(at), 2)))
         length = np.array([len(p) for p in vocabulary.pieces] + [1, 0])
         assert np.allclose((expected * length[:, None]).sum(0), points.size)
 
 
+def test_long_words_are_summed_whole():
+    """Against exact arithmetic with numbers of any size, of words far beyond what a floating-point number holds."""
+    vocabulary = langid.vocabulary(PIECES)
+    rng = np.random.default_rng(2)
+    probability = rng.random((vocabulary.size + 2, 2)) * 1e-9
+    probability[-1] = 0
+    index = {p: i for i, p in enumerate(vocabulary.pieces)}
+    words = ["straßenbahnhaltestelle" * 10, "xq" * 700, "這是一個沒有空格的句子" * 20, "abc" * 8]
+    got = langid.Scorer(PIECES, langid.Model(["a", "b"], probability))._score(words)
+    for i, w in enumerate(words):
+        text = langid.START + w
+        for j in range(2):
+            exact = [Fraction(1)]
+            for end in range(1, len(text) + 1):
+                total = Fraction(0)
+                for k in range(1, min(vocabulary.longest, end) + 1):
+                    piece = index.get(text[end - k : end], vocabulary.size if k == 1 else None)
+                    if piece is not None:
+                        total += exact[end - k] * Fraction(float(probability[piece, j]))
+                # Rounded to 80 bits of their own, else they grow without end.
+                bits = max(0, total.denominator.bit_length() - total.numerator.bit_length() + 80)
+                exact.append(Fraction(round(total * 2**bits), 2**bits))
+            log = math.log(exact[-1].numerator) - math.log(exact[-1].denominator)
+            assert math.isclose(got[i, j], log, rel_tol=1e-9)
+    for points, at in langid._by_length(words):
+        expected = langid._expected(vocabulary, points, probability, np.ones((len(at), 2)))
+        length = np.array([len(p) for p in vocabulary.pieces] + [1, 0])
+        assert np.allclose((expected * length[:, None]).sum(0), points.size)
+
+
+def test_numerals_are_no_letters(spark):
+    texts = ["½ ² Ⅷ ①", "Ⅷ the", "the", "一二", "٣ ५", None, "", "_", "xⅧy", "x" * 300_000]
+    docs = spark.createDataFrame([(i, t, "en" if i == 2 else "fr" if i == 8 else None) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    got = dict(rows(langid.identify(docs, PIECES), "doc_id", "lang_pred"))
+    assert [got[i] == "und" for i in range(len(texts))] == [not any(unicodedata.category(c)[0] == "L" for c in t or "") for t in texts]
+    assert langid.WORD.findall("xⅧy½z 一二") == ["x", "y", "z", "一二"]
+
+
 def test_held_out_accuracy_and_oddities(spark, documents, empty):
     given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = langid.identify(given, PIECES)
