@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagshelf.llm.bpe import byte_letters, encode_text
+from tagshelf.llm.bpe import byte_letters, encode_text, load
 from tagshelf.llm.rows import ROW, field, pack, unpack, write_step
 
 PIECE = "array<struct<start: bigint, length: int, ids_crc32: bigint, doc_tokens: bigint>>"
@@ -32,6 +33,10 @@ ROUNDS = 300
 WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+# The faster library's pattern engine gives up on white space of about a million characters.
+MOST_SPACE = 100_000
+
+
 # --- pieces ---------------------------------------------------------------------------------------
 
 
@@ -53,6 +58,13 @@ def encoder(path: str):
     return Encoding("own", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
 
 
+def text_ids(text: str, path: str) -> np.ndarray:
+    """The ids of a text; one with a very long run of white space goes through this package's own encoder."""
+    if len(text) > MOST_SPACE and any(m.end() - m.start() > MOST_SPACE for m in re.finditer(r"\s+", text)):
+        return load(path).encode([text.encode()])[0]
+    return encoder(path).encode_to_numpy(text, allowed_special="all")
+
+
 def text_pieces(text: Column, path: str, end_id: int, window: int) -> Column:
     """The pieces of a text's ids with `end_id` behind them: as many of a window's length as there are, and the rest.
 
@@ -61,13 +73,11 @@ def text_pieces(text: Column, path: str, end_id: int, window: int) -> Column:
 
     @F.arrow_udf(PIECE)
     def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokenizer = encoder(path)
         names = ["start", "length", "ids_crc32", "doc_tokens"]
         for texts in batches:
             start, length, checksum, tokens, n_pieces = [], [], [], [], []
             for text in texts:
-                ids = tokenizer.encode_to_numpy(text.as_py() or "", allowed_special="all")
-                raw = np.append(ids, end_id).astype("<u4").tobytes()
+                raw = np.append(text_ids(text.as_py() or "", path), end_id).astype("<u4").tobytes()
                 n = len(raw) // 4
                 firsts = range(0, n, window)
                 start += firsts
@@ -85,7 +95,12 @@ def text_pieces(text: Column, path: str, end_id: int, window: int) -> Column:
 def cut_documents(
     docs: DataFrame, path: str, end_id: int = 0, window: int = 1024, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """One row per piece: `doc_id`, start, length, ids_crc32 (of the ids as little-endian unsigned 32 bits), doc_tokens."""
+    """One row per piece: `doc_id`, start, length, ids_crc32 (of the ids as little-endian unsigned 32 bits), doc_tokens.
+
+    Other columns are dropped. Every row has at least one piece, as `end_id` is behind each text, a null one included;
+    rows that repeat have theirs each, a null id stays null, and an empty table gives an empty one. A text is taken whole,
+    however long, and its ids are in one task's memory at a time.
+    """
     rows = pack(docs).select(field(doc_id).alias("_id"), text_pieces(field(text), path, end_id, window).alias("pieces"))
     return rows.select(F.col("_id").alias(doc_id), F.inline("pieces"))
 
@@ -202,8 +217,9 @@ def pack_pieces(pieces: DataFrame, window: int = 1024, salts: int | None = None)
     their own. Pieces that equal each other in all columns may swap places. An empty table gives an empty result.
 
     The ranks of a length are counted in `salts` parts (as many as there are shuffle partitions), so that a
-    length that a third of all pieces have is not in one task. The driver sees the histogram, tasks the plan
-    made from it; the window bounds both.
+    length that a third of all pieces have is not in one task. What lies before a part is joined to it by the keys that
+    its ranks are counted by anyway: no row moves for it. The driver sees the histogram, tasks the plan made from it;
+    the window bounds both.
     """
     spark = pieces.sparkSession
     salts = salts or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -226,8 +242,7 @@ def pack_pieces(pieces: DataFrame, window: int = 1024, salts: int | None = None)
     earlier = Window.partitionBy("_length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("_length", "_salt", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     order = Window.partitionBy("_length", "_salt").orderBy(*[f.asc() for f in by_hash])
-    # A row per length and salt: the window and the number of salts bound what is broadcast.
-    ranked = salted.withColumn("_rank", F.row_number().over(order) - 1).join(F.broadcast(before), ["_length", "_salt"])
+    ranked = salted.withColumn("_rank", F.row_number().over(order) - 1).join(before.hint("merge"), ["_length", "_salt"])
     placed = ranked.select(ROW, place("_length", F.col("_before") + F.col("_rank")).alias("_place"))
     whole = rows.filter(length == window).select(
         ROW, F.struct(
@@ -242,7 +257,8 @@ def pack_pieces(pieces: DataFrame, window: int = 1024, salts: int | None = None)
 def pack_documents(
     docs: DataFrame, path: str, end_id: int = 0, window: int = 1024, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """Every piece of every document with its place: the rows of `cut_documents` with sequence_id and offset."""
+    """Every piece of every document with its place: the rows of `cut_documents` with sequence_id and offset, for nulls,
+    repeated rows and empty tables as there."""
     return pack_pieces(write_step(cut_documents(docs, path, end_id, window, doc_id, text), "pieces"), window)
 
 

@@ -526,6 +526,33 @@ def test_copies_teach_as_one_text(spark):
     assert np.allclose(counted[0].probability[:, 0], models[1].probability[:, 0])
 
 
+@pytest.mark.parametrize("unit", [" ", "\t", "\n", "a", "^", "\u3000"])
+def test_very_long_runs_have_the_ids_of_the_library(unit):
+    from tokenizers import Tokenizer
+
+    library, run = Tokenizer.from_file(BYTE_BPE), unit * 2_000_000
+    for text in (run, f"some words{run}and others  \n", f"<|endoftext|> x{run}"):
+        wanted = library.encode(text, add_special_tokens=False).ids
+        assert np.array_equal(packing.text_ids(text, BYTE_BPE), wanted)
+
+
+def test_a_table_with_a_very_long_run_is_packed(spark):
+    texts = ["few words", "a" + " " * 1_100_000 + "b", None, "\n" * 1_000_000]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    placed = packing.pack_documents(docs, BYTE_BPE).collect()
+    assert {r["doc_id"] for r in placed} == {0, 1, 2, 3}
+    for i in range(4):
+        own = [r for r in placed if r["doc_id"] == i]
+        assert sum(r["length"] for r in own) == own[0]["doc_tokens"]
+
+
+def test_the_plan_of_packing_broadcasts_nothing(spark, documents):
+    plan = packing.pack_documents(documents, BYTE_BPE)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 1
+    # Ranks and what lies before them share one exchange of the pieces.
+    assert len(re.findall(r"Exchange hashpartitioning\(_length#\d+, _salt#\d+", plan)) == 2
+
+
 # --- packing --------------------------------------------------------------------------------------
 
 
