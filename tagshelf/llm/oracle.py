@@ -42,10 +42,10 @@ own AS (
   SELECT doc_id, count(*) FILTER (WHERE has) - count(DISTINCT line) FILTER (WHERE has) AS n_dup_lines
   FROM (SELECT doc_id, line, regexp_matches(line, '{WORD}') AS has FROM lines) GROUP BY doc_id),
 keyed AS (SELECT * FROM lines WHERE key <> ''),
-texts AS (SELECT source, count(DISTINCT text) AS n_texts FROM keyed GROUP BY source),
-held AS (SELECT source, key, count(DISTINCT text) AS n FROM keyed GROUP BY source, key),
+hosts AS (SELECT source, count(DISTINCT doc_id) AS host_docs FROM keyed GROUP BY source),
+held AS (SELECT source, key, count(DISTINCT doc_id) AS n, count(DISTINCT text) AS n_texts FROM keyed GROUP BY source, key),
 above AS (
-  SELECT source, key FROM held JOIN texts USING (source) WHERE n > 100 AND n > CAST(0.02 AS DOUBLE) * n_texts),
+  SELECT source, key FROM held JOIN hosts USING (source) WHERE n_texts > 1 AND n > CAST(0.02 AS DOUBLE) * host_docs),
 gone AS (SELECT doc_id, sum(length(key)) AS chars FROM keyed JOIN above USING (source, key) GROUP BY doc_id),
 figures AS (
   SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
@@ -54,7 +54,7 @@ figures AS (
   FROM words JOIN own USING (doc_id) LEFT JOIN repeats USING (doc_id) LEFT JOIN gone USING (doc_id)),
 judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM figures)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR gone_chars > CAST(0.8 AS DOUBLE) * n_text) AS kept
+       NOT (base_failed OR gone_chars > CAST(0.5 AS DOUBLE) * n_text) AS kept
 FROM judged
 """
 
@@ -90,7 +90,7 @@ places AS (
          unnest(list_transform(range(len(w) - size + 1), lambda i: array_to_string(w[i + 1 : i + size], ' '))) AS words
   FROM docs CROSS JOIN sizes WHERE len(w) >= size),
 hits AS (SELECT r, place, size, item FROM places JOIN windows USING (size, words)),
-words AS (SELECT r, count(DISTINCT at) AS n_hit FROM (SELECT r, unnest(range(place, place + size)) AS at FROM hits) GROUP BY r),
+words AS (SELECT r, count(DISTINCT word) AS n_hit FROM (SELECT r, unnest(range(place, place + size)) AS word FROM hits) GROUP BY r),
 found AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS listed FROM hits GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated

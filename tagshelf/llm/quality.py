@@ -76,12 +76,12 @@ def text_figures(rows: DataFrame, text: Column) -> DataFrame:
 
 
 def removed_chars(
-    rows: DataFrame, text: Column, host: Column, max_docs: int, max_share: float
+    rows: DataFrame, text: Column, host: Column, max_share: float
 ) -> DataFrame:
-    """For each key of `rows` with lines above the limits: the characters of these lines.
+    """For each key of `rows` with lines above the limit: the characters of these lines.
 
-    A line's key counts the distinct texts of a host that hold it; it is above the limits in more than
-    `max_docs` texts and more than `max_share` of the host's texts.
+    A line's key counts the distinct documents of a host that hold it. It is above the limit in more than `max_share`
+    of the host's documents, if these do not all have one and the same text.
     """
     content = F.coalesce(text, F.lit(""))
     exploded = rows.select(*KEY, host.alias("host"), F.posexplode(F.split(content, "\n")).alias("pos", "line"))
@@ -91,15 +91,15 @@ def removed_chars(
         keyed.select(*KEY, "host", "pos", F.char_length("key").alias("chars"), k1.alias("k1"), k2.alias("k2")),
         "host-lines",
     )
-    texts = lines.select("host", "_h1", "_h2").distinct().groupBy("host").agg(F.count("*").alias("n_texts"))
-    # A text's line counts once: equal rows are combined before the counts are.
-    held = lines.select("host", "k1", "k2", "_h1", "_h2").distinct().groupBy("host", "k1", "k2").agg(
-        F.count("*").alias("n_docs")
-    )
-    common = held.filter(F.col("n_docs") > max_docs)
+    of_host = lines.select("host", *KEY).distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
+    # A document's line counts once: equal rows are combined before the counts are, and copies before the texts are.
+    in_docs = lines.select("host", "k1", "k2", *KEY).distinct()
+    in_texts = in_docs.groupBy("host", "k1", "k2", "_h1", "_h2").agg(F.count("*").alias("n"))
+    held = in_texts.groupBy("host", "k1", "k2").agg(F.sum("n").alias("n_docs"), F.count("*").alias("n_texts"))
+    common = held.filter("n_texts > 1")
     above = write_step(
-        common.join(texts.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of")))
-        .filter(F.col("n_docs") > max_share * F.col("n_texts")).select("host", "k1", "k2"),
+        common.join(of_host.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of")))
+        .filter(F.col("n_docs") > max_share * F.col("host_docs")).select("host", "k1", "k2"),
         "common-lines",
     )
     same = [F.col(f"l.{c}").eqNullSafe(F.col(f"a.{c}")) for c in ("host", "k1", "k2")]
@@ -119,18 +119,17 @@ def quality_rules(
     host: str = "source",
     min_words: int = 20,
     max_repeat_percent: int = 30,
-    max_docs: int = 100,
     max_share: float = 0.02,
-    max_removed: float = 0.8,
+    max_removed: float = 0.5,
 ) -> DataFrame:
     """The columns of `docs` with the figures of `text_figures`, `base_failed`, `removed_chars` and `kept`.
 
     base_failed: fewer than `min_words` words, or over `max_repeat_percent` of the words repeat. kept: not
-    base_failed, and not depleted: lines that more than `max_docs` texts and more than `max_share` of the
-    texts of the document's host hold (`removed_chars`) make up at most `max_removed` of its characters.
-    Copies of a text count once, so they never deplete each other.
+    base_failed, and not depleted: lines that more than `max_share` of the documents of its host hold (`removed_chars`)
+    make up at most `max_removed` of its characters. A line that copies of a single text hold is no boilerplate, however
+    many they are. So the limit is a share at any size: a table and any number of copies of it get the same verdicts.
 
-    A null text counts as empty and fails. A null host is a host of its own. Rows that repeat get the same
+    A document is a row's id and text: rows that repeat count once. A null text counts as empty and fails. A null host is a host of its own. Rows that repeat get the same
     figures. An empty table gives an empty result. A line that most documents hold is counted with combining
     before the shuffle and joined between two written tables, which adaptive execution can split.
     """
@@ -139,7 +138,7 @@ def quality_rules(
     figures = text_figures(
         rows.select(ROW, *KEY, F.char_length(content).alias("n_text")), field(text)
     )
-    gone = removed_chars(rows, field(text), field(host), max_docs, max_share)
+    gone = removed_chars(rows, field(text), field(host), max_share)
     same = [F.col(f"f.{k}").eqNullSafe(F.col(f"g.{k}")) for k in KEY]
     joined = figures.alias("f").join(gone.alias("g"), same[0] & same[1] & same[2], "left").select(
         "f.*", F.coalesce("g.gone_chars", F.lit(0)).alias("gone_chars")

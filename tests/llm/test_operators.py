@@ -323,11 +323,28 @@ def test_clean_text_has_no_personal_data(documents, empty):
 # --- quality rules --------------------------------------------------------------------------------
 
 
+def line_keys(text):
+    return [k for k in (lower(line.strip(SPACES)) for line in (text or "").split("\n")) if k]
+
+
+def depleted(docs, max_share=0.02, max_removed=0.5):
+    """(id, text) of the documents that lose too much, of rows (id, text, host)."""
+    docs_of, texts_of, of_host = defaultdict(set), defaultdict(set), defaultdict(set)
+    for i, text, host in docs:
+        for k in line_keys(text):
+            docs_of[host, k].add((i, text))
+            texts_of[host, k].add(text)
+            of_host[host].add((i, text))
+    above = {(h, k) for (h, k), held in docs_of.items() if len(texts_of[h, k]) > 1 and len(held) > max_share * len(of_host[h])}
+    return {(i, t) for i, t, h in docs if sum(len(k) for k in line_keys(t) if (h, k) in above) > max_removed * len(t or "")}
+
+
 def test_quality_figures(documents, empty):
     out = quality.quality_rules(documents)
-    got = rows(out, "text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    gone = depleted(rows(documents, "doc_id", "text", "source"))
+    got = rows(out, "doc_id", "text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     assert len(got) == documents.count()
-    for text, n, chars, symbols, dup, repeat, failed, kept in got:
+    for doc_id, text, n, chars, symbols, dup, repeat, failed, kept in got:
         w = words_of(text)
         lines = [x for x in (text or "").split("\n") if words_of(x)]
         windows = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
@@ -335,7 +352,8 @@ def test_quality_figures(documents, empty):
         assert (n, chars, symbols) == (len(w), sum(map(len, w)), len(re.findall("[#*$%&|<>]", text or "")))
         assert (dup, repeat) == (len(lines) - len(set(lines)), len(covered))
         assert failed == (n < 20 or 100 * repeat > 30 * n)
-        assert kept == (not failed)  # no line is in over a hundred texts
+        assert kept == (not failed and (doc_id, text) not in gone)
+    assert any(not g[-2] and not g[-1] for g in got)
     assert quality.quality_rules(empty).count() == 0
 
 
@@ -345,11 +363,38 @@ def test_documents_of_boilerplate_are_depleted(spark):
     texts += [(100 + i, same + "\n" + " ".join(f"own{i}x{j}" for j in range(60)), "a") for i in range(5)]
     texts += [(200, same, "b"), (201, None, "a")]
     df = spark.createDataFrame(texts, "doc_id long, text string, source string")
-    out = quality.quality_rules(df, max_docs=10, max_share=0.1, max_repeat_percent=100, min_words=1)
+    out = quality.quality_rules(df, max_share=0.1, max_repeat_percent=100, min_words=1)
     kept = {i for i, k in rows(out, "doc_id", "kept") if k}
     assert kept == {*range(100, 105), 200}
     copies = spark.createDataFrame([(i, same + "tail", "a") for i in range(50)], "doc_id long, text string, source string")
-    assert all(k for (k,) in rows(quality.quality_rules(copies, max_docs=10, max_repeat_percent=100), "kept"))
+    assert all(k for (k,) in rows(quality.quality_rules(copies, max_repeat_percent=100), "kept"))
+
+
+def test_verdicts_are_the_same_at_any_size(spark):
+    """A table, ten copies of it with ids of their own, and hosts of two documents to many."""
+    random.seed(12)
+    line = lambda: " ".join(f"w{random.randint(0, 999)}" for _ in range(6))
+    common = [line() for _ in range(5)]
+    texts = []
+    for host, n in (("two", 2), ("few", 40), ("many", 150)):
+        for _ in range(n):
+            parts = random.sample(common, random.randint(0, 3)) + [line() for _ in range(random.randint(1, 5))] * random.choice([1, 1, 3])
+            texts.append((len(texts), "\n".join(parts), host))
+    one = spark.createDataFrame(texts, "doc_id long, text string, source string")
+    ten = one.crossJoin(spark.range(10).withColumnRenamed("id", "copy")).withColumn("doc_id", F.col("doc_id") + 1000 * F.col("copy"))
+    judge = lambda df: quality.quality_rules(df, min_words=1, max_repeat_percent=100)
+    small, large = rows(judge(one), "text", "source", "kept"), rows(judge(ten), "text", "source", "kept")
+    assert sorted(small * 10) == sorted(large)
+    by_host = {h: {k for _, x, k in small if x == h} for h in ("few", "many")}
+    assert by_host == {"few": {True, False}, "many": {True, False}}
+
+
+def test_the_production_limits_change_a_verdict(spark):
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = quality.quality_rules(given)
+    gone = {i for i, _ in depleted(rows(given, "doc_id", "text", "source"))}
+    assert {i for i, failed, kept in rows(out, "doc_id", "base_failed", "kept") if not failed and not kept} <= gone != set()
+    assert out.filter("NOT base_failed AND NOT kept").count() > 0
 
 
 # --- licences -------------------------------------------------------------------------------------

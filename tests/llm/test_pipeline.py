@@ -32,7 +32,7 @@ def test_query_equals_its_sql(spark, duck, name):
 
 
 def test_there_is_a_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_plans_of_native_queries_have_no_python(spark):
