@@ -30,12 +30,16 @@ REMEMBERED, REMEMBERED_LETTERS = 400_000, 8_000_000  # words
 DOUBT = 5  # standard deviations that a text's words may be less probable together before it counts as strange
 START = "▁"  # what the vocabulary marks a word's start with
 # Words are runs of letters, Unicode's category L, in training and scoring: what is alphanumeric here, but no numeral.
-NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-LETTER = rf"[^\W\d_{re.escape(NUMERALS)}]"
-WORD = re.compile(f"{LETTER}+")
+NUMERAL = re.compile("[" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()) + "]")
+WORD = re.compile(r"[^\W\d_]+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a lower-cased text."""
+    return WORD.findall(text if text.isascii() else NUMERAL.sub(" ", text))
+
+
 class Vocabulary:
     """The pieces of letters of a public vocabulary, found by hash for whole arrays of substrings."""
 
@@ -44,8 +48,7 @@ class Vocabulary:
 
         model = SentencePieceProcessor(model_file=path)
         listed = {model.id_to_piece(i).lower() for i in range(model.get_piece_size()) if not model.is_control(i)}
-        good = re.compile(f"{START}?{LETTER}*")
-        self.pieces = sorted(p for p in listed if p and good.fullmatch(p))
+        self.pieces = sorted(p for p in listed if p == START or p.removeprefix(START).isalpha())
         self.longest = max(map(len, self.pieces))
         self.size = len(self.pieces)  # an unknown character is the piece after the last, a substring that is none the next
         self.bits = (8 * self.size).bit_length()
@@ -316,7 +319,7 @@ class Scorer:
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Log probability of each text by language, NaN for a text without a letter; its words and their characters."""
-        listed = [WORD.findall(t.lower()) for t in texts]
+        listed = [words_of(t.lower()) for t in texts]
         new = set().union(*listed)
         new.difference_update(self.slots.keys() & new)
         if len(self.slots) + len(new) > REMEMBERED or self.letters > REMEMBERED_LETTERS:

@@ -528,7 +528,7 @@ def test_numerals_are_no_letters(spark):
     docs = spark.createDataFrame([(i, t, "en" if i == 2 else "fr" if i == 8 else None) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
     got = dict(rows(langid.identify(docs, PIECES), "doc_id", "lang_pred"))
     assert [got[i] == "und" for i in range(len(texts))] == [not any(unicodedata.category(c)[0] == "L" for c in t or "") for t in texts]
-    assert langid.WORD.findall("xⅧy½z 一二") == ["x", "y", "z", "一二"]
+    assert langid.words_of("xⅧy½z 一二") == ["x", "y", "z", "一二"]
 
 
 def test_held_out_accuracy_and_oddities(spark, documents, empty):
