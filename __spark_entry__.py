@@ -356,20 +356,18 @@ def ingest_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ingested(pipeline.load(spark, folder, "ndjson"))
 
 
-def write_objects(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """Write the catalogue as files of one JSON object each, up to 1000 games by appid in a file."""
-    entry_text = F.concat(F.lit('"'), F.col("appid").cast("string"), F.lit('": '), F.col("record"))
-    objects = _json_records(spark, sf_dir).groupBy(F.floor(F.col("appid") / 1000)).agg(
-        F.array_join(F.array_sort(F.collect_list(entry_text)), ", ").alias("entries")
-    )
-    text = objects.select(F.concat(F.lit("{"), F.col("entries"), F.lit("}")))
-    text.write.option("maxRecordsPerFile", 1).text(folder)
+def write_object(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Write the catalogue as one file of one JSON object keyed by appid, after an entry whose key is no number."""
+    text = F.concat(F.lit(', "'), F.col("appid").cast("string"), F.lit('": '), F.col("record"))
+    entries = _json_records(spark, sf_dir).select(F.lit(1).alias("part"), text.alias("value"))
+    around = spark.createDataFrame([(0, '{"none": null'), (2, "}")], "part int, value string")
+    entries.unionByName(around).repartition(1).sortWithinPartitions("part").select("value").write.text(folder)
 
 
 def ingest_object(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same from files of one JSON object keyed by appid."""
-    folder = new_folder(spark, "objects")
-    write_objects(spark, sf_dir, folder)
+    """The same from one file that is one JSON object keyed by appid."""
+    folder = new_folder(spark, "object")
+    write_object(spark, sf_dir, folder)
     return _ingested(pipeline.load(spark, folder, "object"))
 
 
