@@ -30,14 +30,15 @@ REMEMBERED, REMEMBERED_LETTERS = 400_000, 8_000_000  # words
 DOUBT = 5  # standard deviations that a text's words may be less probable together before it counts as strange
 START = "▁"  # what the vocabulary marks a word's start with
 # Words are runs of letters, Unicode's category L, in training and scoring: what is alphanumeric here, but no numeral.
-NUMERAL = re.compile("[" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()) + "]")
+NUMERALS = frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
 WORD = re.compile(r"[^\W\d_]+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str) -> list[str]:
     """The words of a lower-cased text."""
-    return WORD.findall(text if text.isascii() else NUMERAL.sub(" ", text))
+    found = () if text.isascii() else NUMERALS.intersection(text)
+    return WORD.findall(text.translate(dict.fromkeys(map(ord, found), " ")) if found else text)
 
 
 class Vocabulary:
