@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagshelf import fixed_values as fv
-from tagshelf.sources.shared import broadcast_checked
 
 
 def null_out_of_range(df: DataFrame, column: str, low=fv.PRICE_MIN, high=fv.PRICE_MAX) -> DataFrame:
@@ -71,7 +70,7 @@ def non_game_appids(
         "tag_id", name.isin(list(non_game_tags)).alias("non_game"),
         name.isin(list(game_indicator_tags)).alias("indicator"),
     )
-    verdicts = game_tags.join(broadcast_checked(listed), "tag_id").groupBy("appid").agg(
+    verdicts = game_tags.join(listed, "tag_id").groupBy("appid").agg(
         F.bool_or(F.col("non_game") & (F.col("votes") >= min_votes)).alias("suspect"),
         F.bool_or("indicator").alias("cleared"),
     )

@@ -4,13 +4,16 @@ Each function serves the unsorted, unlimited view (the default) and, with its `t
 sorted report. KPIs per tag join games to the bridge on appid, aggregate by tag_id, and only then look
 up the tag: the dimension meets one row per tag instead of the wide join, and a popular tag is
 absorbed by the map-side combine. A KPI counts distinct games; once the keys are checked
-(`quality.check_pk`) that is the number of rows, which `assume_unique=True` makes use of.
+(`quality.check_pk`) that is the number of rows, which `assume_unique=True` makes use of. Otherwise the distinct games
+come out of the same pass as all other figures. Several KPIs in a row can share one join (`join_once`).
 
-`tags` is best a written table: it is counted to decide whether results per tag may be broadcast.
+How the dimension is joined, the planner decides from the size of the table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +23,7 @@ from tagshelf.functions.numeric import (
     wilson_lower_bound,
 )
 from tagshelf.operators.summary import summarise
-from tagshelf.sources.shared import is_small
+from tagshelf.sources.shared import write_through
 
 PLAYTIME = "average_playtime_forever"
 
@@ -34,9 +37,47 @@ def played(games: DataFrame) -> DataFrame:
     return games.filter(f"{PLAYTIME} > 0")
 
 
-def tagged(games: DataFrame, game_tags: DataFrame) -> DataFrame:
-    """One row per game and tag. No broadcast hint: both sides grow with the catalogue."""
-    return games.join(game_tags.select("appid", "tag_id"), "appid")
+def tagged(games: DataFrame, game_tags: DataFrame, assume_unique: bool = True, model: str | None = None) -> DataFrame:
+    """One row per game and tag. No broadcast hint: both sides grow with the catalogue.
+
+    Without `assume_unique` equal rows of a side are one row, and `_weight` tells how many pairs of rows it stands for;
+    `_games` is 1 on one row for each game and tag, of each value of `model` if that is given, else 0, so that its sum
+    counts distinct games. Both sides are dealt by appid once, for this as for the join.
+    """
+    pairs = game_tags.select("appid", "tag_id")
+    if assume_unique:
+        return games.join(pairs, "appid")
+    rows = games.repartition("appid").groupBy(*games.columns).agg(F.expr("count(*) AS _copies"))
+    order = model or "_copies"
+    place = f"row_number() OVER (PARTITION BY appid ORDER BY {order})"
+    before = f"lag({order}) OVER (PARTITION BY appid ORDER BY {order})"
+    first = f"CAST({place} = 1{f' OR NOT {order} <=> {before}' if model else ''} AS BIGINT) AS _games"
+    pairs = pairs.repartition("appid").groupBy("appid", "tag_id").agg(F.expr("count(*) AS _pairs_of"))
+    return rows.selectExpr("*", first).join(pairs, "appid").selectExpr(
+        *games.columns, "tag_id", "_games", "_copies * _pairs_of AS _weight"
+    )
+
+
+# What the KPIs per tag need of a game, besides its appid.
+MEASURES = [PLAYTIME, "achievements", "price_usd", "positive_reviews", "negative_reviews", "release_date_parsed"]
+
+
+def join_once(games: DataFrame, game_tags: DataFrame) -> DataFrame:
+    """The wide join with the few columns that any KPI per tag needs, computed once into the shared folder: `joined` of
+    the KPIs. Each then reads its own columns of it, and none reads the bridge. For tables whose keys are checked."""
+    return write_through(tagged(games.select("appid", *MEASURES), game_tags).select("tag_id", *MEASURES), "joined")
+
+
+def _rows(
+    population: Callable[[DataFrame], DataFrame], columns: list[str], games: DataFrame, game_tags: DataFrame,
+    assume_unique: bool, joined: DataFrame | None, model: str | None = None,
+) -> DataFrame:
+    """`columns` of the games of a population, one row per game and tag, from the shared join if there is one."""
+    if joined is None:
+        return tagged(population(games).selectExpr("appid", *columns), game_tags, assume_unique, model)
+    if not assume_unique:
+        raise ValueError("the shared join is for tables whose keys are checked")
+    return population(joined).selectExpr("tag_id", *columns)
 
 
 def top_tags(tags: DataFrame, k: int) -> DataFrame:
@@ -44,18 +85,21 @@ def top_tags(tags: DataFrame, k: int) -> DataFrame:
     return tags.orderBy(F.expr("game_count").desc_nulls_first(), "tag_name").limit(k)
 
 
-def _of_top_tags(game_tags: DataFrame, tags: DataFrame, k: int | None) -> DataFrame:
-    if k is None:
+def _of_top_tags(game_tags: DataFrame | None, tags: DataFrame, k: int | None) -> DataFrame | None:
+    if k is None or game_tags is None:
         return game_tags
     return game_tags.join(F.broadcast(top_tags(tags, k).select("tag_id")), "tag_id", "left_semi")
 
 
-def _with_games(stats: DataFrame, rows: DataFrame, keys: list[str], assume_unique: bool) -> DataFrame:
-    """Add `game_count`, the number of distinct games per group."""
+def _counted(totals: dict[str, tuple[str, str]], assume_unique: bool) -> dict:
+    """The arguments of `summarise` that add `game_count`, the number of distinct games per group."""
     if assume_unique:
-        return stats.withColumnRenamed("n", "game_count")
-    distinct = rows.groupBy(*keys).agg(F.expr("count(DISTINCT appid) AS game_count"))
-    return stats.join(distinct, keys)
+        return {"totals": totals}
+    return {"totals": {**totals, "game_count": ("rows", "_games")}, "weight": "_weight"}
+
+
+def _game_count(assume_unique: bool) -> str:
+    return "n AS game_count" if assume_unique else "game_count"
 
 
 def _named(per_tag: DataFrame, tags: DataFrame, *columns: str) -> DataFrame:
@@ -86,27 +130,25 @@ def playtime_by_tag(
     top: int | None = None,
     style: str = "view",
     assume_unique: bool = False,
+    joined: DataFrame | None = None,
 ) -> DataFrame:
     """Playtime per tag, its correlation with the achievement count, and the achievement band."""
-    rows = tagged(played(games).select("appid", PLAYTIME, "achievements"), game_tags)
-    stats = summarise(
-        rows, ["tag_id"], PLAYTIME,
-        {
-            "sum_y": ("whole", "achievements"),
-            "min_x": ("min", PLAYTIME), "max_x": ("max", PLAYTIME),
-            "min_y": ("min", "achievements"), "max_y": ("max", "achievements"),
-        },
-        pair=(PLAYTIME, "achievements"),
-        few_groups=is_small(tags),
-    )
+    columns = [PLAYTIME, "achievements"]
+    rows = _rows(played, columns, games, game_tags, assume_unique, joined)
+    totals = {
+        "sum_y": ("whole", "achievements"),
+        "min_x": ("min", PLAYTIME), "max_x": ("max", PLAYTIME),
+        "min_y": ("min", "achievements"), "max_y": ("max", "achievements"),
+    }
+    stats = summarise(rows, ["tag_id"], PLAYTIME, pair=(PLAYTIME, "achievements"), **_counted(totals, assume_unique))
     correlation = pearson("sxx", "syy", "sxy", "min_x < max_x AND min_y < max_y")
     stats = stats.selectExpr(
-        "tag_id", "n", AVG_HRS, MEDIAN_HRS,
+        "tag_id", _game_count(assume_unique), AVG_HRS, MEDIAN_HRS,
         f"{rounded_ratio('sum_y', 'n', 0)} AS avg_achievements",
         f"{rounded(correlation, 3)} AS {fv.CORRELATION_COLUMN[style]}",
         f"{achievement_band('sum_y', 'n', style)} AS achievement_band",
     )
-    counted = _with_games(stats, rows, ["tag_id"], assume_unique).filter(f"game_count >= {min_games}")
+    counted = stats.filter(f"game_count >= {min_games}")
     result = _named(counted, tags).select(
         "tag_name", "game_count", "avg_playtime_hrs", "median_playtime_hrs", "avg_achievements",
         fv.CORRELATION_COLUMN[style], "achievement_band",
@@ -116,6 +158,11 @@ def playtime_by_tag(
     return result.orderBy(F.expr("avg_playtime_hrs").desc_nulls_first(), "tag_name").limit(top)
 
 
+def _dated(rows: DataFrame, since: str, today: str) -> DataFrame:
+    day = "release_date_parsed"
+    return rows.filter(f"{day} >= DATE '{since}' AND {day} < {today}").selectExpr("*", f"year({day}) AS release_year")
+
+
 def releases_by_year_tag(
     games: DataFrame,
     game_tags: DataFrame,
@@ -124,17 +171,18 @@ def releases_by_year_tag(
     as_of=None,
     top: int | None = None,
     assume_unique: bool = False,
+    joined: DataFrame | None = None,
 ) -> DataFrame:
     """Releases per year and tag from `since` up to the day before `as_of` (today), with running totals.
 
     The running total is taken over the aggregated rows: one row per year in each window.
     """
     today = "current_date()" if as_of is None else f"DATE '{as_of}'"
-    day = "release_date_parsed"
-    dated = games.filter(f"{day} >= DATE '{since}' AND {day} < {today}").selectExpr(
-        "appid", f"year({day}) AS release_year"
-    )
-    rows = tagged(dated, _of_top_tags(game_tags, tags, top))
+    dated = _dated(games, since, today).select("appid", "release_year")
+    if joined is None:
+        rows = tagged(dated, _of_top_tags(game_tags, tags, top))
+    else:
+        rows = _of_top_tags(_dated(joined, since, today), tags, top)
     counted = "count(*)" if assume_unique else "count(DISTINCT appid)"
     yearly = rows.groupBy("tag_id", "release_year").agg(F.expr(f"{counted} AS games_released"))
     result = _named(yearly, tags, "game_count").selectExpr(
@@ -207,17 +255,17 @@ def f2p_vs_paid(
     min_games: int = fv.MIN_GAMES_PER_TAG_MODEL,
     top: int | None = None,
     assume_unique: bool = False,
+    joined: DataFrame | None = None,
 ) -> DataFrame:
     """Free against paid games per tag. With `top` only the largest tags, sorted, in the report columns."""
-    priced = _priced(games).selectExpr("appid", PLAYTIME, f"{model_of('price_usd')} AS model", APPROVAL)
-    rows = tagged(priced, _of_top_tags(game_tags, tags, top))
+    columns = [PLAYTIME, f"{model_of('price_usd')} AS model", APPROVAL]
+    rows = _rows(_priced, columns, games, _of_top_tags(game_tags, tags, top), assume_unique, _of_top_tags(joined, tags, top), "model")
     keys = ["tag_id", "model"]
-    stats = summarise(
-        rows, keys, PLAYTIME,
-        {"total_approval": ("sum", "approval"), "rated": ("count", "approval")},
-        few_groups=is_small(tags),
-    ).selectExpr(*keys, "n", AVG_HRS, MEDIAN_HRS, AVG_APPROVAL)
-    counted = _with_games(stats, rows, keys, assume_unique).filter(f"game_count >= {min_games}")
+    totals = {"total_approval": ("sum", "approval"), "rated": ("count", "approval")}
+    stats = summarise(rows, keys, PLAYTIME, **_counted(totals, assume_unique)).selectExpr(
+        *keys, _game_count(assume_unique), AVG_HRS, MEDIAN_HRS, AVG_APPROVAL
+    )
+    counted = stats.filter(f"game_count >= {min_games}")
     result = _named(counted, tags, "game_count AS tag_total_game_count").select(
         "tag_name", "tag_total_game_count", "model", "game_count", "avg_playtime_hrs",
         "median_playtime_hrs", "avg_approval_pct",
@@ -237,20 +285,21 @@ def review_scores_by_tag(
     z: float = fv.WILSON_Z,
     top: int | None = None,
     assume_unique: bool = False,
+    joined: DataFrame | None = None,
 ) -> DataFrame:
     """Approval per tag: average over games, pooled over reviews, and the Wilson lower bound."""
-    reviewed = games.selectExpr(
-        "appid", "positive_reviews AS positive", "positive_reviews + negative_reviews AS reviews", APPROVAL
-    ).filter(f"reviews >= {min_reviews}")
-    rows = tagged(reviewed, game_tags)
+    reviewed = lambda df: df.filter(f"positive_reviews + negative_reviews >= {min_reviews}")
+    columns = ["positive_reviews AS positive", "positive_reviews + negative_reviews AS reviews", APPROVAL]
+    rows = _rows(reviewed, columns, games, game_tags, assume_unique, joined)
+    times = "" if assume_unique else " * _weight"
     aggregates = [
-        "count(*) AS n", "sum(positive) AS total_positive", "sum(reviews) AS total_reviews",
-        "sum(approval) AS total_approval", "count(approval) AS rated",
+        "count(*) AS game_count" if assume_unique else "sum(_games) AS game_count",
+        f"sum(positive{times}) AS total_positive", f"sum(reviews{times}) AS total_reviews",
+        f"sum(approval{times}) AS total_approval",
+        "count(approval) AS rated" if assume_unique else "sum(CASE WHEN approval IS NOT NULL THEN _weight END) AS rated",
     ]
     stats = rows.groupBy("tag_id").agg(*[F.expr(a) for a in aggregates])
-    counted = _with_games(stats, rows, ["tag_id"], assume_unique).filter(
-        f"game_count >= {min_games} AND total_reviews >= {min_total_reviews}"
-    )
+    counted = stats.filter(f"game_count >= {min_games} AND total_reviews >= {min_total_reviews}")
     pooled = rounded_ratio(f"{whole('total_positive')} * 100", "total_reviews", 1)
     score = rounded(wilson_lower_bound("total_positive", "total_reviews", z), 2)
     result = _named(counted, tags).selectExpr(

@@ -11,7 +11,7 @@ from tagshelf.functions.coerce import (
     merge_genres_and_tags, or_empty_array, or_empty_map, strip,
 )
 from tagshelf.sources.records import COUNTS, FLAGS
-from tagshelf.sources.shared import broadcast_checked, write_through
+from tagshelf.sources.shared import write_through
 
 RENAMED = {"price": "price_usd", "positive": "positive_reviews", "negative": "negative_reviews"}
 
@@ -66,10 +66,12 @@ def build_bridge(games: DataFrame) -> DataFrame:
     """One row per (appid, tag_name) with votes: names stripped, empty ones dropped, the first one stays.
 
     Repeats inside a record go before the shuffle. Repeats across records of one appid are settled by
-    `record_ord`, the order of the records, in an aggregate that combines on the map side.
+    `record_ord`, the order of the records, in an aggregate that combines on the map side; without that column, as in
+    tables that have each appid once, by the smallest votes.
     """
-    if "record_ord" not in games.columns:
-        games = games.withColumn("record_ord", F.monotonically_increasing_id())
+    ordered = "record_ord" in games.columns
+    if not ordered:
+        games = games.withColumn("record_ord", F.lit(0))
     stripped = F.transform(
         F.map_entries("tags"), lambda e: F.struct(strip(e["key"]).alias("name"), e["value"].alias("votes"))
     )
@@ -78,7 +80,7 @@ def build_bridge(games: DataFrame) -> DataFrame:
         games.select("appid", "record_ord", named.alias("t"))
         .select("appid", "record_ord", F.explode(first_by(F.col("t"), lambda t: t["name"])).alias("t"))
         .groupBy("appid", F.col("t.name").alias("tag_name"))
-        .agg(F.min_by("t.votes", "record_ord").alias("votes"))
+        .agg((F.min_by("t.votes", "record_ord") if ordered else F.min("t.votes")).alias("votes"))
     )
 
 
@@ -122,6 +124,5 @@ def build_tags(bridge: DataFrame) -> DataFrame:
 
 
 def lookup_tag_ids(bridge: DataFrame, tags: DataFrame) -> DataFrame:
-    """Replace tag names by tag ids."""
-    ids = broadcast_checked(tags.select("tag_name", "tag_id"))
-    return bridge.join(ids, "tag_name").select("appid", "tag_id", "votes")
+    """Replace tag names by tag ids; a small written dimension is broadcast by the planner."""
+    return bridge.join(tags.select("tag_name", "tag_id"), "tag_name").select("appid", "tag_id", "votes")

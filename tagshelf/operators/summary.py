@@ -23,7 +23,16 @@ def bucket_of(value: str) -> str:
 
 def _first(name: str, how: str, value: str) -> str:
     """Aggregate over rows. A `whole` total is summed as a decimal that holds any bigint: exact at any size."""
-    return f"sum(CAST({value} AS DECIMAL(20,0))) AS {name}" if how == "whole" else f"{how}({value}) AS {name}"
+    if how == "whole":
+        return f"sum(CAST({value} AS DECIMAL(20,0))) AS {name}"
+    return f"{'sum' if how == 'rows' else how}({value}) AS {name}"
+
+
+def _weighted(name: str, how: str, weight: str) -> str:
+    """A first aggregate over rows of one weight, each counted so many times."""
+    if how in ("min", "max", "rows"):
+        return name
+    return f"{name} * CAST({weight} AS DECIMAL(18,0)) AS {name}" if how == "whole" else f"{name} * {weight} AS {name}"
 
 
 def _moments(pair: tuple[str, str]) -> list[str]:
@@ -48,7 +57,7 @@ def _merged(name: str, how: str) -> str:
     """The same aggregate over the buckets of a group; a `whole` total is added up as a decimal."""
     if how == "whole":
         return f"sum({whole(name)}) AS {name}"
-    return f"{'sum' if how == 'count' else how}({name}) AS {name}"
+    return f"{'sum' if how in ('count', 'rows') else how}({name}) AS {name}"
 
 
 def summarise(
@@ -57,10 +66,10 @@ def summarise(
     minutes: str,
     totals: dict[str, tuple[str, str]] | None = None,
     pair: tuple[str, str] | None = None,
-    few_groups: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per group: `n`, `total_minutes`, `median_minutes`, and `totals`, given by name as a pair of
-    "whole" (a sum of whole numbers), "sum", "min", "max" or "count" and the SQL it is taken of. With a `pair`
+    "whole" (a sum of whole numbers), "sum", "rows", "min", "max" or "count" and the SQL it is taken of. With a `pair`
     of numbers also `sxx`, `syy` and `sxy`, their sums of squares and products about the means.
 
     The median is found in two passes. The first counts rows per (group, bucket): it combines on the
@@ -72,22 +81,30 @@ def summarise(
     The rows are needed twice. Where they come from a shuffle join, the exchange of the large side is
     planned once and reused; bucketed tables need none.
 
-    The planner decides how the second pass looks up the groups' middle buckets; `few_groups=True` asks for a
-    broadcast where the number of groups is known to be small.
+    With a `weight`, a column of whole numbers, a row counts so many times, but in a "rows" total, which adds up its
+    value as it is. The first pass then has a row for each weight of a bucket: rows of one weight have the moments of
+    single rows, so many times over. The planner decides how the second pass looks up the groups' middle buckets.
     """
     totals = {"total_minutes": ("whole", minutes), **(totals or {})}
     by_key = f"PARTITION BY {', '.join(keys)}"
     rows = rows.selectExpr("*", f"{bucket_of(minutes)} AS _bucket")
 
-    buckets = rows.groupBy(*keys, "_bucket").agg(
+    weights = [weight] if weight else []
+    buckets = rows.groupBy(*keys, "_bucket", *weights).agg(
         F.expr("count(*) AS _n"),
         *[F.expr(_first(name, how, value)) for name, (how, value) in totals.items()],
         *[F.expr(x) for x in (_moments(pair) if pair else [])],
     )
+    if weight:
+        buckets = buckets.selectExpr(
+            *keys, "_bucket", f"_n * {weight} AS _n", *[_weighted(name, how, weight) for name, (how, _) in totals.items()],
+            *([f"{x} * {weight} AS {x}" for x in ("_pairs", "_sxx", "_syy", "_sxy")] + ["_mx", "_my"] if pair else []),
+        )
     means = [f"sum(_pairs * _m{v}) OVER ({by_key}) / nullif(sum(_pairs) OVER ({by_key}), 0) AS _g{v}" for v in "xy"]
     ranked = buckets.selectExpr(
         "*",
-        f"sum(_n) OVER ({by_key} ORDER BY _bucket ROWS UNBOUNDED PRECEDING) AS _upto",
+        f"sum(_n) OVER ({by_key} ORDER BY _bucket RANGE UNBOUNDED PRECEDING) AS _upto",
+        f"coalesce(sum(_n) OVER ({by_key} ORDER BY _bucket RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _below",
         f"sum(_n) OVER ({by_key}) AS _all",
         *(means if pair else []),
     )
@@ -95,7 +112,7 @@ def summarise(
     groups = ranked.groupBy(*keys).agg(
         F.expr("min(CASE WHEN _upto > (_all - 1) div 2 THEN _bucket END) AS _lower"),
         F.expr("min(CASE WHEN _upto > _all div 2 THEN _bucket END) AS _upper"),
-        F.expr("min(CASE WHEN _upto > (_all - 1) div 2 THEN _upto - _n END) AS _before"),
+        F.expr("min(CASE WHEN _upto > (_all - 1) div 2 THEN _below END) AS _before"),
         F.expr("sum(_n) AS n"),
         *[F.expr(_merged(name, how)) for name, (how, _) in totals.items()],
         *[F.expr(x) for x in (_MERGED_MOMENTS if pair else [])],
@@ -106,11 +123,11 @@ def summarise(
     middle = groups.selectExpr(*keys, "_lower", "_upper", carried)
 
     values = (
-        rows.select(*keys, minutes, "_bucket")
-        .join(F.broadcast(middle) if few_groups else middle, keys)
+        rows.select(*keys, minutes, "_bucket", *weights)
+        .join(middle, keys)
         .filter("_bucket = _lower OR _bucket = _upper")
         .groupBy(*keys, "_group", minutes)
-        .agg(F.expr("count(*) AS _n"))
+        .agg(F.expr(f"sum({weight}) AS _n" if weight else "count(*) AS _n"))
     )
     # The middle buckets are neighbours among the filled ones, so one running count serves both.
     so_far = f"sum(_n) OVER ({by_key} ORDER BY {minutes} ROWS UNBOUNDED PRECEDING)"

@@ -162,8 +162,9 @@ def validate(tables: Tables) -> Tables:
     return tables
 
 
-def kpis(tables: Tables, as_of=None, assume_unique: bool = False) -> dict[str, DataFrame]:
-    return kpi_views(tables, as_of, assume_unique)
+def kpis(tables: Tables, as_of=None, assume_unique: bool = False, shared: bool = False) -> dict[str, DataFrame]:
+    """The six KPIs; `shared` reads the bridge once for all of them (see `kpi_views`)."""
+    return kpi_views(tables, as_of, assume_unique, shared)
 
 
 def refresh(

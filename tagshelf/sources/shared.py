@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,15 +29,3 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
     folder = new_folder(spark, label)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
-
-
-def is_small(df: DataFrame, max_rows: int = 100_000) -> bool:
-    """Whether `df` is counted to hold at most `max_rows` rows. For dimensions that are cheap to count,
-    such as a written table or a filter on one."""
-    return df.count() <= max_rows
-
-
-def broadcast_checked(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark `df` for broadcast if it is small; otherwise leave it alone, and the join is planned as a
-    shuffle join with the skew handling of adaptive execution."""
-    return F.broadcast(df) if is_small(df, max_rows) else df

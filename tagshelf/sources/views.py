@@ -8,9 +8,17 @@ from tagshelf.operators import kpi
 from tagshelf.tables import Tables
 
 
-def kpi_views(tables: Tables, as_of=None, assume_unique: bool = False) -> dict[str, DataFrame]:
-    """The six views as lazy DataFrames. `assume_unique` is for tables that have passed `pipeline.validate`."""
+def kpi_views(
+    tables: Tables, as_of=None, assume_unique: bool = False, shared: bool = False
+) -> dict[str, DataFrame]:
+    """The six views as lazy DataFrames. `assume_unique` is for tables that have passed `pipeline.validate`.
+
+    With `shared` (and `assume_unique`) the wide join is computed once, now, for the four views per tag: for whoever
+    reads several of them. They then show the tables as they are now.
+    """
     t, unique = tables, {"assume_unique": assume_unique}
+    if shared:
+        unique["joined"] = kpi.join_once(t.games, t.game_tags)
     return {
         "v_kpi_playtime_by_tag": kpi.playtime_by_tag(t.games, t.game_tags, t.tags, **unique),
         "v_kpi_releases_by_year_tag": kpi.releases_by_year_tag(

@@ -5,6 +5,7 @@ import statistics
 
 import pytest
 
+from tagshelf import fixed_values as fv
 from tagshelf.functions import numeric, predicates
 from tagshelf.operators import audit, kpi
 from tagshelf.operators.summary import bucket_of, summarise
@@ -138,8 +139,7 @@ def test_summary_against_brute_force_with_a_hot_group(spark):
     assert got == {k: (len(v), sum(v), float(statistics.median(v))) for k, v in groups.items()}
 
 
-@pytest.mark.parametrize("few_groups", [True, False])
-def test_summary_over_the_whole_range_of_values(spark, few_groups):
+def test_summary_over_the_whole_range_of_values(spark):
     """Middle rows in one bucket, in two neighbouring and in two distant ones; zero and huge values."""
     groups = {
         "one": [5], "two": [1, 10**15], "same": [7] * 10, "edge": [31, 32, 63, 64, 2**53 - 1, 2**53],
@@ -147,7 +147,7 @@ def test_summary_over_the_whole_range_of_values(spark, few_groups):
         "close": list(range(10**6, 10**6 + 1001)),
     }
     df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, m long")
-    got = {r.k: r.median_minutes for r in summarise(df, ["k"], "m", few_groups=few_groups).collect()}
+    got = {r.k: r.median_minutes for r in summarise(df, ["k"], "m").collect()}
     assert got == {k: float(statistics.median(v)) for k, v in groups.items()}
 
 
@@ -206,3 +206,44 @@ def test_predicates(spark):
 def test_votes_filter(make):  # noqa: F811
     t = make([game(1), game(2), game(3)], [(1, "A", 3), (2, "B", 1)], [(1, 1, 5), (2, 1, 6), (3, 2, 9)])
     assert [r.appid for r in audit.tag_votes_over(t.games, t.game_tags, t.tags, "A", 5).collect()] == [2]
+
+
+def test_repeated_rows_count_as_often_as_they_meet(spark):
+    """Without checked keys: rows of games and bridge that repeat, against a plain join and plain aggregates."""
+    random.seed(9)
+    games = [(i, random.choice([0, 5, 60, 600, 10**9 + i]), random.randint(0, 50), random.choice([0.0, 5.0, None]),
+              random.randint(0, 40), random.randint(0, 40), None) for i in range(60)]
+    games += games[:20] * 3 + [(i, 77, 7, 9.0, 30, 3, None) for i in range(10)]
+    bridge = [(i, t, 1) for i in range(60) for t in range(4) if random.random() < 0.6]
+    bridge += bridge[:50] * 2
+    schema = "appid long, average_playtime_forever long, achievements long, price_usd double, positive_reviews long, negative_reviews long, release_date_parsed date"
+    g, b = spark.createDataFrame(games, schema), spark.createDataFrame(bridge, "appid long, tag_id long, votes long")
+    tags = spark.createDataFrame([(t, f"T{t}", 1) for t in range(4)], "tag_id long, tag_name string, game_count long")
+    met = [(t, x) for x in games for (i, t, _) in bridge if i == x[0]]
+    got = {r.tag_name: r for r in kpi.playtime_by_tag(g, b, tags, min_games=1).collect()}
+    for t in range(4):
+        own = [x for tag, x in met if tag == t and x[1] > 0]
+        r = got[f"T{t}"]
+        assert r.game_count == len({x[0] for x in own})
+        assert r.median_playtime_hrs == pytest.approx(round(statistics.median(x[1] for x in own) / 60, 1), abs=0.051)
+        assert r.avg_playtime_hrs == pytest.approx(round(sum(x[1] for x in own) / len(own) / 60, 1), abs=0.051)
+        assert r.avg_achievements == pytest.approx(sum(x[2] for x in own) / len(own), abs=0.51)
+        xs, ys = [x[1] for x in own], [x[2] for x in own]
+        assert r.playtime_achievements_corr == pytest.approx(statistics.correlation(xs, ys), abs=0.00051)
+    got = {(r.tag_name, r.model): r for r in kpi.f2p_vs_paid(g, b, tags, min_games=1).collect()}
+    for (t, model), r in got.items():
+        own = [x for tag, x in met if f"T{tag}" == t and x[1] > 0 and x[3] is not None and (x[3] == 0) == (model == fv.FREE_MODEL)]
+        rated = [100 * x[4] / (x[4] + x[5]) for x in own if x[4] + x[5]]
+        assert r.game_count == len({x[0] for x in own})
+        assert r.median_playtime_hrs == pytest.approx(statistics.median(x[1] for x in own) / 60, abs=0.051)
+        assert r.avg_approval_pct == pytest.approx(sum(rated) / len(rated), abs=0.051)
+    for r in kpi.review_scores_by_tag(g, b, tags, min_games=1, min_total_reviews=1).collect():
+        own = [x for tag, x in met if f"T{tag}" == r.tag_name and x[4] + x[5] >= 10]
+        assert r.game_count == len({x[0] for x in own}) and r.total_reviews == sum(x[4] + x[5] for x in own)
+        assert r.avg_approval_pct == pytest.approx(sum(100 * x[4] / (x[4] + x[5]) for x in own) / len(own), abs=0.051)
+
+
+def test_the_shared_join_needs_checked_keys(spark):
+    games = spark.createDataFrame([], "appid long, average_playtime_forever long, achievements long")
+    with pytest.raises(ValueError, match="keys are checked"):
+        kpi.playtime_by_tag(games, games, games, joined=games)

@@ -6,8 +6,9 @@ import pytest
 
 import __spark_entry__ as entry
 from tagshelf.operators import clean, kpi
+from tagshelf.plans import pipeline
 from tagshelf.sources.publish import load_tables, publish
-from tagshelf.sources.shared import broadcast_checked, new_folder
+from tagshelf.sources.shared import new_folder
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -85,9 +86,28 @@ def test_top_k_is_no_global_sort(spark):
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
 
 
-def test_broadcast_only_below_the_checked_size(spark):
-    assert "ResolvedHint" in broadcast_checked(spark.range(5), 5)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_checked(spark.range(6), 5)._jdf.queryExecution().analyzed().toString()
+def test_distinct_games_need_no_join_of_their_own(spark, no_broadcast):
+    t = entry.ready(spark, SF_DIR)
+    for view in (kpi.playtime_by_tag, kpi.f2p_vs_paid):
+        text = final_plan(view(t.games, t.game_tags, t.tags))
+        assert text.count("SortMergeJoin [appid") == 2
+        # Games and bridge once; the second pass reads the same exchanges.
+        assert len(re.findall(r"- Exchange hashpartitioning\(appid", text)) == 2
+        assert len(re.findall(r"ReusedExchange \[appid", text)) == 2
+    text = final_plan(kpi.review_scores_by_tag(t.games, t.game_tags, t.tags))
+    assert text.count("SortMergeJoin [appid") == 1
+
+
+def test_six_views_read_the_bridge_once(spark, no_broadcast):
+    t = entry.ready(spark, SF_DIR)
+    views = pipeline.kpis(t, as_of=entry.AS_OF, assume_unique=True, shared=True)
+    bridge = next(f for f in t.game_tags.inputFiles()).rsplit("/", 1)[0]
+    for name, df in views.items():
+        text = plan(df)
+        assert "Join [appid" not in text and bridge not in text
+    alone = pipeline.kpis(t, as_of=entry.AS_OF, assume_unique=True)
+    for name, df in views.items():
+        assert sorted(map(str, df.collect())) == sorted(map(str, alone[name].collect()))
 
 
 def test_candidates_need_one_shuffle_of_the_bridge(spark, no_broadcast):
