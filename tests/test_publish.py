@@ -1,12 +1,22 @@
 """Snapshots, views and the full reload."""
 
+import datetime
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
+from unittest import mock
+
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from tagshelf.fixed_values import VIEW_NAMES
-from tagshelf.operators import kpi
+from tagshelf.operators import kpi, quality
 from tagshelf.plans import pipeline
 from tagshelf.sources import views
-from tagshelf.sources.publish import current_run, load_tables, publish, write_layout
+from tagshelf.sources.layout import CLUSTERED_BY, clustered, having_all, postings, range_bounds
+from tagshelf.sources.publish import (
+    _commit, current_run, load_postings, load_statistics, load_tables, publish, published, table_path, write_layout,
+)
 from tagshelf.tables import Tables
 from tests.test_clean import game, make, rows  # noqa: F401
 from tests.test_ingest import record, write_object
@@ -84,3 +94,115 @@ def test_full_reload(spark, tmp_path):
     assert kpi.review_scores_by_tag(t.games, t.game_tags, t.tags).count() == 3
     pipeline.refresh(spark, source, root, "object", remove=False)
     assert load_tables(spark, root).games.count() == 41
+
+
+def test_two_publishers_at_once_lose_nothing(spark, tmp_path, tables):
+    root = str(tmp_path)
+    with ThreadPoolExecutor(4) as pool:
+        runs = list(pool.map(lambda i: publish(tables, root, run_id=f"run{i}"), range(4)))
+    log = published(spark, root).orderBy("number").collect()
+    assert [r["number"] for r in log] == [1, 2, 3, 4] and {r["run_id"] for r in log} == set(runs)
+    assert current_run(spark, root) == log[-1]["run_id"]
+    taken = {"run_id": "late", "games": 0}
+    # A writer that has read the log before others have written takes the next free number.
+    with mock.patch("tagshelf.sources.publish._last_number", return_value=1):
+        assert _commit(spark, root, taken) == 5
+    assert published(spark, root).filter("run_id = 'late' AND number = 5").count() == 1
+
+
+def row_groups(folder, column, low, high):
+    """Row groups of a table, and those whose statistics leave a value between the bounds possible."""
+    every = may = 0
+    for path in Path(folder).glob("*.parquet"):
+        meta = pq.ParquetFile(path).metadata
+        at = meta.schema.names.index(column) if column in meta.schema.names else None
+        for g in range(meta.num_row_groups):
+            stats = meta.row_group(g).column(at).statistics
+            every += 1
+            may += stats is None or not stats.has_min_max or (stats.min <= high and stats.max >= low)
+    return every, may
+
+
+@pytest.fixture(scope="module")
+def laid_out(spark, tmp_path_factory):
+    """20,000 games, a third of them free and a quarter played, in a laid-out snapshot of many files."""
+    games = spark.range(20_000).selectExpr(
+        "id AS appid", "date_add(DATE '2000-01-01', int(hash(id, 1) % 3000)) AS release_date_parsed",
+        "CASE WHEN id % 3 = 0 THEN 0.0D WHEN id % 50 = 1 THEN NULL ELSE abs(hash(id, 2)) % 6000 / 100D END AS price_usd",
+        "CASE WHEN id % 4 <> 0 THEN 0L ELSE 1 + abs(hash(id, 3)) % 5000 END AS average_playtime_forever",
+        "id % 7 AS positive_reviews", "id % 5 AS negative_reviews",
+        "array(concat('g', abs(hash(id, 4)) % 40), concat('g', abs(hash(id, 5)) % 40), 'all') AS genres_and_tags",
+    )
+    bridge = spark.range(60_000).selectExpr("id % 20000 AS appid", "abs(hash(id, 6)) % 60 AS tag_id", "1L AS votes").distinct()
+    tags = spark.range(60).selectExpr("id AS tag_id", "concat('T', id) AS tag_name", "1L AS game_count")
+    root = str(tmp_path_factory.mktemp("laid-out"))
+    spark.conf.set("spark.sql.shuffle.partitions", "256")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        publish(Tables(games, tags, bridge), root, layout=True, analyze=True)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    run = current_run(spark, root)
+    return root, lambda name: table_path(root, run, name)
+
+
+@pytest.mark.parametrize(
+    "table, column, low, high",
+    [
+        ("games", "release_date_parsed", datetime.date(2003, 1, 1), datetime.date(2003, 1, 31)),
+        ("games", "price_usd", 20.0, 21.0), ("games", "average_playtime_forever", 4_900, 5_000),
+        ("game_tags", "tag_id", 17, 17), ("genre_lists", "value", "g7", "g7"),
+    ],
+)
+def test_each_access_path_reads_few_row_groups(laid_out, table, column, low, high):
+    every, may = row_groups(laid_out[1](table), column, low, high)
+    assert every >= 40 and 0 < may < every / 3
+
+
+def test_played_and_active_games_lie_together(spark, laid_out):
+    every, may = row_groups(laid_out[1]("games"), "average_playtime_forever", 1, 10**9)
+    assert 0 < may < every / 3
+    active = spark.read.parquet(laid_out[1]("games")).groupBy(F.input_file_name()).agg(
+        F.count_if(quality.is_active()).alias("active"), F.count("*").alias("n")
+    )
+    assert active.filter("active > 0 AND active < n").count() <= 2
+
+
+def test_a_layout_loses_no_row(spark, laid_out):
+    t = load_tables(spark, laid_out[0])
+    assert t.games.count() == 20_000 and t.games.agg(F.countDistinct("appid")).first()[0] == 20_000
+    lists = load_postings(spark, laid_out[0])
+    for values in (["g3"], ["g3", "g4"], ["all", "g5"], ["g3", "none"]):
+        got = having_all(t.games, lists, values, "appid").select("appid")
+        wanted = t.games.filter(" AND ".join(f"array_contains(genres_and_tags, '{v}')" for v in values)).select("appid")
+        assert sorted(got.collect()) == sorted(wanted.collect())
+
+
+def test_layouts_of_odd_tables(spark, tmp_path):
+    schema = "appid long, release_date_parsed date, price_usd double, average_playtime_forever long, genres_and_tags array<string>"
+    empty = spark.createDataFrame([], schema)
+    same = spark.createDataFrame([(i, None, 5.0, 0, None if i % 2 else []) for i in range(50)], schema)
+    for df in (empty, same):
+        assert clustered(df, CLUSTERED_BY, "appid").count() == df.count()
+        assert postings(df, "genres_and_tags", "appid").count() == 0
+    assert range_bounds(empty, CLUSTERED_BY)["price_usd"] == []
+
+
+def test_statistics_of_a_snapshot(spark, laid_out):
+    games = load_tables(spark, laid_out[0]).games
+    got = {(r["table_name"], r["column_name"]): r for r in load_statistics(spark, laid_out[0]).collect()}
+    price = got["games", "price_usd"]
+    assert (price["n_rows"], price["n_null"]) == (20_000, games.filter("price_usd IS NULL").count())
+    assert (price["min_value"], price["deciles"][0], len(price["deciles"])) == ("0.0", 0.0, 9)
+    assert abs(got["games", "appid"]["n_distinct"] - 20_000) < 1_000 and got["tags", "tag_name"]["n_distinct"] == 60
+    assert got["games", "genres_and_tags"]["n_distinct"] is None
+
+
+def test_what_a_snapshot_does_not_have(spark, tmp_path, tables):
+    publish(tables, str(tmp_path))
+    for load in (load_postings, load_statistics):
+        with pytest.raises(FileNotFoundError):
+            load(spark, str(tmp_path))
+    with pytest.raises(ValueError):
+        publish(tables, str(tmp_path), buckets=2, layout=True)
