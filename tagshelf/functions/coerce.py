@@ -98,12 +98,19 @@ def coerce_flag(value: Column, absent: bool = True) -> Column:
 
 def dict_entries(m: Column) -> Column:
     """Entries of a map as an array of (key, value): a repeated key keeps its first place and last value."""
-    keys, values = F.map_keys(m), F.map_values(m)
-    last = lambda k: (F.size(keys) - F.array_position(F.reverse(keys), k)).cast("int")
-    settled = F.transform(
-        F.array_distinct(keys), lambda k: F.struct(k.alias("key"), F.get(values, last(k)).alias("value"))
+    # Sorted by key and place, a key's entries are a run: its head has the first place, its tail the last value.
+    ordered = F.array_sort(F.transform(F.map_entries(m), lambda e, i: F.struct(e["key"].alias("k"), i.alias("i"), e["value"].alias("v"))))
+    settled = let(
+        ordered,
+        lambda es: F.zip_with(
+            F.filter(es, lambda e, i: (i == 0) | (e["k"] != F.get(es, i - 1)["k"])),
+            F.filter(es, lambda e, i: (i == F.size(es) - 1) | (e["k"] != F.get(es, i + 1)["k"])),
+            lambda head, tail: F.struct(head["i"].alias("i"), F.struct(head["k"].alias("key"), tail["v"].alias("value")).alias("e")),
+        ),
     )
-    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_entries(m)).otherwise(settled)
+    keys = F.map_keys(m)
+    in_place = F.transform(F.array_sort(settled), lambda x: x["e"])
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_entries(m)).otherwise(in_place)
 
 
 def strip(text: Column) -> Column:
@@ -112,16 +119,14 @@ def strip(text: Column) -> Column:
 
 
 def first_by(items: Column, key: Callable[[Column], Column]) -> Column:
-    """The first item of each key, in order of appearance."""
-    return let(
-        items,
-        lambda xs: let(
-            F.transform(xs, key),
-            lambda ks: F.transform(
-                F.array_distinct(ks), lambda k: F.get(xs, (F.array_position(ks, k) - 1).cast("int"))
-            ),
-        ),
+    """The first item of each key, in order of appearance. Sorted by key and place, the first of a key is the head of a
+    run; the work grows as that of sorting, however long the list."""
+    placed = F.transform(items, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x")))
+    heads = let(
+        F.array_sort(placed), lambda xs: F.filter(xs, lambda x, i: (i == 0) | (x["k"] != F.get(xs, i - 1)["k"]))
     )
+    in_place = F.array_sort(F.transform(heads, lambda x: F.struct(x["i"].alias("i"), x["x"].alias("x"))))
+    return F.transform(in_place, lambda x: x["x"])
 
 
 def merge_genres_and_tags(categories: Column, tag_names: Column) -> Column:

@@ -14,7 +14,7 @@ from tagshelf.operators import clean as cleaning
 from tagshelf.operators import quality, shaping
 from tagshelf.sources.publish import publish
 from tagshelf.sources.records import COUNTS, FLAGS, read_games
-from tagshelf.sources.shared import write_through
+from tagshelf.sources.shared import temporary_steps, write_through
 from tagshelf.sources.views import kpi_views
 from tagshelf.tables import PRIMARY_KEYS, Tables
 
@@ -102,32 +102,46 @@ def clean_games(games: DataFrame) -> DataFrame:
     return cleaning.drop_zero_engagement(cleaning.parse_dates(priced))
 
 
-def clean(tables: Tables, assume_unique: bool = False) -> Tables:
+def clean(tables: Tables, assume_unique: bool = False, report: dict | None = None) -> Tables:
     """Clean the games, and bring bridge and tags in line, whether non-games are removed later or not."""
-    return _in_line(tables._replace(games=clean_games(tables.games)), assume_unique)
+    cleaned = tables._replace(games=clean_games(tables.games))
+    _count_clean(cleaned, report)
+    return _in_line(cleaned, assume_unique)
 
 
 def remove_non_games(
-    tables: Tables, max_rows: int | None = fv.MAX_NON_GAME_ROWS, assume_unique: bool = False, **rules
+    tables: Tables, max_rows: int | None = fv.MAX_NON_GAME_ROWS, assume_unique: bool = False, report: dict | None = None,
+    **rules,
 ) -> Tables:
-    """Remove the non-game candidates everywhere, unless there are more than `max_rows` of them (None: no limit).
+    """Remove the non-game candidates everywhere, unless there are more than `max_rows` of them (None: no limit). Their
+    number goes into `report`.
 
     The candidates are computed once. Their written size tells the planner whether to broadcast them.
     """
     candidates = write_through(
         cleaning.non_game_appids(tables.games, tables.game_tags, tables.tags, **rules), "non_games"
     )
-    cleaning.guard_max_rows(candidates, max_rows)
+    n = cleaning.guard_max_rows(candidates, max_rows)
+    if report is not None:
+        report["non_game_rows"] = n
     return _in_line(tables._replace(games=cleaning.anti(tables.games, candidates, "appid")), assume_unique)
 
 
 def clean_and_remove(
-    tables: Tables, max_rows: int | None = fv.MAX_NON_GAME_ROWS, assume_unique: bool = False, **rules
+    tables: Tables, max_rows: int | None = fv.MAX_NON_GAME_ROWS, assume_unique: bool = False, report: dict | None = None,
+    **rules,
 ) -> Tables:
     """`clean` and `remove_non_games` in one: a verdict on a game needs only its own bridge rows, so
     the bridge is brought in line once, at the end."""
     cleaned = tables._replace(games=clean_games(tables.games))
-    return remove_non_games(cleaned, max_rows, assume_unique, **rules)
+    _count_clean(cleaned, report)
+    return remove_non_games(cleaned, max_rows, assume_unique, report, **rules)
+
+
+def _count_clean(cleaned: Tables, report: dict | None) -> None:
+    """The rows that are left after cleaning, before any removal, go into `report`: a pass over the few columns that decide."""
+    if report is not None:
+        report["clean_rows"] = cleaned.games.count()
 
 
 def _in_line(tables: Tables, assume_unique: bool) -> Tables:
@@ -178,11 +192,17 @@ def refresh(
     max_rows: int | None = fv.MAX_NON_GAME_ROWS,
     buckets: int | None = None,
     report: dict | None = None,
+    clustered: bool = False,
+    analyze: bool = False,
 ) -> str:
     """A full reload: load, clean, optionally remove non-games, check and publish. Returns the run id.
 
-    The loader makes each (appid, tag) once, so games per tag are counted as rows.
+    Everything that was written on the way is gone when the run ends or fails; what is published stays. `report` gets
+    what was dropped or softened while loading, `clean_rows` after cleaning, `non_game_rows` that were removed, and
+    `published_games`, `published_tags` and `published_game_tags`. The loader makes each (appid, tag) once, so games per
+    tag are counted as rows. `clustered` and `analyze` are `layout` and `analyze` of `publish`.
     """
-    tables = load(spark, path, layout, report=report)
-    tables = clean_and_remove(tables, max_rows, True) if remove else clean(tables, True)
-    return publish(tables, root, validate=validate, buckets=buckets)
+    with temporary_steps(spark, "refresh"):
+        tables = load(spark, path, layout, report=report)
+        tables = clean_and_remove(tables, max_rows, True, report) if remove else clean(tables, True, report)
+        return publish(tables, root, validate=validate, buckets=buckets, layout=clustered, analyze=analyze, report=report)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,8 +18,28 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_steps: ContextVar[str | None] = ContextVar("steps", default=None)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/tagshelf/{label}-{uuid.uuid4().hex}"
+    """A folder of its own for a step: among the steps of the run that is under way, if there is one."""
+    return f"{_steps.get() or f'{shared_dir(spark)}/tagshelf'}/{label}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def temporary_steps(spark: SparkSession, label: str = "run") -> Iterator[str]:
+    """Steps that are written inside have one folder, which goes when the run ends or fails.
+
+    A result that is read from steps must be written elsewhere, or collected, before that.
+    """
+    folder = new_folder(spark, label)
+    token = _steps.set(folder)
+    try:
+        yield folder
+    finally:
+        _steps.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def write_through(df: DataFrame, label: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Snapshots, views and the full reload."""
 
 import datetime
+import os
 from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 from unittest import mock
@@ -13,6 +14,7 @@ from tagshelf.fixed_values import VIEW_NAMES
 from tagshelf.operators import kpi, quality
 from tagshelf.plans import pipeline
 from tagshelf.sources import views
+from tagshelf.sources.shared import shared_dir
 from tagshelf.sources.layout import CLUSTERED_BY, clustered, having_all, postings, range_bounds
 from tagshelf.sources.publish import (
     _commit, current_run, load_postings, load_statistics, load_tables, publish, published, table_path, write_layout,
@@ -87,7 +89,16 @@ def test_full_reload(spark, tmp_path):
     records.append(("100", record(name="Editor", tags={"Utilities": 7})))
     source, root = write_object(tmp_path, records), str(tmp_path / "out")
     report = {}
+    os.makedirs(f"{shared_dir(spark)}/tagshelf", exist_ok=True)
+    left = lambda: set(os.listdir(f"{shared_dir(spark)}/tagshelf"))
+    before = left()
     pipeline.refresh(spark, source, root, "object", report=report)
+    assert left() == before
+    assert (report["clean_rows"], report["non_game_rows"], report["published_games"]) == (41, 1, 40)
+    assert (report["published_tags"], report["published_game_tags"]) == (3, 80)
+    with pytest.raises(ValueError, match="rows would be removed"):
+        pipeline.refresh(spark, source, root, "object", max_rows=0)
+    assert left() == before and published(spark, root).count() == 1
     t = load_tables(spark, root)
     assert (report["records"], t.games.count(), t.game_tags.count()) == (41, 40, 80)
     assert rows(t.tags.select("tag_name", "game_count")) == [("Indie", 40), ("T0", 20), ("T1", 20)]
