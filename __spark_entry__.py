@@ -9,6 +9,7 @@ snapshot pays for it. `bench.py` reports that time on its own.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,8 @@ from tagshelf.functions import coerce, numeric, predicates
 from tagshelf.operators import audit, clean, kpi, quality, shaping
 from tagshelf.plans import pipeline
 from tagshelf.sources import star
-from tagshelf.sources.publish import load_tables, publish, write_layout
+from tagshelf.sources.layout import having_all
+from tagshelf.sources.publish import load_postings, load_tables, publish, write_layout
 from tagshelf.sources.shared import new_folder
 from tagshelf.sources.views import create_views, list_views
 from tagshelf.tables import Tables
@@ -28,7 +30,9 @@ from tagshelf_oracle import SQL
 try:
     import corpus_pipeline
     from tagshelf.llm import queries as corpus
-except ImportError:  # the corpus operators are an optional part
+except ModuleNotFoundError as e:  # the corpus operators are an optional part; a broken one is an error
+    if e.name not in ("corpus_pipeline", "tagshelf.llm"):
+        raise
     corpus = corpus_pipeline = None
 
 AS_OF = "2026-01-01"
@@ -380,15 +384,81 @@ def v_playtime_by_tag_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per table and sums over the keys of the current snapshot."""
+    """Rows per table of the current snapshot, sums over its keys, and over a hash of all columns of each row."""
     t = ready(spark, sf_dir)
-    parts = [
-        df.agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"), F.sum(key).alias("key_sum"))
-        for name, df, key in (("games", t.games, "appid"), ("tags", t.tags, "tag_id"), ("game_tags", t.game_tags, "appid"))
-    ]
+    cents = F.round(F.col("price_usd") * 100).cast("bigint").alias("price_usd")
+    games = t.games.withColumns({"price_usd": cents, "genres_and_tags": F.array_join("genres_and_tags", "/")})
+    parts = []
+    for name, df, key in (("games", games, "appid"), ("tags", t.tags, "tag_id"), ("game_tags", t.game_tags, "appid")):
+        columns = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(df.columns)]
+        digest = F.conv(F.substring(F.md5(F.concat_ws("|", *columns)), 1, 8), 16, 10).cast("bigint")
+        parts.append(df.agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("n_rows"), F.sum(key).alias("key_sum"), F.sum(digest).alias("digest")
+        ))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+# --- layouts, statistics, whole runs --------------------------------------------------------------
+
+
+def laid_out(spark: SparkSession, sf_dir: str) -> tuple[Tables, DataFrame]:
+    """The catalogue in a snapshot that is laid out for filters, and the lists of games by genre."""
+    key = (spark.sparkContext.applicationId, sf_dir, "laid-out")
+    if key not in _snapshots:
+        root = new_folder(spark, "laid-out")
+        publish(ready(spark, sf_dir), root, layout=True)
+        _snapshots[key] = load_tables(spark, root), load_postings(spark, root)
+    return _snapshots[key]
+
+
+def layout_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bridge rows of one tag, from the ranges that have it."""
+    t, _ = laid_out(spark, sf_dir)
+    tag_id = t.tags.filter(F.col("tag_name") == "PROMO").first()["tag_id"]
+    return t.game_tags.filter(F.col("tag_id") == tag_id).select("appid", "votes")
+
+
+def layout_filtered(condition: str, *columns: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: laid_out(spark, sf_dir)[0].games.filter(condition).select("appid", *columns)
+
+
+def layout_by_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games whose list has two values, found through the lists of games by value."""
+    t, lists = laid_out(spark, sf_dir)
+    return having_all(t.games, lists, ["1-URGENT", "F"], "appid").select("appid", "price_usd")
+
+
+def column_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, nulls, different values, minimum and maximum of the columns of the current snapshot."""
+    t = ready(spark, sf_dir)
+    kept = quality.statistics(t).join(quality.exact_distinct(t).withColumnRenamed("n_distinct", "exact"), ["table_name", "column_name"])
+    return kept.select("table_name", "column_name", "n_rows", "n_null", F.col("exact").alias("n_distinct"), "min_value", "max_value")
+
+
+def kpi_rows(t: Tables) -> DataFrame:
+    """The names of the views as they are listed, with the number of rows of each, all from one shared join."""
+    spark = t.games.sparkSession
+    found = pipeline.kpis(t, as_of=AS_OF, assume_unique=True, shared=True)
+    for name, df in found.items():
+        df.createOrReplaceTempView(name)
+    counted = [df.agg(F.lit(name).alias("view_name"), F.count("*").alias("n_rows")) for name, df in found.items()]
+    return list_views(spark).withColumnRenamed("viewName", "view_name").join(reduce(DataFrame.unionByName, counted), "view_name")
+
+
+def audit_rows(t: Tables) -> DataFrame:
+    """The whole audit: the number of rows of each of its parts."""
+    found = pipeline.audit(t, **RULES)
+    counted = [df.agg(F.lit(name).alias("part"), F.count("*").alias("n_rows")) for name, df in found.items()]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def bridge_checked(t: Tables) -> DataFrame:
+    """The bridge, after the check that it is not empty."""
+    maps = _tag_maps(t)
+    bridge = shaping.require_non_empty(shaping.build_bridge(maps), maps)
+    return shaping.lookup_tag_ids(bridge, t.tags).select("appid", "tag_id", "votes")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Playtime per tag on the smallest catalogue."""
     return queries()["v_playtime_by_tag"](spark, "/root/testdata/sf0.001")
@@ -455,6 +525,16 @@ def catalogue_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "orders_without_lines": orders_without_lines,
         "cascade_delete": on_loaded(cascade_delete),
         "layout_active_games": on_ready(layout_active_games),
+        "layout_by_tag": layout_by_tag,
+        "layout_by_date": layout_filtered("release_date_parsed BETWEEN DATE '1997-03-01' AND DATE '1997-04-30'", "release_date_parsed"),
+        "layout_by_price": layout_filtered("price_usd BETWEEN 20 AND 25", "price_usd"),
+        "layout_by_playtime": layout_filtered("average_playtime_forever > 2000", "average_playtime_forever"),
+        "layout_by_genres": layout_by_genres,
+        "column_statistics": column_statistics,
+        "kpi_rows": on_ready(kpi_rows),
+        "audit_rows": on_loaded(audit_rows),
+        "bridge_checked": on_loaded(bridge_checked),
+        "f2p_summary_ordered": on_ready(lambda t: kpi.f2p_vs_paid_summary(t.games, ordered=True)),
         "drop_junk": on_loaded(drop_junk),
         "drop_test_documents": drop_test_documents,
         "bridge_build": on_loaded(bridge_build),

@@ -86,6 +86,22 @@ def on(ctes: str, query: str) -> str:
     return f"WITH {ctes.strip()}\n{query.strip()}"
 
 
+def once(ctes: str) -> str:
+    """Each table expression computed a single time."""
+    return ctes.replace(" AS (\n", " AS MATERIALIZED (\n").replace("gt0 AS (", "gt0 AS MATERIALIZED (")
+
+
+def digest(*columns: str) -> str:
+    """Sum over the rows of the first 32 bits of a hash of all columns, in the order of their names."""
+    text = "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns) + ")"
+    return f"CAST(sum(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)) AS BIGINT) AS digest"
+
+
+GAME_COLUMNS = [
+    "appid", "name", "release_date", "price_usd", "achievements", "positive_reviews", "negative_reviews",
+    "average_playtime_forever", "median_playtime_forever", "peak_ccu", "release_date_parsed",
+]
+
 AVG_HRS = r("sum(average_playtime_forever) / (count(*) * 60)", 1) + " AS avg_playtime_hrs"
 MEDIAN_HRS = r("median(average_playtime_forever) / 60", 1) + " AS median_playtime_hrs"
 APPROVAL = (
@@ -274,12 +290,20 @@ SELECT appid, CASE WHEN price_usd BETWEEN 0 AND 999 THEN price_usd END AS price_
 SELECT appid, name, price_usd, release_date_parsed, average_playtime_forever FROM games1"""),
     "removed_games": on(CLEANED + ",\n" + CAND1, """
 SELECT appid, name FROM games1 WHERE appid NOT IN (SELECT appid FROM cand1)"""),
-    "pruned_bridge": on(CLEANED + ",\n" + CAND1, """
-SELECT appid, tag_id, votes FROM gt0
-WHERE EXISTS (SELECT 1 FROM games1 g WHERE g.appid = gt0.appid)
-  AND NOT EXISTS (SELECT 1 FROM cand1 c WHERE c.appid = gt0.appid)"""),
-    "pruned_tags": on(LOADED + WITHOUT_PARTS, """
-SELECT tag_id, tag_name FROM tags0 WHERE EXISTS (SELECT 1 FROM remaining r WHERE r.tag_id = tags0.tag_id)"""),
+    # Each step computed once, and joins on different keys instead of subqueries for each row.
+    "pruned_bridge": on(once(CLEANED) + """,
+gone AS MATERIALIZED (
+  SELECT appid FROM gt0 JOIN tags0 USING (tag_id) GROUP BY appid
+  HAVING bool_or(tag_name IN ('PROMO', 'ECONOMY') AND votes >= 5)
+     AND NOT bool_or(tag_name IN (SELECT 'Brand#' || CAST(i AS VARCHAR) FROM range(1, 13) r(i)))),
+left_over AS MATERIALIZED (SELECT appid FROM games1 EXCEPT SELECT appid FROM gone)""", """
+SELECT appid, tag_id, votes FROM gt0 JOIN left_over USING (appid)"""),
+    "pruned_tags": on(once(LOADED) + """,
+removed AS MATERIALIZED (
+  SELECT DISTINCT appid FROM gt0 JOIN tags0 USING (tag_id) WHERE tag_name IN ('Brand#11', 'Brand#21')),
+kept AS MATERIALIZED (SELECT appid FROM games0 EXCEPT SELECT appid FROM removed),
+used AS MATERIALIZED (SELECT DISTINCT tag_id FROM gt0 JOIN kept USING (appid))""", """
+SELECT tag_id, tag_name FROM tags0 JOIN used USING (tag_id)"""),
     "recounted_tags": on(LOADED + WITHOUT_PARTS, """
 SELECT tag_id, tag_name, coalesce(n, 0) AS game_count
 FROM tags0 LEFT JOIN (SELECT tag_id, count(DISTINCT appid) AS n FROM remaining GROUP BY tag_id) USING (tag_id)"""),
@@ -334,9 +358,48 @@ SELECT event_id, CAST(trunc(v) AS BIGINT) AS key, v AS as_double, CAST(trunc(v)
 FROM (SELECT *, TRY_CAST(trim(text) AS DOUBLE) AS v FROM t) WHERE v IS NOT NULL"""),
     "ingest_ndjson": on(LOADED, INGESTED),
     "ingest_object": on(LOADED, INGESTED),
-    "publish_roundtrip": on(READY, """
-SELECT 'games' AS table_name, count(*) AS n_rows, CAST(sum(appid) AS BIGINT) AS key_sum FROM games2
-UNION ALL SELECT 'tags', count(*), CAST(sum(tag_id) AS BIGINT) FROM tags2
-UNION ALL SELECT 'game_tags', count(*), CAST(sum(appid) AS BIGINT) FROM gt2"""),
+    "publish_roundtrip": on(READY, f"""
+SELECT 'games' AS table_name, count(*) AS n_rows, CAST(sum(appid) AS BIGINT) AS key_sum, {digest(
+    "achievements", "appid", "average_playtime_forever", "replace(genres_and_tags, '|', '/')", "median_playtime_forever", "name",
+    "negative_reviews", "peak_ccu", "positive_reviews", "CAST(round(price_usd * 100) AS BIGINT)", "release_date", "release_date_parsed")}
+FROM games2
+UNION ALL SELECT 'tags', count(*), CAST(sum(tag_id) AS BIGINT), {digest("game_count", "tag_id", "tag_name")} FROM tags2
+UNION ALL SELECT 'game_tags', count(*), CAST(sum(appid) AS BIGINT), {digest("appid", "tag_id", "votes")} FROM gt2"""),
+    "layout_by_tag": on(READY, "SELECT appid, votes FROM gt2 JOIN tags2 USING (tag_id) WHERE tag_name = 'PROMO'"),
+    "layout_by_date": on(READY, """
+SELECT appid, release_date_parsed FROM games2 WHERE release_date_parsed BETWEEN DATE '1997-03-01' AND DATE '1997-04-30'"""),
+    "layout_by_price": on(READY, "SELECT appid, price_usd FROM games2 WHERE price_usd BETWEEN 20 AND 25"),
+    "layout_by_playtime": on(READY, """
+SELECT appid, average_playtime_forever FROM games2 WHERE average_playtime_forever > 2000"""),
+    "layout_by_genres": on(READY, "SELECT appid, price_usd FROM games2 WHERE genres_and_tags = '1-URGENT|F'"),
+    "column_statistics": on(READY, "\nUNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, "
+        f"count(DISTINCT {c}) AS n_distinct, CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM {source}"
+        for table, source, columns in (
+            ("games", "games2", GAME_COLUMNS), ("tags", "tags2", ["tag_id", "tag_name", "game_count"]),
+            ("game_tags", "gt2", ["appid", "tag_id", "votes"]),
+        ) for c in columns
+    )),
+    "bridge_checked": on(LOADED, "SELECT appid, tag_id, votes FROM gt0"),
 }
 SQL["view_read_back"] = SQL["v_review_scores"]
+SQL["f2p_summary_ordered"] = SQL["f2p_summary"]
+
+
+def counts(column: str, queries: dict[str, str]) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{name}' AS {column}, count(*) AS n_rows FROM ({sql})" for name, sql in queries.items()
+    )
+
+
+SQL["kpi_rows"] = counts("view_name", {
+    "v_kpi_playtime_by_tag": SQL["v_playtime_by_tag"], "v_kpi_releases_by_year_tag": SQL["v_releases_by_year_tag"],
+    "v_kpi_playtime_by_price": SQL["v_playtime_by_price"], "v_kpi_f2p_vs_paid": SQL["v_f2p_vs_paid"],
+    "v_kpi_f2p_vs_paid_summary": SQL["f2p_summary"], "v_kpi_review_scores_by_tag": SQL["v_review_scores"],
+})
+SQL["audit_rows"] = counts("part", {
+    name: SQL[name] for name in (
+        "audit_summary", "audit_price_range", "audit_date_values", "zero_engagement_count", "zero_engagement_sample",
+        "non_game_candidates", "non_game_count", "non_game_review",
+    )
+})
