@@ -88,14 +88,14 @@ def _candidates(t: Tables) -> DataFrame:
 
 def playtime_by_tag_top30(t: Tables) -> DataFrame:
     report = kpi.playtime_by_tag(
-        t.games, t.game_tags, t.tags, top=30, style="report", assume_unique=True
+        t.games, t.game_tags, t.tags, top=fv.TOP_PLAYTIME_TAGS, style="report", assume_unique=True
     )
     return report.select("tag_name", "game_count", "avg_playtime_hrs", "median_playtime_hrs")
 
 
 def playtime_achievement_top30(t: Tables) -> DataFrame:
     report = kpi.playtime_by_tag(
-        t.games, t.game_tags, t.tags, top=30, style="report", assume_unique=True
+        t.games, t.game_tags, t.tags, top=fv.TOP_PLAYTIME_TAGS, style="report", assume_unique=True
     )
     return report.drop("median_playtime_hrs")
 
@@ -478,7 +478,7 @@ def catalogue_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "playtime_achievement_top30": on_ready(playtime_achievement_top30),
         "v_playtime_by_tag": on_ready(lambda t: kpi.playtime_by_tag(t.games, t.game_tags, t.tags, **unique)),
         "releases_top15": on_ready(
-            lambda t: kpi.releases_by_year_tag(t.games, t.game_tags, t.tags, as_of=AS_OF, top=15, **unique)
+            lambda t: kpi.releases_by_year_tag(t.games, t.game_tags, t.tags, as_of=AS_OF, top=fv.TOP_RELEASE_TAGS, **unique)
         ),
         "v_releases_by_year_tag": on_ready(
             lambda t: kpi.releases_by_year_tag(t.games, t.game_tags, t.tags, as_of=AS_OF, **unique)
@@ -486,10 +486,10 @@ def catalogue_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "price_brackets": on_ready(lambda t: kpi.playtime_by_price(t.games, style="report")),
         "v_playtime_by_price": on_ready(lambda t: kpi.playtime_by_price(t.games)),
         "f2p_summary": on_ready(lambda t: kpi.f2p_vs_paid_summary(t.games)),
-        "f2p_top20": on_ready(lambda t: kpi.f2p_vs_paid(t.games, t.game_tags, t.tags, top=20, **unique)),
+        "f2p_top20": on_ready(lambda t: kpi.f2p_vs_paid(t.games, t.game_tags, t.tags, top=fv.TOP_MODEL_TAGS, **unique)),
         "v_f2p_vs_paid": on_ready(lambda t: kpi.f2p_vs_paid(t.games, t.game_tags, t.tags, **unique)),
         "review_scores_top30": on_ready(
-            lambda t: kpi.review_scores_by_tag(t.games, t.game_tags, t.tags, top=30, **unique)
+            lambda t: kpi.review_scores_by_tag(t.games, t.game_tags, t.tags, top=fv.TOP_REVIEW_TAGS, **unique)
         ),
         "v_review_scores": on_ready(lambda t: kpi.review_scores_by_tag(t.games, t.game_tags, t.tags, **unique)),
         "v_playtime_by_tag_unchecked": on_ready(lambda t: kpi.playtime_by_tag(t.games, t.game_tags, t.tags)),

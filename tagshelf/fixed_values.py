@@ -3,6 +3,13 @@
 Everything in this file is given from outside and must stay exactly as it is for results to match.
 """
 
+# Names of the input's fields, those of flags and those of whole numbers.
+FLAGS = ["windows", "mac", "linux"]
+COUNTS = [
+    "dlc_count", "metacritic_score", "achievements", "recommendations", "positive", "negative",
+    "average_playtime_forever", "median_playtime_forever", "peak_ccu",
+]
+
 # Tags that mark an entry as software, and tags that prove it is a game.
 NON_GAME_TAGS = [
     "Video Production", "Audio Production", "Photo Editing",

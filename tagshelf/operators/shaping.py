@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagshelf.fixed_values import TEST_NAME
+from tagshelf.fixed_values import COUNTS, FLAGS, TEST_NAME
 from tagshelf.functions.coerce import (
     coerce_flag, coerce_key, coerce_long0, dict_entries, first_by, json_double, json_long0,
     merge_genres_and_tags, or_empty_array, or_empty_map, strip,
 )
-from tagshelf.sources.records import COUNTS, FLAGS
 from tagshelf.sources.shared import write_through
 
 RENAMED = {"price": "price_usd", "positive": "positive_reviews", "negative": "negative_reviews"}

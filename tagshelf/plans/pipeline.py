@@ -13,20 +13,14 @@ from tagshelf.operators import audit as audits
 from tagshelf.operators import clean as cleaning
 from tagshelf.operators import quality, shaping
 from tagshelf.sources.publish import publish
-from tagshelf.sources.records import COUNTS, FLAGS, read_games
+from tagshelf.fixed_values import COUNTS, FLAGS
+from tagshelf.sources.records import read_games
 from tagshelf.sources.shared import temporary_steps, write_through
 from tagshelf.sources.views import kpi_views
-from tagshelf.tables import PRIMARY_KEYS, Tables
+from tagshelf.tables import GAME_COLUMNS, PRIMARY_KEYS, Tables
 
 INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 
-GAME_COLUMNS = [
-    "appid", "name", "release_date", "price_usd", "dlc_count", "windows", "mac", "linux",
-    "metacritic_score", "achievements", "recommendations", "developers", "publishers",
-    "positive_reviews", "negative_reviews", "average_playtime_forever", "median_playtime_forever",
-    "peak_ccu", "tags", "genres_and_tags",
-]
-
 
 def load(
     spark: SparkSession, path, layout: str = "ndjson", absent_flag: bool = True, report: dict | None = None

@@ -155,10 +155,11 @@ def _read(spark: SparkSession, root: str, run_id: str, buckets: int | None) -> T
         catalog_name = f"tagshelf_{name}_{run_id.replace('-', '_')}"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
         key = BUCKETED_BY[name]
+        escaped = table_path(root, run_id, name).replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {catalog_name} ({columns}) USING parquet "
             f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS "
-            f"LOCATION '{table_path(root, run_id, name)}'"
+            f"LOCATION '{escaped}'"
         )
         return spark.table(catalog_name)
 

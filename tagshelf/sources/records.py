@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagshelf.fixed_values import COUNTS, FLAGS
 from tagshelf.functions.coerce import json_text
 from tagshelf.sources.files import place_of, with_files
 from tagshelf.sources.json_object import read_entries
@@ -16,11 +17,6 @@ ROWS_OF_A_PARTITION = (1 << 33) - 1
 # Typed as loosely as each coercion rule needs. VARIANT keeps apart an absent key, a JSON null, a
 # boolean and a string; a field of an unexpected kind becomes NULL without touching its neighbours.
 # The tags stay a map of raw texts, which keeps the written order that a VARIANT would sort away.
-FLAGS = ["windows", "mac", "linux"]
-COUNTS = [
-    "dlc_count", "metacritic_score", "achievements", "recommendations", "positive", "negative",
-    "average_playtime_forever", "median_playtime_forever", "peak_ccu",
-]
 RECORD_SCHEMA = ", ".join(
     ["name STRING", "release_date STRING", "price VARIANT"]
     + [f"{c} VARIANT" for c in FLAGS + COUNTS]

@@ -15,16 +15,12 @@ class Tables(NamedTuple):
     game_tags: DataFrame
 
 
-GAMES_SCHEMA = """
-    appid BIGINT, name STRING, release_date STRING, price_usd DOUBLE, dlc_count BIGINT,
-    windows BOOLEAN, mac BOOLEAN, linux BOOLEAN,
-    metacritic_score BIGINT, achievements BIGINT, recommendations BIGINT,
-    developers ARRAY<STRING>, publishers ARRAY<STRING>,
-    positive_reviews BIGINT, negative_reviews BIGINT,
-    average_playtime_forever BIGINT, median_playtime_forever BIGINT, peak_ccu BIGINT,
-    tags MAP<STRING, BIGINT>, genres_and_tags ARRAY<STRING>
-"""
-TAGS_SCHEMA = "tag_id BIGINT, tag_name STRING, game_count BIGINT"
-GAME_TAGS_SCHEMA = "appid BIGINT, tag_id BIGINT, votes BIGINT"
+# The columns of the games table as it is published, in their order.
+GAME_COLUMNS = [
+    "appid", "name", "release_date", "price_usd", "dlc_count", "windows", "mac", "linux",
+    "metacritic_score", "achievements", "recommendations", "developers", "publishers",
+    "positive_reviews", "negative_reviews", "average_playtime_forever", "median_playtime_forever",
+    "peak_ccu", "tags", "genres_and_tags",
+]
 
 PRIMARY_KEYS = {"games": ["appid"], "tags": ["tag_id"], "game_tags": ["appid", "tag_id"]}
