@@ -95,7 +95,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
     write_archives(read(spark, sf_dir, "pages"), folder)
-    return read_archives(spark, folder, payload=False).select(
+    # Payloads are read back where there are any, and are what their digests say; of revisits only the headers are.
+    responses = read_archives(spark, folder, verify=True).filter("record_type = 'response'")
+    responses = responses.withColumn("payload_bytes", F.octet_length("payload").cast("long"))
+    revisits = read_archives(spark, folder, payload=False).filter("record_type = 'revisit'")
+    return responses.unionByName(revisits).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 

@@ -154,8 +154,9 @@ class _Member:
         return self.at - len(self.unpacker.unused_data)
 
 
-def read_records(file, size: int, wanted: Callable[[dict], bool], with_payload: bool) -> Iterator[dict]:
-    """Rows of the wanted response and revisit records of an archive, a random access file of `size` bytes."""
+def read_records(file, size: int, wanted: Callable[[dict], bool], with_payload: bool, verify: bool = False) -> Iterator[dict]:
+    """Rows of the wanted response and revisit records of an archive, a random access file of `size` bytes. With `verify` a
+    payload that is read must have the SHA-1 digest of its header, if that has one."""
     at = 0
     while at < size:
         head = file.read_at(GZIP_HEAD.size, at)
@@ -181,6 +182,8 @@ def read_records(file, size: int, wanted: Callable[[dict], bool], with_payload:
                 if with_payload and row["record_type"] == "response":
                     member.more(end + block)
                     row["payload"] = member.data[http_end : end + block]
+                    if verify and row["payload_digest"] not in (None, digest(row["payload"])):
+                        raise ValueError(f"the payload of page {row['page_id']} is not the one of its digest")
                 yield row
         if length is not None:
             at += length
@@ -276,6 +279,7 @@ class WarcReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options["path"]
         self.with_payload = str(options.get("payload", "true")).lower() == "true"
+        self.verify = str(options.get("verify", "false")).lower() == "true"
         self.filters: list[Filter] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -304,7 +308,7 @@ class WarcReader(DataSourceReader):
         wanted = lambda row: all(test(row[column]) for column, test in tests)
         with filesystem.open_input_file(f"{folder}/{partition.file}") as file:
             rows, used = [], 0
-            for row in read_records(file, file.size(), wanted, self.with_payload):
+            for row in read_records(file, file.size(), wanted, self.with_payload, self.verify):
                 rows.append(row)
                 used += 200 + len(row["payload"] or b"")
                 if used > 16 << 20:
@@ -315,7 +319,7 @@ class WarcReader(DataSourceReader):
 
 
 class WarcSource(DataSource):
-    """Options: path; reading: payload (true), which false leaves null; writing: compression (gzip, none),
+    """Options: path; reading: payload (true), which false leaves null, verify (false), which checks payloads by their digests; writing: compression (gzip, none),
     roll_bytes, date."""
 
     @classmethod
@@ -372,11 +376,18 @@ def with_references(
 
 
 def write_archives(pages: DataFrame, path: str, **options) -> None:
-    """Write pages as archives into the folder `path`, which every executor reaches."""
+    """Write pages (page_id, url, html) as archives into the folder `path`, which every executor reaches.
+
+    A null html is an empty payload, a null url is left out, rows that repeat get a record each, an empty table writes no
+    record, and other columns are dropped. Records of one payload refer to that of the smallest page_id.
+    """
     register(pages.sparkSession)
     with_references(pages).write.format("warc").mode("append").options(path=path, **options).save()
 
 
-def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, payload: bool = True, verify: bool = False) -> DataFrame:
+    """The records of the archives in a folder. `payload` false leaves payloads undecoded and null; `verify` fails on a
+    payload that is not the one of its record's digest."""
     register(spark)
-    return spark.read.format("warc").option("path", path).option("payload", str(payload).lower()).load()
+    options = {"path": path, "payload": str(payload).lower(), "verify": str(verify).lower()}
+    return spark.read.format("warc").options(**options).load()

@@ -726,3 +726,16 @@ def test_archives_of_others_are_read(tmp_path):
 
     found = list(warc.read_records(File(data), len(data), lambda row: True, True))
     assert [(r["page_id"], r["payload"]) for r in found] == [(9, b"page")]
+
+
+def test_payloads_are_verified(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "a page"), (2, "v", None), (3, "w", "a page")], "page_id long, url string, html string")
+    folder = str(tmp_path / "w")
+    warc.write_archives(pages.coalesce(1), folder, compression="none")
+    got = {r["page_id"]: r["payload"] for r in warc.read_archives(spark, folder, verify=True).collect()}
+    assert got == {1: b"a page", 2: b"", 3: None}
+    path = next((tmp_path / "w").glob("*.warc"))
+    path.write_bytes(path.read_bytes().replace(b"a page", b"a pXge"))
+    assert warc.read_archives(spark, folder).count() == 3
+    with pytest.raises(Exception, match="not the one of its digest"):
+        warc.read_archives(spark, folder, verify=True).collect()
