@@ -14,7 +14,10 @@ Documents that share a signature are a bucket. A bucket is not expanded into pai
 signatures in common with others is its hub, and a hub's members, over all its buckets, are a star. Two sets that
 link are in one star. A star of bounded size is compared exactly in one task, which gives a tree of each linked
 part. The members of a larger star are compared with the hub alone first: links between two that are linked to the
-hub change no component. The others are compared with all in blocks of bounded size.
+hub change no component. Where others are left, which is so if a page's frame is a good part of short texts, the star's
+candidates are narrowed: of two linked sets, the few rarest tokens of each have one in common. Members that share such
+a token are buckets again, with hubs and stars of their own; only what is large even then is compared in blocks of
+bounded size.
 """
 
 from __future__ import annotations
@@ -26,11 +29,12 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagshelf.llm.components import components
 from tagshelf.llm.rows import field, pack, write_step
+from tagshelf.sources.shared import new_folder, temporary_steps
 
 # Odd multipliers, made from a rule: the odd numbers next to 2^64 times the fractions of multiples of the golden ratio.
 FACTORS = np.array([(i * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) | 1 for i in range(1, 9)], np.uint64)
@@ -39,6 +43,7 @@ SPARE = 20  # for so many groups that a band needs it gets two more, of which ea
 AT_ONCE = 200_000  # rows that a task hands over together
 MEMBERS, TOKENS = 1_000, 500_000  # of a star, or of one of the two blocks, that one task compares
 COLUMNS = 4_096
+SLOTS = 1 << 16  # counters that the tokens of large stars share
 
 
 class Rule(NamedTuple):
@@ -48,6 +53,10 @@ class Rule(NamedTuple):
     up: int
     down: int
 
+    def rarest(self, size: int) -> int:
+        """Of so many of its rarest tokens, a set of this size has one in common with every set it links with."""
+        return size - -(-size * self.up // self.down) + 1
+
     def differences(self, sizes: int) -> int:
         """The most tokens in which two linked sets differ whose sizes add up to `sizes`."""
         return (self.down - self.up) * sizes // (self.down + self.up)
@@ -225,22 +234,49 @@ def _trees(group: pa.Table, rule: Rule) -> pa.Table:
     return pa.table({"hub": pa.array(label[moved]), "id": pa.array(ids[moved])})
 
 
-# --- buckets, hubs and what is left ---------------------------------------------------------------
+def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often the tokens of each slot occur: one table of bounded size a task."""
+    counts = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        counts += np.bincount(batch.column(0).flatten().to_numpy() & (SLOTS - 1), minlength=SLOTS)
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["slot", "n"])
 
 
-def _buckets(entries: DataFrame, condition: Column) -> DataFrame:
-    """Entries whose bucket meets `condition`, which sees all rows of a key as a window."""
-    return write_step(entries.withColumn("kept", condition).filter("kept").drop("kept"), "buckets")
+def _rarest(batches: Iterator[pa.RecordBatch], rule: Rule, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The tokens of which two linked sets share one. Any order of all tokens would do; by counts, few sets share them."""
+    for batch in batches:
+        kept = []
+        for tokens in (x.values.to_numpy() for x in batch.column(1)):
+            order = np.lexsort((tokens, counts[tokens & (SLOTS - 1)]))
+            kept.append(tokens[order[: rule.rarest(len(tokens))]])
+        ids = np.repeat(batch.column(0).to_numpy(), [len(k) for k in kept])
+        flat = np.concatenate([np.empty(0, np.int64), *kept])
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(flat)], ["id", "token"])
 
 
-def _stars(entries: DataFrame) -> DataFrame:
-    """Pairs of hub and member over all buckets, each pair once."""
-    company = entries.groupBy("id").agg(F.count("*").alias("company"))
-    ranked = entries.join(company, "id")
-    hubs = ranked.groupBy("key").agg(F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("best")).select(
-        "key", (-F.col("best.minus")).alias("hub")
-    )
-    return entries.join(hubs, "key").filter("id <> hub").select("hub", "id").distinct()
+# --- buckets, hubs and what is left ---------------------------------------------------------------
+
+
+def _stars(entries: DataFrame, met: Column) -> DataFrame:
+    """Pairs of hub and member over all buckets that meet `met`, an aggregate of a bucket; each pair once.
+
+    Keys are counted with combining, and entries are joined back to the keys that are left, so that a key that many
+    share is a row for each task in the count, and may be split in the joins.
+    """
+    spark = entries.sparkSession
+    folder = new_folder(spark, "stars")
+    with temporary_steps(spark, "buckets"):
+        entries = write_step(entries, "entries")
+        keys = entries.groupBy("key").agg(met.alias("met")).filter("met").select("key")
+        entries = write_step(entries.select("key", "id").join(keys, "key", "left_semi"), "shared")
+        company = entries.groupBy("id").agg(F.count("*").alias("company"))
+        ranked = entries.join(company, "id")
+        hubs = ranked.groupBy("key").agg(F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("best")).select(
+            "key", (-F.col("best.minus")).alias("hub")
+        )
+        stars = entries.join(hubs, "key").filter("id <> hub").select("hub", "id").distinct()
+        return write_step(stars, "stars", folder)
 
 
 def _linked_to_hub(stars: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -277,29 +313,57 @@ def _blocks(compared: DataFrame, sizes: DataFrame) -> DataFrame:
     return met.select("hub", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "id")
 
 
-def _links(entries: DataFrame, sets_of, rule: Rule) -> list[DataFrame]:
-    """Tables of links between ids, enough for all components."""
-    entries = _buckets(entries, F.count("*").over(Window.partitionBy("key")) > 1)
-    stars = write_step(_stars(entries), "stars")
-    sets = sets_of(stars.select("id").unionByName(stars.select(F.col("hub").alias("id"))).distinct())
-    sizes = sets.groupBy("id").agg(F.sum("n").alias("n"))
+def _narrowed(compared: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Entries key, id and apart: members of stars where some do not link to the hub, each under its rarest tokens."""
+    open_hubs = compared.filter("NOT linked").select("hub").distinct()
+    left = compared.join(open_hubs, "hub", "left_semi")
+    members = sets.join(left.select("id").distinct().hint("merge"), "id", "left_semi")
+    counts = np.zeros(SLOTS, np.int64)
+    summed = members.select("tokens").mapInArrow(_slot_counts, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+    for row in summed.collect():  # as many rows as slots, whatever the input is
+        counts[row["slot"]] = row["n"]
+    rare = members.select("id", "tokens").mapInArrow(lambda b: _rarest(b, rule, counts), "id bigint, token bigint")
+    return left.join(rare.hint("merge"), "id").select(
+        F.xxhash64("hub", "token").alias("key"), "id", (~F.col("linked")).alias("apart")
+    )
+
+
+def _compared(stars: DataFrame, sets: DataFrame, sizes: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """Small stars as groups to compare at once, and the members of large ones with whether they link to the hub."""
     weights = write_step(
         stars.join(sizes, "id").groupBy("hub").agg(F.count("*").alias("members"), F.sum("n").alias("tokens")), "stars-sizes"
     )
     small = (F.col("members") < MEMBERS) & (F.col("tokens") < TOKENS)
     whole = stars.join(weights.filter(small), "hub", "left_semi")
-    compared = write_step(
-        _linked_to_hub(stars.join(weights.filter(~small), "hub", "left_semi"), sets, rule), "compared"
-    )
     hubs = whole.select("hub", F.col("hub").alias("id")).distinct()
-    zero = F.lit(0)
-    groups = whole.unionByName(hubs).select("hub", zero.alias("a"), zero.alias("b"), "id").unionByName(
-        _blocks(compared, sizes)
-    )
-    trees = groups.join(sets.select("id", "tokens").hint("merge"), "id").groupBy("hub", "a", "b").applyInArrow(
-        lambda group: _trees(group, rule), "hub bigint, id bigint"
-    )
-    return [compared.filter("linked").select("hub", "id"), write_step(trees.distinct(), "trees")]
+    groups = whole.unionByName(hubs).select("hub", F.lit(0).alias("a"), F.lit(0).alias("b"), "id")
+    large = stars.join(weights.filter(~small), "hub", "left_semi")
+    return groups, write_step(_linked_to_hub(large, sets, rule), "compared")
+
+
+def _links(entries: DataFrame, sets_of, rule: Rule) -> DataFrame:
+    """Links between ids, enough for all components. Steps on the way go as soon as these are written."""
+    spark = entries.sparkSession
+    folder = new_folder(spark, "links")
+
+    def trees(groups: DataFrame) -> DataFrame:
+        return groups.join(sets.select("id", "tokens").hint("merge"), "id").groupBy("hub", "a", "b").applyInArrow(
+            lambda group: _trees(group, rule), "hub bigint, id bigint"
+        ).distinct()
+
+    linked = lambda compared: compared.filter("linked").select("hub", "id")
+    with temporary_steps(spark, "candidates"):
+        stars = _stars(entries, F.count("*") > 1)
+        sets = sets_of(stars.select("id").unionByName(stars.select(F.col("hub").alias("id"))).distinct())
+        sizes = sets.groupBy("id").agg(F.sum("n").alias("n"))
+        groups, compared = _compared(stars, sets, sizes, rule)
+        found = write_step(trees(groups), "trees").unionByName(linked(compared))
+        if not compared.filter("NOT linked").isEmpty():
+            narrowed = _stars(_narrowed(compared, sets, rule), (F.count("*") > 1) & F.bool_or("apart"))
+            groups, compared = _compared(narrowed, sets, sizes, rule)
+            rest = write_step(trees(groups.unionByName(_blocks(compared, sizes))), "trees")
+            found = found.unionByName(rest).unionByName(linked(compared))
+        return write_step(found, "links", folder)
 
 
 # --- the operator ---------------------------------------------------------------------------------
@@ -314,7 +378,8 @@ def link_documents(
     as its one n-gram, a null text or one without words none. Two documents link when the Jaccard similarity of
     their n-grams is at least `threshold`; component_id is the smallest id reachable by links, for a document
     without n-grams its own id. Rows that share an id are one document. A row without an id links with none and
-    has no component. An empty table gives an empty result.
+    has no component. Ids are whole numbers; other columns, whatever their names, are not returned. An empty table
+    gives an empty result.
 
     Equal sets are one node, however many documents have them. What is shuffled beside ids are signatures, about a
     sixth of the n-grams at 0.85, and the n-grams of documents that share a signature. No bucket is gathered in
@@ -345,9 +410,7 @@ def link_documents(
     # An id with several texts ties their classes together.
     same = able.join(classes, ["c1", "c2"]).filter("id <> node").select(F.col("node").alias("hub"), "id")
     repeated = able.groupBy("id").agg(F.count_distinct("c1", "c2").alias("k")).filter("k > 1").select("id")
-    links = same.join(repeated, "id", "left_semi").select("hub", "id")
-    for table in found:
-        links = links.unionByName(table)
+    links = same.join(repeated, "id", "left_semi").select("hub", "id").unionByName(found)
     component = components(links)
     of_class = classes.join(component, "node", "left").select(
         "c1", "c2", F.coalesce("component", "node").alias("component")

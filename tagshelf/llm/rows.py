@@ -63,10 +63,13 @@ def lower_ascii(value: Column) -> Column:
     return F.when(pure, F.lower(value)).otherwise(F.translate(value, UPPER, LOWER))
 
 
-def write_step(df: DataFrame, label: str) -> DataFrame:
-    """Compute `df` once into the shared folder and go on from the table; its shuffle files are freed."""
+def write_step(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """Compute `df` once into the shared folder and go on from the table; its shuffle files are freed.
+
+    A `folder` from `new_folder`, taken before the steps of a part of the work began, outlives these.
+    """
     spark = df.sparkSession
-    folder = new_folder(spark, label)
+    folder = folder or new_folder(spark, label)
     before = spark.conf.get(FREE_SHUFFLE_FILES, "false")
     spark.conf.set(FREE_SHUFFLE_FILES, "true")
     try:

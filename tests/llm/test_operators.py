@@ -14,6 +14,7 @@ from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,6 +151,54 @@ def test_large_families_lose_no_link(spark, monkeypatch, limits):
     assert {(i, k): c for i, k, c in got} == brute_components(texts, 4, Fraction(85, 100))
 
 
+def framed(size, seed=5):
+    """Short texts with a common frame, which share signatures and hardly ever link; every fifth has a near copy."""
+    random.seed(seed)
+    frame = [f"frame{i}" for i in range(13)]
+    out = []
+    for i in range(size):
+        text = frame + [f"w{random.randint(0, 10**6)}" for _ in range(18)]
+        out.append((i, " ".join(text)))
+        if i % 5 == 0:
+            out.append((size + i, " ".join([*text, "end"])))
+    return out
+
+
+def test_texts_with_a_common_frame_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "MEMBERS", 30)
+    texts = framed(250)
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    got = rows(jaccard_join.link_documents(df, 4, Fraction(85, 100)), "doc_id", "n_shingles", "component_id")
+    assert {(i, k): c for i, k, c in got} == brute_components(texts, 4, Fraction(85, 100))
+
+
+def test_rarest_tokens_leave_few_of_a_common_frame(spark):
+    rule = jaccard_join.Rule(4, 85, 100)
+    sets = [(i, jaccard_join.shingles(t.encode(), 4).view(np.int64).tolist()) for i, t in framed(300)]
+    sets = spark.createDataFrame([(i, len(t), t) for i, t in sets], "id long, n long, tokens array<long>")
+    compared = sets.select(F.lit(-1).cast("long").alias("hub"), "id", F.lit(False).alias("linked"))
+    stars = jaccard_join._stars(jaccard_join._narrowed(compared, sets, rule), F.count("*") > 1)
+    assert sorted(tuple(sorted(r)) for r in rows(stars, "hub", "id")) == [(i, 300 + i) for i in range(0, 300, 5)]
+
+
+def test_linked_sets_share_one_of_their_rarest_tokens():
+    random.seed(8)
+    rule = jaccard_join.Rule(1, 8, 10)
+    counts = np.array(random.choices(range(9), k=jaccard_join.SLOTS))
+    checked = 0
+    for size in [1, 2, 3, 5, 9, 10, 17, 40, 41, 90]:
+        for _ in range(100):
+            a = {random.getrandbits(62) for _ in range(size)}
+            b = {x for x in a if random.random() > 0.1} | {random.getrandbits(62) for _ in range(random.randint(0, size // 8))}
+            if b and 10 * len(a & b) >= 8 * len(a | b):
+                batch = pa.RecordBatch.from_pydict({"id": [0, 1], "tokens": pa.array([sorted(a), sorted(b)], pa.list_(pa.int64()))})
+                (kept,) = jaccard_join._rarest(iter([batch]), rule, counts)
+                own = [{t for i, t in zip(*kept.to_pydict().values()) if i == k} for k in (0, 1)]
+                assert own[0] & own[1]
+                checked += 1
+    assert checked > 300
+
+
 def test_every_linked_pair_shares_a_signature():
     random.seed(3)
     rule = jaccard_join.Rule(1, 8, 10)
