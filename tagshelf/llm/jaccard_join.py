@@ -275,7 +275,8 @@ def _stars(entries: DataFrame, met: Column) -> DataFrame:
         hubs = ranked.groupBy("key").agg(F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("best")).select(
             "key", (-F.col("best.minus")).alias("hub")
         )
-        stars = entries.join(hubs, "key").filter("id <> hub").select("hub", "id").distinct()
+        # Written, so that entries of a hot key are not moved to one task only to meet a small table there.
+        stars = entries.join(write_step(hubs, "hubs"), "key").filter("id <> hub").select("hub", "id").distinct()
         return write_step(stars, "stars", folder)
 
 
