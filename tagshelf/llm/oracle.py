@@ -58,6 +58,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+JACCARD = rf"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({LOWERED.format("coalesce(text, '')")}, '{WORD}') AS w FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) BETWEEN 1 AND 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(len(w) - 3), lambda i: array_to_string(w[i + 1 : i + 4], ' ')) END) AS shingle
+  FROM words),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a)
+SELECT doc_id, coalesce(max(n), 0) AS n_shingles, min(other) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
 DIGIT = "(strpos('0123456789abcdef', substr(h || '0', (5 * i) // 4 + {0}, 1)) - 1)"
 BASE32 = (
     "array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
@@ -97,4 +117,4 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)
 """
 
-SQL = {"op4_line_dedup": LINE_DEDUP, "op6_quality_rules": QUALITY, "op10_warc": WARC, "op13_decontamination": DECONTAMINATION}
+SQL = {"op2_jaccard_join": JACCARD, "op4_line_dedup": LINE_DEDUP, "op6_quality_rules": QUALITY, "op10_warc": WARC, "op13_decontamination": DECONTAMINATION}

@@ -45,11 +45,22 @@ MANIFEST = "_committed-"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 GZIP_HEAD = struct.Struct("<4sIBBH2sHII")  # magic, time, flags, system, extra length, field id, its length, two sizes
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
+# Names that Spark's own readers use for what Arrow calls otherwise.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def arrow_uri(path: str) -> str:
+    """A path or URI as Arrow names it."""
+    scheme, mark, rest = path.partition("://")
+    return f"{SCHEMES.get(scheme.lower(), scheme)}{mark}{rest}" if mark else path
 
 
 def open_folder(path: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a path or URI, and the path in it."""
-    return pafs.FileSystem.from_uri(path)
+    try:
+        return pafs.FileSystem.from_uri(arrow_uri(path))
+    except (pa.ArrowException, OSError) as e:
+        raise ValueError(f"archives cannot be opened at {path}: Arrow has no file system for it here ({e})") from e
 
 
 def digest(payload: bytes) -> str:
@@ -211,6 +222,7 @@ class WarcWriter(DataSourceArrowWriter):
 
     def __init__(self, options: dict, schema):
         self.path = options["path"]
+        open_folder(self.path)  # a path that cannot be opened fails while the write is planned, before any task
         self.roll = int(options.get("roll_bytes", 64 << 20))
         self.packed = options.get("compression", "gzip") == "gzip"
         self.date = options.get("date", "1970-01-01T00:00:00Z")

@@ -734,6 +734,18 @@ def test_archives_round_trip(spark, tmp_path, compression):
     assert warc.read_archives(spark, f"{folder}-none").count() == 0
 
 
+def test_paths_have_the_names_of_sparks_readers(spark):
+    assert warc.arrow_uri("s3a://bucket/a") == "s3://bucket/a"
+    assert [warc.arrow_uri(p) for p in ("/a/s3a", "file:///a", "S3N://b/c")] == ["/a/s3a", "file:///a", "s3://b/c"]
+
+
+def test_a_path_without_file_system_fails_before_any_task(spark):
+    pages = spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string")
+    for use in (lambda: warc.write_archives(pages, "nosuch://host/a"), lambda: warc.read_archives(spark, "nosuch://host/a").count()):
+        with pytest.raises(Exception, match="archives cannot be opened at nosuch://host/a"):
+            use()
+
+
 def test_small_payloads_are_all_responses(spark):
     pages = spark.createDataFrame([(1, "u", "aa"), (2, "u", "aa"), (3, "u", "aaaa"), (4, "u", "aaaa")], "page_id long, url string, html string")
     out = warc.with_references(pages, min_bytes=3)
