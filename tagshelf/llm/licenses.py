@@ -27,15 +27,27 @@ PHRASES = {
 # Short grants, found where a run of words contains all their words, and their labels.
 GRANTS = {
     "agpl-3.0": "licensed under the gnu affero general public license version 3",
+    "agpl-3.0-or-later": "gnu affero general public license as published by the free software foundation either version 3"
+    " of the license or at your option any later version",
     "apache-2.0": "licensed under the apache license version 2 0",
     "cc-by-4.0": "licensed under cc by 4 0",
     "cc-by-nc-4.0": "licensed under cc by nc 4 0",
     "cc-by-nd-4.0": "licensed under cc by nd 4 0",
     "cc-by-sa-4.0": "licensed under cc by sa 4 0",
     "gpl-2.0": "licensed under the gnu general public license version 2",
+    "gpl-2.0-or-later": "gnu general public license as published by the free software foundation either version 2 of the"
+    " license or at your option any later version",
     "gpl-3.0": "licensed under the gnu general public license version 3",
+    "gpl-3.0-or-later": "gnu general public license as published by the free software foundation either version 3 of the"
+    " license or at your option any later version",
+    "lgpl-2.0-or-later": "gnu library general public license as published by the free software foundation either version 2 of"
+    " the license or at your option any later version",
     "lgpl-2.1": "licensed under the gnu lesser general public license version 2 1",
+    "lgpl-2.1-or-later": "gnu lesser general public license as published by the free software foundation either version 2 1 of"
+    " the license or at your option any later version",
     "lgpl-3.0": "licensed under the gnu lesser general public license version 3",
+    "lgpl-3.0-or-later": "gnu lesser general public license as published by the free software foundation either version 3 of"
+    " the license or at your option any later version",
     "mit": "released under the mit license",
     "mpl-2.0": "subject to the terms of the mozilla public license v 2 0",
 }
@@ -44,12 +56,16 @@ GRANTS = {
 NOTICES = {
     "bsd": "redistribution and use in source and binary forms with or without modification are permitted provided"
     " that the following conditions are met",
+    "bsl-1.0": "to use reproduce display distribute execute and transmit the software and to prepare derivative works of the"
+    " software and to permit third parties to whom the software is furnished to do so",
     "cc0-1.0": "to the extent possible under law the author has waived all copyright and related rights",
+    "epl": "this program and the accompanying materials are made available under the terms of the eclipse public license",
     "isc": "permission to use copy modify and or distribute this software for any purpose with or without fee is"
     " hereby granted",
     "mit": "permission is hereby granted free of charge to any person obtaining a copy of this software and"
     " associated documentation files to deal in the software without restriction",
     "unlicense": "this is free and unencumbered software released into the public domain",
+    "zlib": "the origin of this software must not be misrepresented you must not claim that you wrote the original software",
 }
 
 

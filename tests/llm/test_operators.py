@@ -480,6 +480,52 @@ def test_longer_notices_need_most_of_their_words(spark):
     assert dict(rows(out, "doc_id", "labels")) == {1: "bsd", 2: "bsd", 3: "", 4: "cc-by,cc-by-nc-4.0"}
 
 
+def test_licences_as_files_carry_them(spark):
+    """Wrapped notices as they stand at the head of source files, in comments, alone and with code around."""
+    gnu = (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU{0} General Public"
+        " License as published by the Free Software Foundation; either version {1} of the License, or (at your option) any later"
+        " version."
+    )
+    mit = (
+        'MIT terms. Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated'
+        ' documentation files (the "Software"), to deal in the Software without restriction, including without limitation the'
+        " rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit"
+        " persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and"
+        " this permission notice shall be included in all copies or substantial portions of the Software."
+    )
+    boost = (
+        'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and'
+        ' accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and'
+        " transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software"
+        " is furnished to do so, all subject to the following:"
+    )
+    eclipse = (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0 which"
+        " accompanies this distribution."
+    )
+    zlib_terms = (
+        "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If"
+        " you use this software in a product, an acknowledgment would be appreciated but is not required."
+    )
+    cases = [
+        (gnu.format("", 2), {"gpl", "gpl-2.0-or-later"}), (gnu.format("", 3), {"gpl", "gpl-3.0-or-later"}),
+        (gnu.format(" Library", 2), {"lgpl-2.0-or-later"}), (gnu.format(" Lesser", "2.1"), {"lgpl-2.1-or-later"}),
+        (gnu.format(" Lesser", 3), {"lgpl-3.0-or-later"}), (gnu.format(" Affero", 3), {"agpl-3.0-or-later"}),
+        (mit, {"mit"}), (boost, {"bsl-1.0"}), (eclipse, {"epl"}), (zlib_terms, {"zlib"}),
+        (gnu.format("", 2).replace("either version 2", "version 2"), {"gpl"}), (mit.split("Permission")[0], set()),
+    ]
+    wrapped = lambda text: "\n// ".join(re.findall(r".{1,60}(?:\s|$)", text))
+    code = "int main(int argc, char **argv) { return use(the, software, of, any); }\n" * 20
+    texts, wanted = [], {}
+    for text, labels in cases:
+        for form in (text, wrapped(text), code + wrapped(text) + "\n" + code):
+            wanted[len(texts)] = ",".join(sorted(labels))
+            texts.append((len(texts), form))
+    got = dict(rows(licenses.scan_licenses(spark.createDataFrame(texts, "doc_id long, text string")), "doc_id", "labels"))
+    assert got == wanted
+
+
 def test_notices_and_grants_do_not_depend_on_line_breaks(spark):
     random.seed(4)
     wrap = lambda text, n=6: "\n * ".join(" ".join(text.split()[i : i + n]) for i in range(0, len(text.split()), n))
