@@ -364,7 +364,11 @@ def decode_ids(ids: Column, path: str) -> Column:
 
 def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The id of each row, the `ids` of its text as `encode_text` gives them, and the `decoded` text of these ids
-    as `decode_ids` does: both in one pass of one worker, a few texts at a time."""
+    as `decode_ids` does: both in one pass of one worker, a few texts at a time.
+
+    A null text counts as empty and has no ids; rows that repeat have a row each, a null id stays null, an empty table gives
+    an empty one. Other columns, whatever their names, are dropped. A text is taken whole, however long.
+    """
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, to_text = load(path), decoder(path)

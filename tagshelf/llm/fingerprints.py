@@ -189,7 +189,7 @@ def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     near_edited, near_next (`likeness`), common_prefix (code points before text and edited text differ). Other
     columns are not carried along.
 
-    Null texts count as empty. Rows that share an id follow each other in the order of their texts' hashes;
+    Ids are whole numbers. Null texts count as empty. Rows that share an id follow each other in the order of their texts' hashes;
     rows without an id come last. A single document is its own next. An empty table gives an empty result.
 
     Texts are moved once: to ranges of ids, whose bounds are quantiles. The head of each range is copied to the
