@@ -268,8 +268,9 @@ def _stars(entries: DataFrame, met: Column) -> DataFrame:
     folder = new_folder(spark, "stars")
     with temporary_steps(spark, "buckets"):
         entries = write_step(entries, "entries")
-        keys = entries.groupBy("key").agg(met.alias("met")).filter("met").select("key")
-        entries = write_step(entries.select("key", "id").join(keys, "key", "left_semi"), "shared")
+        # Written, so that the files of the count's shuffle are gone when entries are moved.
+        keys = write_step(entries.groupBy("key").agg(met.alias("met")).filter("met").select("key"), "keys")
+        entries = write_step(entries.select("key", "id").join(keys.hint("merge"), "key", "left_semi"), "shared")
         company = entries.groupBy("id").agg(F.count("*").alias("company"))
         ranked = entries.join(company, "id")
         hubs = ranked.groupBy("key").agg(F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("best")).select(
