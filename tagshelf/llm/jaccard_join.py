@@ -272,13 +272,19 @@ def _stars(entries: DataFrame, met: Column) -> DataFrame:
         keys = write_step(entries.groupBy("key").agg(met.alias("met")).filter("met").select("key"), "keys")
         entries = write_step(entries.select("key", "id").join(keys.hint("merge"), "key", "left_semi"), "shared")
         company = entries.groupBy("id").agg(F.count("*").alias("company"))
-        ranked = entries.join(company, "id")
-        hubs = ranked.groupBy("key").agg(F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("best")).select(
-            "key", (-F.col("best.minus")).alias("hub")
+        # As many rows as entries may be: moved at any size, so that the work grows as the input does.
+        ranked = entries.join(company.hint("merge"), "id")
+        best = F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("best")
+        hubs = write_step(
+            ranked.groupBy("key").agg(best, F.count("*").alias("members")).select("key", (-F.col("best.minus")).alias("hub"), "members"),
+            "hubs",
         )
-        # Written, so that entries of a hot key are not moved to one task only to meet a small table there.
-        stars = entries.join(write_step(hubs, "hubs"), "key").filter("id <> hub").select("hub", "id").distinct()
-        return write_step(stars, "stars", folder)
+        # Entries of a hot key are not moved to one task: their hubs, fewer than a thousandth of the entries, are broadcast.
+        hot = F.col("members") >= MEMBERS
+        met_hot = entries.join(F.broadcast(hubs.filter(hot).drop("members")), "key", "left")
+        met_others = met_hot.filter("hub IS NULL").drop("hub").join(hubs.filter(~hot).drop("members").hint("merge"), "key")
+        found = met_hot.filter("hub IS NOT NULL").unionByName(met_others)
+        return write_step(found.filter("id <> hub").select("hub", "id").distinct(), "stars", folder)
 
 
 def _linked_to_hub(stars: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
