@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagshelf.sources.files import file_paths, with_files
-from tagshelf.sources.shared import write_through
+from tagshelf.sources.shared import small_tasks, write_through
 
 SEPARATOR = b"}"
 OTHER, OPEN, CLOSE, COMMA, QUOTE = range(5)
@@ -241,7 +241,7 @@ def read_entries(spark: SparkSession, path) -> DataFrame:
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value"),
     ), path).select("file", "file_size", "block", "value")
-    with _fixed_splits(spark):
+    with _fixed_splits(spark), small_tasks(spark):
         states, broken = entry_states(rows.mapInArrow(_changes, SPLIT).collect())
         _refuse(spark, path, broken)
         found = write_through(rows.mapInArrow(lambda batches: _entries(batches, states), FOUND), "entries")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tagshelf.operators.quality import is_active, is_played, statistics
 from tagshelf.sources.layout import CLUSTERED_BY, LISTED, clustered, postings
+from tagshelf.sources.shared import small_tasks
 from tagshelf.tables import Tables
 
 LOG = "_published"
@@ -53,24 +54,25 @@ def publish(
         raise ValueError("a snapshot is bucketed by appid or laid out for filters, not both")
     spark = tables.games.sparkSession
     run_id = run_id or uuid.uuid4().hex
-    for name, df in tables._asdict().items():
-        path = table_path(root, run_id, name)
-        if buckets and name in BUCKETED_BY:
-            _write_bucketed(df, path, BUCKETED_BY[name], buckets)
-        elif layout and name == "games":
-            clustered(df, [c for c in CLUSTERED_BY if c in df.columns], "appid", [is_played(), is_active()]).write.parquet(path)
-        elif layout and name == "game_tags":
-            write_layout(df, path, ["tag_id", "appid"])
-        else:
-            df.write.parquet(path)
-    written = _read(spark, root, run_id, buckets)
-    if validate is not None:
-        validate(written)
-    if layout:
-        postings(written.games, LISTED, "appid").write.parquet(table_path(root, run_id, POSTINGS))
-    if analyze:
-        statistics(written).write.parquet(table_path(root, run_id, STATISTICS))
-    counts = {name: df.count() for name, df in written._asdict().items()}
+    with small_tasks(spark):
+        for name, df in tables._asdict().items():
+            path = table_path(root, run_id, name)
+            if buckets and name in BUCKETED_BY:
+                _write_bucketed(df, path, BUCKETED_BY[name], buckets)
+            elif layout and name == "games":
+                clustered(df, [c for c in CLUSTERED_BY if c in df.columns], "appid", [is_played(), is_active()]).write.parquet(path)
+            elif layout and name == "game_tags":
+                write_layout(df, path, ["tag_id", "appid"])
+            else:
+                df.write.parquet(path)
+        written = _read(spark, root, run_id, buckets)
+        if validate is not None:
+            validate(written)
+        if layout:
+            postings(written.games, LISTED, "appid").write.parquet(table_path(root, run_id, POSTINGS))
+        if analyze:
+            statistics(written).write.parquet(table_path(root, run_id, STATISTICS))
+        counts = {name: df.count() for name, df in written._asdict().items()}
     if report is not None:
         report.update({f"published_{name}": n for name, n in counts.items()})
     entry = {"run_id": run_id, "buckets": buckets, "layout": layout, "analyzed": analyze, **counts}

@@ -42,6 +42,37 @@ def temporary_steps(spark: SparkSession, label: str = "run") -> Iterator[str]:
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+# What a task reads at most, in bytes as they are written and as they are shuffled.
+TASK_SIZES = {"spark.sql.files.maxPartitionBytes": 16 << 20, "spark.sql.adaptive.advisoryPartitionSizeInBytes": 8 << 20}
+
+
+@contextlib.contextmanager
+def small_tasks(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run inside have tasks of a few megabytes, unless the session asks for smaller ones.
+
+    Keys in their order are written in less than a byte a row, so that a task of the usual size has tens of millions of
+    rows to group or sort.
+    """
+    before = {name: spark.conf.get(name, None) for name in TASK_SIZES}
+    try:
+        for name, size in TASK_SIZES.items():
+            spark.conf.set(name, min(size, _in_bytes(spark, spark.conf.get(name))))
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def _in_bytes(spark: SparkSession, size: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
+def dealt(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows dealt by `columns` over as many tasks as the session has for shuffles. Adaptive execution does not merge
+    these, which it would by bytes (see `small_tasks`): for steps of a result whose jobs run elsewhere."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def write_through(df: DataFrame, label: str) -> DataFrame:
     """Compute `df` once into the shared folder and go on from the written table.
 
@@ -50,5 +81,6 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     folder = new_folder(spark, label)
-    df.write.parquet(folder)
+    with small_tasks(spark):
+        df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
