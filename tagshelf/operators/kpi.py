@@ -23,7 +23,7 @@ from tagshelf.functions.numeric import (
     wilson_lower_bound,
 )
 from tagshelf.operators.summary import summarise
-from tagshelf.sources.shared import write_through
+from tagshelf.sources.shared import dealt, write_through
 
 PLAYTIME = "average_playtime_forever"
 
@@ -47,12 +47,12 @@ def tagged(games: DataFrame, game_tags: DataFrame, assume_unique: bool = True, m
     pairs = game_tags.select("appid", "tag_id")
     if assume_unique:
         return games.join(pairs, "appid")
-    rows = games.repartition("appid").groupBy(*games.columns).agg(F.expr("count(*) AS _copies"))
+    rows = dealt(games, "appid").groupBy(*games.columns).agg(F.expr("count(*) AS _copies"))
     order = model or "_copies"
     place = f"row_number() OVER (PARTITION BY appid ORDER BY {order})"
     before = f"lag({order}) OVER (PARTITION BY appid ORDER BY {order})"
     first = f"CAST({place} = 1{f' OR NOT {order} <=> {before}' if model else ''} AS BIGINT) AS _games"
-    pairs = pairs.repartition("appid").groupBy("appid", "tag_id").agg(F.expr("count(*) AS _pairs_of"))
+    pairs = dealt(pairs, "appid").groupBy("appid", "tag_id").agg(F.expr("count(*) AS _pairs_of"))
     return rows.selectExpr("*", first).join(pairs, "appid").selectExpr(
         *games.columns, "tag_id", "_games", "_copies * _pairs_of AS _weight"
     )
