@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagshelf import fixed_values as fv
+from tagshelf.sources.shared import dealt
 
 
 def null_out_of_range(df: DataFrame, column: str, low=fv.PRICE_MIN, high=fv.PRICE_MAX) -> DataFrame:
@@ -113,8 +114,11 @@ def prune_orphan_tags(tags: DataFrame, game_tags: DataFrame) -> DataFrame:
 
 
 def games_per_tag(game_tags: DataFrame, assume_unique: bool = False) -> DataFrame:
-    games = F.count("*") if assume_unique else F.count_distinct("appid")
-    return game_tags.groupBy("tag_id").agg(games.alias("game_count"))
+    """Distinct games per tag. Unless the keys are checked, pairs are dealt and made distinct first."""
+    if assume_unique:
+        return game_tags.groupBy("tag_id").agg(F.count("*").alias("game_count"))
+    pairs = dealt(game_tags.select("appid", "tag_id"), "appid", "tag_id").distinct()
+    return pairs.groupBy("tag_id").agg(F.count("appid").alias("game_count"))
 
 
 def recount_tags(tags: DataFrame, game_tags: DataFrame, assume_unique: bool = False) -> DataFrame:
