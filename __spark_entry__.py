@@ -21,7 +21,7 @@ from tagshelf.plans import pipeline
 from tagshelf.sources import star
 from tagshelf.sources.layout import having_all
 from tagshelf.sources.publish import load_postings, load_tables, publish, write_layout
-from tagshelf.sources.shared import new_folder
+from tagshelf.sources.shared import dealt, new_folder, write_through
 from tagshelf.sources.views import create_views, list_views
 from tagshelf.tables import Tables
 
@@ -223,8 +223,8 @@ def drop_test_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _tag_maps(t: Tables) -> DataFrame:
     """Games with their tags as a map; a game has each tag once, so the map is bounded by the tags."""
-    named = t.game_tags.join(t.tags.select("tag_id", "tag_name"), "tag_id")
-    entries = F.array_sort(F.collect_list(F.struct("tag_name", "votes")))
+    named = dealt(t.game_tags, "appid").join(t.tags.select("tag_id", "tag_name"), "tag_id")
+    entries = F.sort_array(F.collect_list(F.struct("tag_name", "votes")))
     return named.groupBy("appid").agg(F.map_from_entries(entries).alias("tags"))
 
 
@@ -455,7 +455,7 @@ def audit_rows(t: Tables) -> DataFrame:
 def bridge_checked(t: Tables) -> DataFrame:
     """The bridge, after the check that it is not empty."""
     maps = _tag_maps(t)
-    bridge = shaping.require_non_empty(shaping.build_bridge(maps), maps)
+    bridge = shaping.require_non_empty(write_through(shaping.build_bridge(maps), "bridge"), maps)
     return shaping.lookup_tag_ids(bridge, t.tags).select("appid", "tag_id", "votes")
 
 
