@@ -8,9 +8,10 @@ snapshot pays for it. `bench.py` reports that time on its own.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -360,16 +361,25 @@ def ingest_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ingested(pipeline.load(spark, folder, "ndjson"))
 
 
+def _as_object(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The entries of a task as one JSON object, after an entry whose key is no number."""
+    lines = lambda texts: pa.RecordBatch.from_arrays([texts], ["value"])
+    yield lines(pa.array(['{"none": null']))
+    for batch in batches:
+        yield lines(batch.column(0))
+    yield lines(pa.array(["}"]))
+
+
 def write_object(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """Write the catalogue as one file of one JSON object keyed by appid, after an entry whose key is no number."""
+    """Write the catalogue as files of one JSON object each, keyed by appid: as many as there are tasks, so that no task
+    writes the whole of it. An appid has all its entries in one file."""
     text = F.concat(F.lit(', "'), F.col("appid").cast("string"), F.lit('": '), F.col("record"))
-    entries = _json_records(spark, sf_dir).select(F.lit(1).alias("part"), text.alias("value"))
-    around = spark.createDataFrame([(0, '{"none": null'), (2, "}")], "part int, value string")
-    entries.unionByName(around).repartition(1).sortWithinPartitions("part").select("value").write.text(folder)
+    entries = _json_records(spark, sf_dir).select(text.alias("value"))
+    entries.mapInArrow(_as_object, "value string").write.text(folder)
 
 
 def ingest_object(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same from one file that is one JSON object keyed by appid."""
+    """The same from files that are one JSON object each, keyed by appid."""
     folder = new_folder(spark, "object")
     write_object(spark, sf_dir, folder)
     return _ingested(pipeline.load(spark, folder, "object"))
