@@ -99,7 +99,7 @@ def coerce_flag(value: Column, absent: bool = True) -> Column:
 def dict_entries(m: Column) -> Column:
     """Entries of a map as an array of (key, value): a repeated key keeps its first place and last value."""
     # Sorted by key and place, a key's entries are a run: its head has the first place, its tail the last value.
-    ordered = F.array_sort(F.transform(F.map_entries(m), lambda e, i: F.struct(e["key"].alias("k"), i.alias("i"), e["value"].alias("v"))))
+    ordered = F.sort_array(F.transform(F.map_entries(m), lambda e, i: F.struct(e["key"].alias("k"), i.alias("i"), e["value"].alias("v"))))
     settled = let(
         ordered,
         lambda es: F.zip_with(
@@ -109,24 +109,30 @@ def dict_entries(m: Column) -> Column:
         ),
     )
     keys = F.map_keys(m)
-    in_place = F.transform(F.array_sort(settled), lambda x: x["e"])
+    in_place = F.transform(F.sort_array(settled), lambda x: x["e"])
     return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_entries(m)).otherwise(in_place)
 
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind at both ends (`trim` knows only the blank)."""
-    return F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
+    # Few texts have any, and a look at both ends costs less than a replacement.
+    ends = F.concat(F.substring(text, 1, 1), F.substring(text, -1, 1))
+    return F.when(ends.rlike(r"(?U)\s"), F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")).otherwise(text)
 
 
 def first_by(items: Column, key: Callable[[Column], Column]) -> Column:
     """The first item of each key, in order of appearance. Sorted by key and place, the first of a key is the head of a
-    run; the work grows as that of sorting, however long the list."""
-    placed = F.transform(items, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x")))
-    heads = let(
-        F.array_sort(placed), lambda xs: F.filter(xs, lambda x, i: (i == 0) | (x["k"] != F.get(xs, i - 1)["k"]))
-    )
-    in_place = F.array_sort(F.transform(heads, lambda x: F.struct(x["i"].alias("i"), x["x"].alias("x"))))
-    return F.transform(in_place, lambda x: x["x"])
+    run; the work grows as that of sorting, however long the list. A list without repeats is left as it is."""
+
+    def settled(xs: Column) -> Column:
+        placed = F.transform(xs, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x")))
+        heads = let(
+            F.sort_array(placed), lambda ps: F.filter(ps, lambda x, i: (i == 0) | (x["k"] != F.get(ps, i - 1)["k"]))
+        )
+        in_place = F.sort_array(F.transform(heads, lambda x: F.struct(x["i"].alias("i"), x["x"].alias("x"))))
+        return F.transform(in_place, lambda x: x["x"])
+
+    return let(items, lambda xs: F.when(F.size(F.array_distinct(F.transform(xs, key))) == F.size(xs), xs).otherwise(settled(xs)))
 
 
 def merge_genres_and_tags(categories: Column, tag_names: Column) -> Column:

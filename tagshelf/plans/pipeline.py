@@ -38,7 +38,7 @@ def load_records(raw: DataFrame, absent_flag: bool = True, report: dict | None =
     typed = shaping.coerce_records(raw if report is None else _watch_raw(raw, report), absent_flag)
     typed = typed if report is None else _watch_typed(typed, report)
     games = write_through(shaping.shape_games(shaping.drop_junk(typed)), "games")
-    bridge = write_through(shaping.build_bridge(games), "bridge")
+    bridge = write_through(shaping.build_bridge(games.select("appid", "record_ord", "tags").repartition("appid")), "bridge")
     shaping.require_non_empty(bridge, games.select("tags"))
     tags = write_through(shaping.build_tags(bridge), "tags")
     if report is not None:
