@@ -187,6 +187,7 @@ def _entries(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Recor
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """The token sets of ids and texts, with the columns after these as they are."""
     for batch in batches:
         ids, sets = [], []
         for doc_id, text in _texts(batch):
@@ -195,8 +196,11 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
         ends = np.append(0, np.cumsum([len(s) for s in sets])).astype(np.int32)
         flat = np.concatenate([np.empty(0, np.int64), *sets])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(np.diff(ends).astype(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-            ["id", "n", "tokens"],
+            [
+                pa.array(ids, pa.int64()), pa.array(np.diff(ends).astype(np.int64)),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), *batch.columns[2:],
+            ],
+            ["id", "n", "tokens", *batch.schema.names[2:]],
         )
 
 
@@ -288,12 +292,14 @@ def _stars(entries: DataFrame, met: Column) -> DataFrame:
 
 
 def _linked_to_hub(stars: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Each hub and member with whether they link; in built-in functions."""
+    """Each hub and member of large stars with whether they link; in built-in functions."""
+    # One hub for MEMBERS pairs or TOKENS tokens: their ids are broadcast, so that no other set is moved as a hub's.
+    hubs = F.broadcast(stars.select(F.col("hub").alias("id")).distinct())
     member = sets.select("id", F.col("tokens").alias("own"))
-    of_hub = sets.select(F.col("id").alias("hub"), F.col("tokens").alias("theirs"))
+    of_hub = sets.join(hubs, "id", "left_semi").select(F.col("id").alias("hub"), F.col("tokens").alias("theirs"))
     shared = F.size(F.array_intersect("own", "theirs"))
     linked = shared * F.lit(rule.down + rule.up) >= (F.size("own") + F.size("theirs")).cast("long") * rule.up
-    return stars.join(member, "id").join(of_hub, "hub").groupBy("hub", "id").agg(F.max(linked).alias("linked"))
+    return stars.join(member.hint("merge"), "id").join(of_hub, "hub").groupBy("hub", "id").agg(F.max(linked).alias("linked"))
 
 
 def _blocks(compared: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -321,55 +327,67 @@ def _blocks(compared: DataFrame, sizes: DataFrame) -> DataFrame:
     return met.select("hub", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "id")
 
 
+def _open(compared: DataFrame) -> DataFrame:
+    """Members of stars where some do not link to the hub."""
+    return compared.join(compared.filter("NOT linked").select("hub").distinct(), "hub", "left_semi")
+
+
 def _narrowed(compared: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Entries key, id and apart: members of stars where some do not link to the hub, each under its rarest tokens."""
-    open_hubs = compared.filter("NOT linked").select("hub").distinct()
-    left = compared.join(open_hubs, "hub", "left_semi")
-    members = sets.join(left.select("id").distinct().hint("merge"), "id", "left_semi")
+    """Entries key, id and apart: members of stars, of which `sets` are, each under its rarest tokens."""
     counts = np.zeros(SLOTS, np.int64)
-    summed = members.select("tokens").mapInArrow(_slot_counts, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+    summed = sets.select("tokens").mapInArrow(_slot_counts, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
     for row in summed.collect():  # as many rows as slots, whatever the input is
         counts[row["slot"]] = row["n"]
-    rare = members.select("id", "tokens").mapInArrow(lambda b: _rarest(b, rule, counts), "id bigint, token bigint")
-    return left.join(rare.hint("merge"), "id").select(
+    rare = sets.select("id", "tokens").mapInArrow(lambda b: _rarest(b, rule, counts), "id bigint, token bigint")
+    return compared.join(rare.hint("merge"), "id").select(
         F.xxhash64("hub", "token").alias("key"), "id", (~F.col("linked")).alias("apart")
     )
 
 
-def _compared(stars: DataFrame, sets: DataFrame, sizes: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+def _weighed(stars: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Pairs of hub and member with whether their star is too large for one task."""
+    weights = stars.join(sizes, "id").groupBy("hub").agg(F.count("*").alias("members"), F.sum("n").alias("tokens"))
+    large = (F.col("members") >= MEMBERS) | (F.col("tokens") >= TOKENS)
+    return write_step(stars.join(weights.select("hub", large.alias("large")), "hub"), "stars-sizes")
+
+
+def _compared(weighed: DataFrame, sets: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     """Small stars as groups to compare at once, and the members of large ones with whether they link to the hub."""
-    weights = write_step(
-        stars.join(sizes, "id").groupBy("hub").agg(F.count("*").alias("members"), F.sum("n").alias("tokens")), "stars-sizes"
-    )
-    small = (F.col("members") < MEMBERS) & (F.col("tokens") < TOKENS)
-    whole = stars.join(weights.filter(small), "hub", "left_semi")
+    whole = weighed.filter("NOT large").select("hub", "id")
     hubs = whole.select("hub", F.col("hub").alias("id")).distinct()
     groups = whole.unionByName(hubs).select("hub", F.lit(0).alias("a"), F.lit(0).alias("b"), "id")
-    large = stars.join(weights.filter(~small), "hub", "left_semi")
+    large = weighed.filter("large").select("hub", "id")
     return groups, write_step(_linked_to_hub(large, sets, rule), "compared")
 
 
-def _links(entries: DataFrame, sets_of, rule: Rule) -> DataFrame:
-    """Links between ids, enough for all components. Steps on the way go as soon as these are written."""
+def _links(entries: DataFrame, sizes: DataFrame, sets_of, rule: Rule) -> DataFrame:
+    """Links between ids, enough for all components. Steps on the way go as soon as these are written.
+
+    A set is moved for what its own stars need: large stars are few or none in a small table, and must not make all
+    sets move again as soon as there is one.
+    """
     spark = entries.sparkSession
     folder = new_folder(spark, "links")
 
-    def trees(groups: DataFrame) -> DataFrame:
+    def trees(groups: DataFrame, sets: DataFrame) -> DataFrame:
         return groups.join(sets.select("id", "tokens").hint("merge"), "id").groupBy("hub", "a", "b").applyInArrow(
             lambda group: _trees(group, rule), "hub bigint, id bigint"
         ).distinct()
 
     linked = lambda compared: compared.filter("linked").select("hub", "id")
     with temporary_steps(spark, "candidates"):
-        stars = _stars(entries, F.count("*") > 1)
-        sets = sets_of(stars.select("id").unionByName(stars.select(F.col("hub").alias("id"))).distinct())
-        sizes = sets.groupBy("id").agg(F.sum("n").alias("n"))
-        groups, compared = _compared(stars, sets, sizes, rule)
-        found = write_step(trees(groups), "trees").unionByName(linked(compared))
+        weighed = _weighed(_stars(entries, F.count("*") > 1), sizes)
+        ids = weighed.select("id", "large").unionByName(weighed.select(F.col("hub").alias("id"), "large"))
+        sets = sets_of(ids.groupBy("id").agg(F.bool_or(~F.col("large")).alias("small"), F.bool_or("large").alias("large")))
+        groups, compared = _compared(weighed, sets.filter("large"), rule)
+        found = write_step(trees(groups, sets.filter("small")), "trees").unionByName(linked(compared))
         if not compared.filter("NOT linked").isEmpty():
-            narrowed = _stars(_narrowed(compared, sets, rule), (F.count("*") > 1) & F.bool_or("apart"))
-            groups, compared = _compared(narrowed, sets, sizes, rule)
-            rest = write_step(trees(groups.unionByName(_blocks(compared, sizes))), "trees")
+            left = write_step(_open(compared), "open")
+            of_left = sets.filter("large").join(left.select("id").distinct().hint("merge"), "id", "left_semi")
+            sets = write_step(of_left.select("id", "n", "tokens"), "open-sets")
+            narrowed = _weighed(_stars(_narrowed(left, sets, rule), (F.count("*") > 1) & F.bool_or("apart")), sizes)
+            groups, compared = _compared(narrowed, sets, rule)
+            rest = write_step(trees(groups.unionByName(_blocks(compared, sizes)), sets), "trees")
             found = found.unionByName(rest).unionByName(linked(compared))
         return write_step(found, "links", folder)
 
@@ -411,10 +429,11 @@ def link_documents(
     entries = nodes.mapInArrow(lambda b: _entries(b, rule), "key bigint, id bigint")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        wanted = with_id.join(write_step(ids, "candidates").hint("merge"), "id", "left_semi").select("id", "text")
-        return write_step(wanted.mapInArrow(lambda b: _sets(b, words), "id bigint, n bigint, tokens array<bigint>"), "token-sets")
+        wanted = with_id.join(write_step(ids, "candidates").hint("merge"), "id").select("id", "text", "small", "large")
+        schema = "id bigint, n bigint, tokens array<bigint>, small boolean, large boolean"
+        return write_step(wanted.mapInArrow(lambda b: _sets(b, words), schema), "token-sets")
 
-    found = _links(entries, sets_of, rule)
+    found = _links(entries, able.groupBy("id").agg(F.sum("n").alias("n")), sets_of, rule)
     # An id with several texts ties their classes together.
     same = able.join(classes, ["c1", "c2"]).filter("id <> node").select(F.col("node").alias("hub"), "id")
     repeated = able.groupBy("id").agg(F.count_distinct("c1", "c2").alias("k")).filter("k > 1").select("id")
