@@ -18,13 +18,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tagshelf.llm.bpe import byte_letters, encode_text, load
 from tagshelf.llm.rows import ROW, field, pack, unpack, write_step
 
-PIECE = "array<struct<start: bigint, length: int, ids_crc32: bigint, doc_tokens: bigint>>"
+PIECE = StructType().add("start", "long").add("length", "integer").add("ids_crc32", "long").add("doc_tokens", "long")
 DEPTH = 3
 ROUNDS = 300
 
@@ -65,31 +66,26 @@ def text_ids(text: str, path: str) -> np.ndarray:
     return encoder(path).encode_to_numpy(text, allowed_special="all")
 
 
-def text_pieces(text: Column, path: str, end_id: int, window: int) -> Column:
-    """The pieces of a text's ids with `end_id` behind them: as many of a window's length as there are, and the rest.
+def text_pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, window: int) -> Iterator[pa.RecordBatch]:
+    """Of ids and texts, the pieces of each text's ids with `end_id` behind them: as many of a window's length as there
+    are, and the rest.
 
     A null text counts as empty and is one piece of the end alone.
     """
-
-    @F.arrow_udf(PIECE)
-    def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        names = ["start", "length", "ids_crc32", "doc_tokens"]
-        for texts in batches:
-            start, length, checksum, tokens, n_pieces = [], [], [], [], []
-            for text in texts:
-                raw = np.append(text_ids(text.as_py() or "", path), end_id).astype("<u4").tobytes()
-                n = len(raw) // 4
-                firsts = range(0, n, window)
-                start += firsts
-                length += [min(window, n - a) for a in firsts]
-                checksum += [zlib.crc32(raw[4 * a : 4 * (a + window)]) for a in firsts]
-                tokens += [n] * len(firsts)
-                n_pieces.append(len(firsts))
-            columns = [pa.array(start, pa.int64()), pa.array(length, pa.int32()), pa.array(checksum, pa.int64()), pa.array(tokens, pa.int64())]
-            ends = np.append(0, np.cumsum(n_pieces)).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(columns, names))
-
-    return pieces(text)
+    for batch in batches:
+        start, length, checksum, tokens, n_pieces = [], [], [], [], []
+        for text in batch.column(1):
+            raw = np.append(text_ids(text.as_py() or "", path), end_id).astype("<u4").tobytes()
+            n = len(raw) // 4
+            firsts = range(0, n, window)
+            start += firsts
+            length += [min(window, n - a) for a in firsts]
+            checksum += [zlib.crc32(raw[4 * a : 4 * (a + window)]) for a in firsts]
+            tokens += [n] * len(firsts)
+            n_pieces.append(len(firsts))
+        ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(n_pieces)), n_pieces)))
+        columns = [pa.array(start, pa.int64()), pa.array(length, pa.int32()), pa.array(checksum, pa.int64()), pa.array(tokens, pa.int64())]
+        yield pa.RecordBatch.from_arrays([ids, *columns], ["_id", *PIECE.names])
 
 
 def cut_documents(
@@ -100,9 +96,16 @@ def cut_documents(
     Other columns are dropped. Every row has at least one piece, as `end_id` is behind each text, a null one included;
     rows that repeat have theirs each, a null id stays null, and an empty table gives an empty one. A text is taken whole,
     however long, and its ids are in one task's memory at a time.
+
+    Tasks give rows, not a list to be exploded: for lists, Spark adds a filter that has each text encoded twice, in two
+    workers of a task at the same time.
     """
-    rows = pack(docs).select(field(doc_id).alias("_id"), text_pieces(field(text), path, end_id, window).alias("pieces"))
-    return rows.select(F.col("_id").alias(doc_id), F.inline("pieces"))
+    rows = pack(docs).select(field(doc_id).alias("_id"), field(text).alias("_text"))
+    pieces = rows.mapInArrow(
+        functools.partial(text_pieces, path=path, end_id=end_id, window=window),
+        StructType([rows.schema["_id"], *PIECE]),
+    )
+    return pieces.withColumnRenamed("_id", doc_id)
 
 
 # --- how often which combination of lengths -------------------------------------------------------

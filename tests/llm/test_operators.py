@@ -719,6 +719,24 @@ def test_pieces_and_places(documents, empty):
     assert packing.pack_documents(empty, BYTE_BPE).count() == 0
 
 
+def test_texts_are_encoded_once(spark, documents):
+    """One Python step, and so one worker a task: texts encoded twice took two workers, with their tables, at once."""
+    plan = packing.cut_documents(documents, BYTE_BPE)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"ArrowEvalPython|BatchEvalPython|MapInArrow|MapInPandas", plan)) == 1
+
+
+def test_pieces_keep_the_id_as_it_is(spark):
+    docs = spark.createDataFrame([("x", "a b"), (None, None), ("x", "w " * 3_000)], "Name string, Words string")
+    cut = packing.cut_documents(docs, BYTE_BPE, doc_id="name", text="words")
+    assert cut.dtypes == [
+        ("name", "string"), ("start", "bigint"), ("length", "int"), ("ids_crc32", "bigint"), ("doc_tokens", "bigint")
+    ]
+    found = rows(cut, "name", "start", "length", "doc_tokens")
+    assert [r for r in found if r[0] is None] == [(None, 0, 1, 1)]
+    assert all(min(1024, n - start) == length for _, start, length, n in found)
+    assert sum(length for *_, length, _ in found) == sum(n for _, start, _, n in found if start == 0)
+
+
 def test_plans_waste_little():
     rng = np.random.default_rng(0)
     for n, least in ((2_000, 0.97), (200_000, 0.99)):
